@@ -3,16 +3,27 @@
 from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 
-def lookup(key: Column, table: Mapping[str, Decimal], dtype: T.DecimalType, default: Decimal | None = None) -> Column:
-    """Map ``key`` through a small parameter table; NULL and unknown keys give ``default``."""
-    otherwise = F.lit(default).cast(dtype)
+def lookup(key: Column, table: Mapping[str, Decimal], unit: Decimal, default: Decimal | None = None) -> Column:
+    """Map ``key`` through a small parameter table, in whole numbers of ``unit``.
+
+    NULL and unknown keys give ``default``. A value finer than the unit is an error.
+    """
+
+    def whole(value: Decimal | None) -> Column:
+        if value is None:
+            return F.lit(None).cast("bigint")
+        units = value / unit
+        if units != int(units):
+            raise ValueError(f"{value} is not a multiple of {unit}")
+        return F.lit(int(units)).cast("bigint")
+
     if not table:
-        return otherwise
+        return whole(default)
     first, *rest = table.items()
-    chain = F.when(key == first[0], F.lit(first[1]).cast(dtype))
+    chain = F.when(key == first[0], whole(first[1]))
     for name, value in rest:
-        chain = chain.when(key == name, F.lit(value).cast(dtype))
-    return chain.otherwise(otherwise)
+        chain = chain.when(key == name, whole(value))
+    return chain.otherwise(whole(default))

@@ -1,48 +1,66 @@
-"""Cent-exact decimal expressions.
+"""Cent-exact money arithmetic as SQL expressions.
 
-Spark caps decimal quotients at 38 digits, so a wide numerator costs fractional digits. Every
-helper multiplies before it divides and expects narrow operands; then the quotient keeps at
-least 15 digits after the point and the half-up rounding to cents is exact.
+Tables hold decimals; sums and quotients run on whole cents as BIGINT. That is exact, several
+times cheaper than decimal arithmetic, and keeps shuffled rows small. ``cents`` enters this
+form and ``money`` leaves it; the quotients round half away from zero and give NULL for a zero
+divisor. Under ANSI mode an amount beyond BIGINT raises, it never wraps.
 """
 
 from pyspark.sql import Column, functions as F, types as T
 
-from marginfold.schemas import MONEY, ORDER_MONEY, PERCENT, TOTAL
+from marginfold.schemas import MONEY, PERCENT, TOTAL
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def cents(amount: str) -> str:
+    """A two-place decimal as a whole number of cents."""
+    return f"cast({amount} * 100 as bigint)"
 
 
-def non_zero(c: Column | str) -> Column:
-    """The value, or NULL when it is zero: divisors under ANSI must never be 0."""
-    return F.nullif(_col(c), F.lit(0))
+def money(whole: str, dtype: T.DecimalType = MONEY) -> Column:
+    """Whole cents, or hundredths of a percent, as a two-place decimal."""
+    digits = f"decimal({dtype.precision},0)"
+    return F.expr(f"cast(cast({whole} as {digits}) * 0.01BD as {dtype.simpleString()})")
 
 
-def cents(c: Column | str, dtype: T.DecimalType = MONEY) -> Column:
-    return F.round(_col(c), 2).cast(dtype)
+def half_up(num: str, den: str) -> str:
+    """Rounded BIGINT quotient; ``2 * num + den`` must fit."""
+    return f"((2 * ({num}) + if((({num}) < 0) = (({den}) < 0), ({den}), -({den}))) div nullif(2 * ({den}), 0))"
 
 
-def ratio(num: Column | str, den: Column | str, dp: int = 2, dtype: T.DecimalType = TOTAL) -> Column:
-    return F.round(_col(num) / non_zero(den), dp).cast(dtype)
+def half_up_wide(num: str, factor: str | int, den: str) -> str:
+    """Rounded ``num * factor / den`` of BIGINTs with a 38-digit product."""
+    n = f"(cast({num} as decimal(19,0)) * cast({factor} as decimal(18,0)))"
+    d = f"cast({den} as decimal(19,0))"
+    return f"((2 * {n} + if(({n} < 0) = ({d} < 0), {d}, -{d})) div nullif(2 * {d}, 0))"
 
 
-def percent(part: Column | str, whole: Column | str) -> Column:
-    return ratio(_col(part) * F.lit(100), whole, 2, PERCENT)
+def share_of(cost: str, part: str, whole: str) -> str:
+    """``cost * part / whole`` in cents, from two-place decimals.
 
+    The product of two amounts fits a BIGINT for all but the largest lines, which go wide.
+    """
+    c, p, w = cents(cost), cents(part), cents(whole)
+    return (
+        f"CASE WHEN try_multiply(4 * {c}, {p}) IS NOT NULL THEN {half_up(f'{c} * {p}', w)} "
+        f"ELSE {half_up_wide(c, p, w)} END"
+    )
 
-def mean(total: Column, count: Column, dtype: T.DecimalType = PERCENT) -> Column:
-    """Average rounded to 2 places, from an exact sum instead of a floating mean."""
-    return ratio(total.cast(TOTAL), count.cast("decimal(12,0)"), 2, dtype)
 
+def percent(part: str, whole: str) -> Column:
+    """Percentage of two whole numbers of any size, 2 places."""
+    return money(half_up_wide(part, 10_000, whole), PERCENT)
 
-def share_of(cost: Column | str, part: Column | str, whole: Column | str) -> Column:
-    """``cost * part / whole`` rounded to cents."""
-    return ratio(
-        _col(cost).cast(MONEY) * _col(part).cast(MONEY), _col(whole).cast(ORDER_MONEY), 2, MONEY
-    )
+
+def ratio(num: str, den: str, dtype: T.DecimalType = TOTAL) -> Column:
+    """Quotient of two whole numbers of cents, 2 places."""
+    return money(half_up_wide(num, 100, den), dtype)
+
+
+def per_unit(amount: str, count: str, dtype: T.DecimalType = TOTAL) -> Column:
+    """Cents, or hundredths of a percent, divided by a count: an average to 2 places."""
+    return money(half_up_wide(amount, 1, count), dtype)
 
 
-def total(c: Column | str) -> Column:
-    """Sum of money as an 18-digit amount."""
-    return F.sum(_col(c)).cast(TOTAL)
+def total_cents(amount: str) -> Column:
+    """Sum of a money column in whole cents."""
+    return F.expr(f"sum({cents(amount)})")

@@ -10,9 +10,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import percent
+from marginfold.functions.money import cents, money, percent, total_cents
 from marginfold.functions.rules import pass_fail, rule_rows, stack_rows, with_status
-from marginfold.operators.rollup import add_up, count_of, leaked, mean_net_margin, per_order
+from marginfold.operators.rollup import LEAKED, add_up, mean_net_margin, per_order
 from marginfold.operators.staging import completed_orders
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import MONEY, TOTAL
@@ -40,31 +40,27 @@ def _revenue_by_layer(
     never meets its header line by line.
     """
     raw = (
-        items.groupBy("order_id")
-        .agg(F.sum(F.col("price").cast(MONEY)).alias("revenue"), F.count(F.lit(1)).alias("lines"))
+        items.select("order_id", F.col("price").cast(MONEY).alias("price"))
+        .groupBy("order_id")
+        .agg(total_cents("price").alias("revenue"), F.count(F.lit(1)).alias("lines"))
         .join(completed_orders(orders, params).select("order_id"), "order_id", "left_semi")
         .select(F.lit("raw").alias("layer"), "revenue", "lines")
     )
     built = (
         fact.groupBy("order_id")
-        .agg(F.sum("item_revenue").alias("revenue"), F.count(F.lit(1)).alias("lines"))
+        .agg(total_cents("item_revenue").alias("revenue"), F.count(F.lit(1)).alias("lines"))
         .select(F.lit("fact").alias("layer"), "revenue", "lines")
     )
 
-    def only(layer: str, value: Column) -> Column:
-        return F.when(F.col("layer") == layer, value)
-
-    return raw.unionByName(built).agg(
-        *[
-            column
-            for layer in ("raw", "fact")
-            for column in (
-                F.sum(only(layer, F.col("revenue"))).cast(TOTAL).alias(f"{layer}_total_revenue"),
-                F.count(only(layer, F.lit(1))).alias(f"{layer}_order_count"),
-                F.coalesce(F.sum(only(layer, F.col("lines"))), F.lit(0)).alias(f"{layer}_line_items"),
-            )
+    def of(layer: str) -> list[Column]:
+        mine = f"layer = '{layer}'"
+        return [
+            money(f"sum(if({mine}, revenue, NULL))", TOTAL).alias(f"{layer}_total_revenue"),
+            F.expr(f"count_if({mine})").alias(f"{layer}_order_count"),
+            F.expr(f"coalesce(sum(if({mine}, lines, NULL)), 0)").alias(f"{layer}_line_items"),
         ]
-    )
+
+    return raw.unionByName(built).agg(*of("raw"), *of("fact"))
 
 
 def reconcile_revenue(
@@ -91,9 +87,9 @@ def reconcile_revenue(
 
 def _allocation_gap(fact: DataFrame, allocated: str, orders: DataFrame, amount: str) -> DataFrame:
     """Per order, the distance between the allocated sum and the order's own amount."""
-    summed = fact.groupBy("order_id").agg(F.sum(allocated).cast(TOTAL).alias("_allocated"))
+    summed = fact.groupBy("order_id").agg(total_cents(allocated).alias("_allocated"))
     return summed.join(orders.select("order_id", F.col(amount).alias("_amount")), "order_id").select(
-        F.abs(F.col("_allocated") - F.col("_amount")).cast(TOTAL).alias("gap")
+        money(f"abs(_allocated - {cents('_amount')})", TOTAL).alias("gap")
     )
 
 
@@ -186,24 +182,27 @@ def sanity_summary(fact: DataFrame) -> DataFrame:
         F.count_if("is_returned").alias("returned_orders"),
         *add_up(),
     )
+    amounts = {
+        "total_revenue": "item_revenue",
+        "total_cogs": "item_cogs",
+        "total_logistics": "logistics_cost",
+        "total_payment_fees": "payment_fee",
+        "total_discounts": "discount_allocated",
+        "total_return_costs": "return_cost",
+        "total_cm": "contribution_margin",
+        "total_cac": "cac_allocation",
+        "total_net_profit": "net_profit",
+    }
     return sums.select(
         F.col("orders").alias("total_orders"),
         F.col("customers").alias("total_customers"),
         "first_orders",
-        F.col("item_revenue").alias("total_revenue"),
-        F.col("item_cogs").alias("total_cogs"),
-        F.col("logistics_cost").alias("total_logistics"),
-        F.col("payment_fee").alias("total_payment_fees"),
-        F.col("discount_allocated").alias("total_discounts"),
-        F.col("return_cost").alias("total_return_costs"),
-        F.col("contribution_margin").alias("total_cm"),
-        F.col("cac_allocation").alias("total_cac"),
-        F.col("net_profit").alias("total_net_profit"),
+        *[money(source, TOTAL).alias(out) for out, source in amounts.items()],
         percent("gross_profit", "item_revenue").alias("gross_margin_pct"),
         percent("contribution_margin", "item_revenue").alias("cm_pct"),
         percent("net_profit", "item_revenue").alias("net_margin_pct"),
-        leaked().cast(TOTAL).alias("total_leaked"),
-        percent(leaked().cast(TOTAL), "item_revenue").alias("leakage_pct"),
+        money(LEAKED, TOTAL).alias("total_leaked"),
+        percent(LEAKED, "item_revenue").alias("leakage_pct"),
         F.coalesce("leak_lines", F.lit(0)).alias("loss_making_line_items"),
         "returned_orders",
     )
@@ -217,11 +216,11 @@ def business_sanity(fact: DataFrame) -> DataFrame:
     return sums.select(
         F.col("orders").alias("total_orders"),
         F.col("customers").alias("total_customers"),
-        F.col("item_revenue").alias("total_revenue"),
-        F.col("net_profit").alias("total_net_profit"),
+        money("item_revenue", TOTAL).alias("total_revenue"),
+        money("net_profit", TOTAL).alias("total_net_profit"),
         mean_net_margin().alias("avg_net_margin_pct"),
         F.coalesce("returned_lines", F.lit(0)).alias("returned_items"),
-        percent(count_of("losing_lines"), count_of("lines")).alias("pct_items_losing_money"),
+        percent("losing_lines", "lines").alias("pct_items_losing_money"),
     )
 
 

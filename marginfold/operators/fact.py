@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import cents, percent, ratio, share_of
+from marginfold.functions.money import cents, half_up, money, share_of, total_cents
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
-from marginfold.schemas import FACT_SCHEMA, MONEY, ORDER_MONEY, SHARE, TOTAL
+from marginfold.schemas import FACT_SCHEMA, MONEY, ORDER_MONEY, PERCENT, TOTAL
 
 
 def _line_block(params: EconomicsParams) -> Column:
@@ -20,11 +20,21 @@ def _line_block(params: EconomicsParams) -> Column:
 
 def _totals_with_blocks(items: DataFrame, params: EconomicsParams) -> DataFrame:
     block = _line_block(params)
-    return items.groupBy("order_id").agg(
-        F.sum("selling_price").cast(ORDER_MONEY).alias("order_total_revenue"),
-        F.count(F.lit(1)).alias("item_count"),
-        F.min(block).alias("_first_block"),
-        F.max(block).alias("_last_block"),
+    return (
+        items.groupBy("order_id")
+        .agg(
+            total_cents("selling_price").alias("_revenue"),
+            F.count(F.lit(1)).alias("item_count"),
+            F.min(block).alias("_first_block"),
+            F.max(block).alias("_last_block"),
+        )
+        .select(
+            "order_id",
+            money("_revenue", ORDER_MONEY).alias("order_total_revenue"),
+            "item_count",
+            "_first_block",
+            "_last_block",
+        )
     )
 
 
@@ -49,9 +59,11 @@ def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) ->
 
 
 def _return_cost(params: EconomicsParams) -> Column:
-    reverse = F.col("logistics_cost") * F.lit(params.reverse_logistics_multiplier)
-    restocking = F.col("unit_cogs") * F.lit(params.restocking_rate)
-    return F.when(F.col("return_flag"), cents(reverse + restocking)).otherwise(F.lit(0).cast(MONEY))
+    reverse, restocking = (
+        int(rate * 10_000) for rate in (params.reverse_logistics_multiplier, params.restocking_rate)
+    )
+    cost = f"{cents('logistics_cost')} * {reverse} + {cents('unit_cogs')} * {restocking}"
+    return F.when(F.col("return_flag"), money(half_up(cost, "10000"))).otherwise(F.lit(0).cast(MONEY))
 
 
 def return_costs(items: DataFrame, orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
@@ -147,43 +159,40 @@ def fact_base(
 
 def allocate_by_revenue_share(lines: DataFrame, cost: str, out: str) -> DataFrame:
     """Spread an order-level cost over the lines by revenue; NULL for an order without revenue."""
-    return lines.withColumn(out, share_of(cost, "item_revenue", "order_total_revenue"))
+    return lines.withColumn(out, money(share_of(cost, "item_revenue", "order_total_revenue")))
 
 
 def revenue_share(lines: DataFrame, out: str = "item_revenue_share") -> DataFrame:
-    return lines.withColumn(
-        out, ratio(F.col("item_revenue").cast(MONEY), F.col("order_total_revenue").cast(ORDER_MONEY), 6, SHARE)
-    )
+    """The line's part of the order's revenue, 6 places."""
+    millionths = half_up(f"{cents('item_revenue')} * 1000000", cents("order_total_revenue"))
+    return lines.withColumn(out, F.expr(f"cast(cast({millionths} as decimal(9,0)) * 0.000001BD as decimal(9,6))"))
 
 
 def allocate_cac(lines: DataFrame) -> DataFrame:
     """Charge the channel's acquisition cost to the customer's first order, by revenue share."""
+    charged = money(share_of("channel_cac", "item_revenue", "order_total_revenue"))
     return lines.withColumn(
         "cac_allocation",
-        F.when(
-            F.col("customer_order_seq") == 1, share_of("channel_cac", "item_revenue", "order_total_revenue")
-        ).otherwise(F.lit(0).cast(MONEY)),
+        F.when(F.col("customer_order_seq") == 1, charged).otherwise(F.lit(0).cast(MONEY)),
     )
 
 
 def cost_cascade(lines: DataFrame) -> DataFrame:
     """Contribution margin, net profit, their percentages and the loss flag."""
     margin = (
-        F.col("item_revenue")
-        - F.col("item_cogs")
-        - F.col("logistics_cost")
-        - F.col("payment_fee")
-        - F.col("discount_allocated")
-        - F.col("return_cost")
+        "item_revenue - item_cogs - logistics_cost - payment_fee - discount_allocated - return_cost"
     )
-    net = F.col("contribution_margin") - F.col("cac_allocation")
+
+    def of_revenue(amount: str) -> Column:
+        return money(half_up(f"{cents(amount)} * 10000", cents("item_revenue")), PERCENT)
+
     return (
-        lines.withColumn("contribution_margin", cents(margin))
-        .withColumn("net_profit", cents(net))
+        lines.withColumn("contribution_margin", F.expr(margin).cast(MONEY))
+        .withColumn("net_profit", F.expr("contribution_margin - cac_allocation").cast(MONEY))
         .withColumns(
             {
-                "contribution_margin_pct": percent("contribution_margin", "item_revenue"),
-                "net_margin_pct": percent("net_profit", "item_revenue"),
+                "contribution_margin_pct": of_revenue("contribution_margin"),
+                "net_margin_pct": of_revenue("net_profit"),
                 "is_profit_leak": F.col("net_profit") < 0,
             }
         )

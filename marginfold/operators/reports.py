@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import percent, ratio, total
+from marginfold.functions.money import cents, half_up_wide, money, per_unit, percent, ratio, total_cents
 from marginfold.operators.rollup import (
+    LEAKED,
     add_up,
-    count_of,
-    leaked,
     mean_contribution_margin,
     mean_net_margin,
     per_order,
 )
-from marginfold.schemas import MONEY, TOTAL
+from marginfold.schemas import TOTAL
 
 
 def _orders() -> Column:
     return F.count("order_id").alias("orders")
 
 
-def _renamed(**names: str) -> list[Column]:
-    return [F.col(source).alias(out) for out, source in names.items()]
+def _amounts(**names: str) -> list[Column]:
+    return [money(source, TOTAL).alias(out) for out, source in names.items()]
+
+
+def _counts(**names: str) -> list[Column]:
+    return [F.coalesce(source, F.lit(0)).alias(out) for out, source in names.items()]
 
 
 def _of_revenue(**names: str) -> list[Column]:
@@ -44,9 +45,8 @@ def summary_by_month(fact: DataFrame) -> DataFrame:
     months = per_order(fact, *dims).groupBy(*dims).agg(_orders(), *add_up())
     return months.select(
         *dims,
-        *_renamed(
-            total_orders="orders",
-            total_line_items="lines",
+        *_counts(total_orders="orders", total_line_items="lines"),
+        *_amounts(
             total_revenue="item_revenue",
             total_cogs="item_cogs",
             total_logistics="logistics_cost",
@@ -56,9 +56,9 @@ def summary_by_month(fact: DataFrame) -> DataFrame:
             total_contribution_margin="contribution_margin",
         ),
         mean_contribution_margin().alias("avg_cm_pct"),
-        *_renamed(total_cac="cac_allocation", total_net_profit="net_profit"),
+        *_amounts(total_cac="cac_allocation", total_net_profit="net_profit"),
         mean_net_margin().alias("avg_net_margin_pct"),
-        F.col("leak_lines").alias("profit_leak_items"),
+        *_counts(profit_leak_items="leak_lines"),
     )
 
 
@@ -78,10 +78,8 @@ def category_profitability(fact: DataFrame) -> DataFrame:
     )
     report = sums.select(
         "category",
-        *_renamed(
-            total_line_items="lines",
-            total_orders="orders",
-            total_customers="customers",
+        *_counts(total_line_items="lines", total_orders="orders", total_customers="customers"),
+        *_amounts(
             total_revenue="item_revenue",
             total_cogs="item_cogs",
             total_logistics_cost="logistics_cost",
@@ -98,16 +96,16 @@ def category_profitability(fact: DataFrame) -> DataFrame:
             return_cost_pct="return_cost",
             cac_pct="cac_allocation",
         ),
-        *_renamed(total_gross_profit="gross_profit"),
+        *_amounts(total_gross_profit="gross_profit"),
         *_of_revenue(gross_margin_pct="gross_profit"),
-        *_renamed(total_contribution_margin="contribution_margin"),
+        *_amounts(total_contribution_margin="contribution_margin"),
         *_of_revenue(cm_pct="contribution_margin"),
-        *_renamed(total_net_profit="net_profit"),
+        *_amounts(total_net_profit="net_profit"),
         mean_net_margin().alias("avg_net_margin_pct"),
-        F.col("returned_lines").alias("returned_items"),
-        percent(count_of("returned_lines"), count_of("lines")).alias("return_rate_pct"),
-        leaked().cast(TOTAL).alias("profit_leaked_abs"),
-        percent(leaked().cast(TOTAL), "item_revenue").alias("leakage_pct"),
+        *_counts(returned_items="returned_lines"),
+        percent("returned_lines", "lines").alias("return_rate_pct"),
+        *_amounts(profit_leaked_abs=LEAKED),
+        *_of_revenue(leakage_pct=LEAKED),
         driver.alias("primary_cost_driver"),
     )
     return report.withColumn(
@@ -132,31 +130,36 @@ def loss_making_orders(fact: DataFrame) -> DataFrame:
         "return_flag",
         "is_first_order",
     ]
+    measures = {
+        "order_revenue": "item_revenue",
+        "order_cogs": "item_cogs",
+        "order_logistics": "logistics_cost",
+        "order_payment_fee": "payment_fee",
+        "order_discount": "discount_allocated",
+        "order_return_cost": "return_cost",
+        "order_gross_profit": "gross_profit",
+        "order_contribution_margin": "contribution_margin",
+        "order_cac": "cac_allocation",
+        "order_net_profit": "net_profit",
+    }
     orders = fact.groupBy(*dims).agg(
         # The alphabetically last category stands for the order.
         F.max("category").alias("primary_category"),
         F.count(F.lit(1)).alias("item_count"),
-        total("item_revenue").alias("order_revenue"),
-        total("item_cogs").alias("order_cogs"),
-        total("logistics_cost").alias("order_logistics"),
-        total("payment_fee").alias("order_payment_fee"),
-        total("discount_allocated").alias("order_discount"),
-        total("return_cost").alias("order_return_cost"),
-        total("gross_profit").alias("order_gross_profit"),
-        total("contribution_margin").alias("order_contribution_margin"),
-        total("cac_allocation").alias("order_cac"),
-        total("net_profit").alias("order_net_profit"),
+        *[total_cents(source).alias(out) for out, source in measures.items()],
     )
-    margin = F.col("order_contribution_margin")
     # First match wins. With discounts >= 0 the last two causes cannot be reached.
-    cause = (
-        F.when((margin >= 0) & (F.col("order_cac") > margin), "High CAC on First Order")
-        .when(F.col("return_flag") & (F.col("order_return_cost") > margin + F.col("order_cac")), "Return Cost")
-        .when(F.col("order_gross_profit") < 0, "Negative Gross Margin (COGS > Revenue)")
-        .when(F.col("order_discount") > margin, "Excess Discount")
-        .when(F.col("order_logistics") > F.col("order_gross_profit") * F.lit(Decimal("0.5")), "High Logistics Cost")
-        .otherwise("Combined Cost Pressure")
-    )
+    cause = F.expr("""
+        CASE
+            WHEN order_contribution_margin >= 0 AND order_cac > order_contribution_margin
+                THEN 'High CAC on First Order'
+            WHEN return_flag AND order_return_cost > order_contribution_margin + order_cac THEN 'Return Cost'
+            WHEN order_gross_profit < 0 THEN 'Negative Gross Margin (COGS > Revenue)'
+            WHEN order_discount > order_contribution_margin THEN 'Excess Discount'
+            WHEN order_logistics * 2 > order_gross_profit THEN 'High Logistics Cost'
+            ELSE 'Combined Cost Pressure'
+        END
+    """)
     margin_pct = F.col("order_net_margin_pct")
     # The labels carry literal runs of spaces.
     severity = (
@@ -167,14 +170,16 @@ def loss_making_orders(fact: DataFrame) -> DataFrame:
     )
     return (
         orders.filter(F.col("order_net_profit") < 0)
-        .withColumn("order_net_margin_pct", percent("order_net_profit", "order_revenue"))
-        .withColumns(
-            {
-                "loss_amount": F.abs("order_net_profit"),
-                "loss_root_cause": cause,
-                "loss_severity": severity,
-            }
+        .select(
+            *dims,
+            "primary_category",
+            "item_count",
+            *[money(out, TOTAL).alias(out) for out in measures],
+            percent("order_net_profit", "order_revenue").alias("order_net_margin_pct"),
+            money("abs(order_net_profit)", TOTAL).alias("loss_amount"),
+            cause.alias("loss_root_cause"),
         )
+        .withColumn("loss_severity", severity)
     )
 
 
@@ -192,16 +197,18 @@ def customer_profitability(fact: DataFrame) -> DataFrame:
             *add_up(),
         )
     )
-    orders = F.col("orders").cast("decimal(10,0)")
+    # CAC / (contribution margin / orders), multiplied out; 1 place.
+    tenths = half_up_wide("cac_allocation", "(10 * orders)", "contribution_margin")
+    payback = F.expr(f"cast(cast({tenths} as decimal(18,0)) * 0.1BD as decimal(18,1))")
     report = customers.select(
         *dims,
         F.col("orders").alias("total_orders"),
         "first_order_date",
         "last_order_date",
         F.datediff("last_order_date", "first_order_date").alias("customer_lifespan_days"),
-        F.col("item_revenue").alias("total_revenue"),
-        ratio("item_revenue", orders).alias("avg_order_value"),
-        *_renamed(
+        *_amounts(total_revenue="item_revenue"),
+        per_unit("item_revenue", "orders").alias("avg_order_value"),
+        *_amounts(
             total_cogs="item_cogs",
             total_logistics="logistics_cost",
             total_payment_fees="payment_fee",
@@ -214,8 +221,7 @@ def customer_profitability(fact: DataFrame) -> DataFrame:
         ),
         *_of_revenue(net_margin_pct="net_profit"),
         ratio("net_profit", "cac_allocation").alias("ltv_cac_ratio"),
-        # CAC / (contribution margin / orders), multiplied out.
-        ratio(F.col("cac_allocation").cast(MONEY) * orders, "contribution_margin", 1).alias("cac_payback_orders"),
+        payback.alias("cac_payback_orders"),
         "returned_orders",
     )
     return report.withColumn(
@@ -252,7 +258,6 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame) -> DataFrame:
         "estimated_monthly_spend",
         "estimated_cac",
     )
-    new = count_of("new_customers")
     zero = F.lit(0)
     report = channels.join(marketing, "channel", "left").select(
         "channel",
@@ -261,12 +266,12 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame) -> DataFrame:
         F.coalesce("lead_conversion_rate_pct", zero).alias("lead_conversion_rate_pct"),
         "new_customers",
         "total_customers",
-        percent((count_of("total_customers") - new).cast("decimal(12,0)"), new).alias("repeat_customer_rate_pct"),
+        percent("(total_customers - new_customers)", "new_customers").alias("repeat_customer_rate_pct"),
         F.coalesce("estimated_monthly_spend", zero).cast(TOTAL).alias("estimated_monthly_spend"),
         F.coalesce("estimated_cac", zero).cast(TOTAL).alias("estimated_cac"),
-        ratio("cac_allocation", new).alias("actual_cac_per_new_customer"),
+        per_unit("cac_allocation", "new_customers").alias("actual_cac_per_new_customer"),
         "total_orders",
-        *_renamed(
+        *_amounts(
             total_revenue="item_revenue",
             total_gross_profit="gross_profit",
             total_contribution_margin="contribution_margin",
@@ -274,12 +279,12 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame) -> DataFrame:
             total_net_profit="net_profit",
         ),
         mean_net_margin().alias("avg_net_margin_pct"),
-        ratio("item_revenue", new).alias("revenue_per_new_customer"),
-        ratio("net_profit", new).alias("net_profit_per_new_customer"),
-        *_renamed(first_order_revenue="first_revenue", first_order_net_profit="first_net"),
+        per_unit("item_revenue", "new_customers").alias("revenue_per_new_customer"),
+        per_unit("net_profit", "new_customers").alias("net_profit_per_new_customer"),
+        *_amounts(first_order_revenue="first_revenue", first_order_net_profit="first_net"),
         percent("first_net", "first_revenue").alias("first_order_net_margin_pct"),
         # Against the monthly spend where there is one, else against the CAC charged.
-        ratio("net_profit", F.coalesce("estimated_monthly_spend", "cac_allocation")).alias("ltv_cac_ratio"),
+        ratio("net_profit", f"coalesce({cents('estimated_monthly_spend')}, cac_allocation)").alias("ltv_cac_ratio"),
     )
     return report.withColumn(
         "channel_tier",
@@ -295,7 +300,7 @@ def profit_waterfall(fact: DataFrame) -> DataFrame:
     """One row: the cascade from revenue to net profit over everything."""
     sums = per_order(fact).agg(_orders(), F.count_distinct("customer_id").alias("customers"), *add_up())
     return sums.select(
-        *_renamed(
+        *_amounts(
             step_01_item_revenue="item_revenue",
             step_02_less_cogs="item_cogs",
             step_03_less_logistics="logistics_cost",
@@ -305,13 +310,15 @@ def profit_waterfall(fact: DataFrame) -> DataFrame:
             step_07_contribution_margin="contribution_margin",
         ),
         *_of_revenue(cm_margin_pct="contribution_margin"),
-        *_renamed(step_08_less_cac="cac_allocation", step_09_net_profit="net_profit"),
+        *_amounts(step_08_less_cac="cac_allocation", step_09_net_profit="net_profit"),
         *_of_revenue(net_margin_pct="net_profit"),
-        leaked().cast(TOTAL).alias("total_profit_leaked"),
-        percent(leaked().cast(TOTAL), "item_revenue").alias("leakage_pct"),
-        F.col("orders").alias("total_orders"),
-        F.coalesce("lines", F.lit(0)).alias("total_line_items"),
-        F.col("customers").alias("total_customers"),
-        F.coalesce("leak_lines", F.lit(0)).alias("loss_making_line_items"),
-        percent(count_of("leak_lines"), count_of("lines")).alias("pct_items_losing_money"),
+        *_amounts(total_profit_leaked=LEAKED),
+        *_of_revenue(leakage_pct=LEAKED),
+        *_counts(
+            total_orders="orders",
+            total_line_items="lines",
+            total_customers="customers",
+            loss_making_line_items="leak_lines",
+        ),
+        percent("leak_lines", "lines").alias("pct_items_losing_money"),
     )

@@ -1,10 +1,9 @@
 """Pre-aggregation of the fact shared by the reports."""
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import mean, total
+from marginfold.functions.money import per_unit, total_cents
+from marginfold.schemas import PERCENT
 
 # The money columns of the fact that reports add up.
 MEASURES = [
@@ -29,16 +28,16 @@ def per_order(fact: DataFrame, *dims: str) -> DataFrame:
 
     Distinct orders then are a row count and distinct customers one grouping away, so reports
     with several distinct counts need no row expansion of the fact. Lines of an order meet
-    map-side, which also flattens huge orders. Measures a report does not use are pruned.
+    map-side, which also flattens huge orders. Money is in whole cents and percentages in
+    hundredths; measures a report does not use are pruned.
     """
-    first = F.col("is_first_order")
     return fact.groupBy("order_id", "customer_id", *dims).agg(
-        *[total(m).alias(m) for m in MEASURES],
-        total(F.when(first, F.col("item_revenue"))).alias("first_revenue"),
-        total(F.when(first, F.col("net_profit"))).alias("first_net"),
-        total("net_margin_pct").alias("net_margin_sum"),
+        *[total_cents(m).alias(m) for m in MEASURES],
+        total_cents("if(is_first_order, item_revenue, NULL)").alias("first_revenue"),
+        total_cents("if(is_first_order, net_profit, NULL)").alias("first_net"),
+        total_cents("net_margin_pct").alias("net_margin_sum"),
         F.count("net_margin_pct").alias("net_margin_lines"),
-        total("contribution_margin_pct").alias("cm_margin_sum"),
+        total_cents("contribution_margin_pct").alias("cm_margin_sum"),
         F.count("contribution_margin_pct").alias("cm_margin_lines"),
         F.count(F.lit(1)).alias("lines"),
         F.count_if("is_profit_leak").alias("leak_lines"),
@@ -51,26 +50,19 @@ def per_order(fact: DataFrame, *dims: str) -> DataFrame:
     )
 
 
-def add_up() -> Iterable[Column]:
+def add_up() -> list[Column]:
     """Sums of the measures and counts of ``per_order`` rows, under their own names."""
-    yield from (total(m).alias(m) for m in _SUMMED)
-    yield from (F.sum(c).alias(c) for c in _COUNTED)
+    return [F.sum(c).alias(c) for c in (*_SUMMED, *_COUNTED)]
 
 
 def mean_net_margin() -> Column:
     """Unweighted mean of the lines' net margin percentages."""
-    return mean(F.col("net_margin_sum"), F.col("net_margin_lines"))
+    return per_unit("net_margin_sum", "net_margin_lines", PERCENT)
 
 
 def mean_contribution_margin() -> Column:
-    return mean(F.col("cm_margin_sum"), F.col("cm_margin_lines"))
-
-
-def count_of(column: str) -> Column:
-    """A count as a narrow decimal, for exact division."""
-    return F.col(column).cast("decimal(12,0)")
+    return per_unit("cm_margin_sum", "cm_margin_lines", PERCENT)
 
 
-def leaked() -> Column:
-    """Revenue that did not become net profit, at most the revenue itself."""
-    return F.col("item_revenue") - F.greatest(F.col("net_profit"), F.lit(0))
+# Revenue that did not become net profit, at most the revenue itself.
+LEAKED = "(item_revenue - greatest(net_profit, 0))"

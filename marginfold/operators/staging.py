@@ -8,12 +8,13 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marginfold.functions.lookup import lookup
-from marginfold.functions.money import cents, percent, ratio
+from marginfold.functions.money import cents, half_up, half_up_wide, money, percent, per_unit, total_cents
 from marginfold.functions.ranking import row_number_by
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import MONEY, ORDER_MONEY, PERCENT, RATE, TOTAL
 
-_SECONDS = T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND, T.DayTimeIntervalType.SECOND)
+# Rates and cost ratios have four places.
+_RATE_UNIT = Decimal("0.0001")
 
 
 def _timestamp(column: str) -> Column:
@@ -45,7 +46,8 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         "order_channel",
         (F.col("order_status") == params.returned_status).alias("return_flag"),
     )
-    approval_seconds = (F.col("order_approved_at") - F.col("order_purchase_at")).cast(_SECONDS)
+    approval_lag = "(order_approved_at - order_purchase_at)"
+    approval_micros = f"cast(cast({approval_lag} as interval second) * 1000000 as decimal(20,0))"
     derived = typed.select(
         "*",
         # Whole days of the difference, towards zero: 12 hours late is 0 days, yet late.
@@ -54,7 +56,7 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         .alias("delivery_delay_days"),
         F.coalesce(F.col("delivered_at") > F.col("estimated_delivery_at"), F.lit(False)).alias("is_late_delivery"),
         # Purchase to approval.
-        ratio(approval_seconds.cast("decimal(18,6)"), F.lit(3600), 2, MONEY).alias("approval_lag_hours"),
+        money(half_up_wide(approval_micros, 100, "3600000000")).alias("approval_lag_hours"),
     )
     return row_number_by(
         derived,
@@ -69,21 +71,22 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
 
 def line_economics(items: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with price, cost of goods and freight; unknown products keep NULL costs."""
+    ratio_of = F.col("estimated_cost_ratio").cast(RATE)
     ratios = products.select(
         "product_id",
         F.col("product_category_name").alias("category"),
-        F.col("estimated_cost_ratio").cast(RATE).alias("cost_ratio"),
-    )
-    price = F.col("_price")
-    cogs = price * F.col("cost_ratio")
+        ratio_of.alias("cost_ratio"),
+        (ratio_of * 10_000).cast("bigint").alias("_ratio"),
+    ).withColumn("gross_margin_pct", money("10000 - _ratio", PERCENT))
+    price = cents("selling_price")
     return (
         items.select(
             "order_id",
             F.col("order_item_id").cast("int").alias("order_item_id"),
             "product_id",
             "seller_id",
-            F.col("price").cast(MONEY).alias("_price"),
-            F.col("freight_value").cast(MONEY).alias("_freight"),
+            F.col("price").cast(MONEY).alias("selling_price"),
+            F.col("freight_value").cast(MONEY).alias("logistics_cost"),
         )
         .join(ratios, "product_id", "left")
         .select(
@@ -93,12 +96,12 @@ def line_economics(items: DataFrame, products: DataFrame) -> DataFrame:
             "seller_id",
             "category",
             "cost_ratio",
-            cents(price).alias("selling_price"),
-            cents(cogs).alias("unit_cogs"),
-            cents("_freight").alias("logistics_cost"),
+            "selling_price",
+            money(half_up(f"{price} * _ratio", "10000")).alias("unit_cogs"),
+            "logistics_cost",
             # From the unrounded cost, so it may differ by a cent from price - unit_cogs.
-            cents(price - cogs).alias("gross_profit"),
-            cents((F.lit(1) - F.col("cost_ratio")) * 100, PERCENT).alias("gross_margin_pct"),
+            money(half_up(f"{price} * 10000 - {price} * _ratio", "10000")).alias("gross_profit"),
+            "gross_margin_pct",
         )
     )
 
@@ -110,19 +113,38 @@ def stage_order_items(items: DataFrame, orders: DataFrame, products: DataFrame)
 
 def payments_by_order(payments: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
     """One row per order: payment count, dominant type, amount paid and gateway fee."""
-    value = F.col("payment_value").cast(MONEY)
-    rate = lookup(F.col("payment_type"), params.fee_rates, RATE, params.default_fee_rate)
-    paid = F.sum(value)
-    weighted = F.sum(value * rate).cast("decimal(18,6)")
+    rate = lookup(F.col("payment_type"), params.fee_rates, _RATE_UNIT, params.default_fee_rate)
+    paid = payments.select(
+        "order_id",
+        "payment_type",
+        F.col("payment_sequential").cast("int").alias("sequence"),
+        F.col("payment_installments").cast("int").alias("installments"),
+        F.col("payment_value").cast(MONEY).alias("amount"),
+        rate.alias("rate"),
+    )
     # Largest payment wins, then the lowest sequence; a missing amount loses to any other.
-    size = F.struct(value, -F.col("payment_sequential").cast("int"))
-    return payments.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("payment_count"),
-        F.max_by("payment_type", size).alias("primary_payment_type"),
-        F.max(F.col("payment_installments").cast("int")).alias("max_installments"),
-        cents(paid, ORDER_MONEY).alias("total_payment_value"),
-        cents(weighted).alias("total_payment_fee"),
-        ratio(weighted * 100, paid.cast(ORDER_MONEY), 3, T.DecimalType(9, 3)).alias("effective_fee_rate_pct"),
+    size = F.struct("amount", -F.col("sequence"))
+    return (
+        paid.groupBy("order_id")
+        .agg(
+            F.count(F.lit(1)).alias("payment_count"),
+            F.max_by("payment_type", size).alias("primary_payment_type"),
+            F.max("installments").alias("max_installments"),
+            total_cents("amount").alias("paid"),
+            F.expr(f"sum({cents('amount')} * rate)").alias("weighted"),
+        )
+        .select(
+            "order_id",
+            "payment_count",
+            "primary_payment_type",
+            "max_installments",
+            money("paid", ORDER_MONEY).alias("total_payment_value"),
+            money(half_up("weighted", "10000")).alias("total_payment_fee"),
+            # weighted / 10^4 / paid in percent, 3 places
+            F.expr(
+                f"cast(cast({half_up_wide('weighted', 10, 'paid')} as decimal(9,0)) * 0.001BD as decimal(9,3))"
+            ).alias("effective_fee_rate_pct"),
+        )
     )
 
 
@@ -140,7 +162,6 @@ def stage_products(products: DataFrame) -> DataFrame:
     volume = integer("product_length_cm").cast("decimal(10,0)")
     volume = volume * integer("product_height_cm").cast("decimal(10,0)")
     volume = volume * integer("product_width_cm").cast("decimal(10,0)")
-    prices = integer("list_price_min").cast("decimal(12,0)") + integer("list_price_max").cast("decimal(12,0)")
     return products.select(
         "product_id",
         F.col("product_category_name").alias("category"),
@@ -151,7 +172,9 @@ def stage_products(products: DataFrame) -> DataFrame:
         integer("product_photos_qty").alias("photos_qty"),
         integer("list_price_min").alias("list_price_min"),
         integer("list_price_max").alias("list_price_max"),
-        cents(prices / 2).alias("avg_list_price"),
+        money(half_up("(cast(list_price_min as bigint) + cast(list_price_max as bigint)) * 100", "2")).alias(
+            "avg_list_price"
+        ),
         F.col("estimated_cost_ratio").cast(RATE).alias("cost_ratio"),
         F.round(volume / 5000, 3).cast("decimal(18,3)").alias("volumetric_weight_kg"),
     )
@@ -224,9 +247,7 @@ def channel_funnel(leads: DataFrame, deals: DataFrame, customers: DataFrame, ord
     return joined.select(
         "channel",
         *per_channel,
-        percent(F.col("total_deals").cast("decimal(12,0)"), F.col("total_leads").cast("decimal(12,0)")).alias(
-            "lead_conversion_rate_pct"
-        ),
+        percent("total_deals", "total_leads").alias("lead_conversion_rate_pct"),
         F.lit(None).cast(TOTAL).alias("estimated_monthly_spend"),
         F.lit(None).cast(TOTAL).alias("estimated_cac"),
     )
@@ -234,13 +255,17 @@ def channel_funnel(leads: DataFrame, deals: DataFrame, customers: DataFrame, ord
 
 def attach_spend(funnel: DataFrame, spend: Mapping[str, Decimal] = DEFAULT_PARAMS.monthly_spend) -> DataFrame:
     """Set monthly spend and CAC of the channels named in ``spend``; others keep what they have."""
-    given = lookup(F.col("channel"), spend, TOTAL)
-    cac = F.when(
-        F.col("new_customers") > 0, ratio(given, F.col("new_customers").cast("decimal(12,0)"), 2, TOTAL)
-    )
-    return funnel.withColumns(
-        {
-            "estimated_monthly_spend": F.coalesce(given, "estimated_monthly_spend"),
-            "estimated_cac": F.when(given.isNotNull(), cac).otherwise(F.col("estimated_cac")),
-        }
+    given = F.col("_given").isNotNull()
+    cac = F.when(F.col("new_customers") > 0, per_unit("_given", "new_customers"))
+    return (
+        funnel.withColumn("_given", lookup(F.col("channel"), spend, Decimal("0.01")))
+        .withColumns(
+            {
+                "estimated_monthly_spend": F.when(given, money("_given", TOTAL)).otherwise(
+                    F.col("estimated_monthly_spend")
+                ),
+                "estimated_cac": F.when(given, cac).otherwise(F.col("estimated_cac")),
+            }
+        )
+        .drop("_given")
     )

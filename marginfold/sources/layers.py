@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marginfold.operators.views import REPORT_ORDER, in_report_order
@@ -15,6 +17,27 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(table_path(root, layer, table))
 
 
+class Layer(Mapping[str, DataFrame]):
+    """The tables of a written layer, opened when they are first asked for."""
+
+    def __init__(self, spark: SparkSession, root: str, layer: str, names: list[str]):
+        self._spark, self._root, self._layer, self._names = spark, root, layer, names
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            self._open[name] = read_table(self._spark, self._root, self._layer, name)
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def write_table(frame: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
     """Replace a table and return it as read back.
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from marginfold.functions.ranking import row_number_by
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
-from marginfold.schemas import MONEY
+from marginfold.schemas import MONEY, RAW_COLUMNS
+from marginfold.sources.layers import table_path
 
 # Order priority to order channel.
 CHANNEL_OF_PRIORITY = {
@@ -50,12 +51,26 @@ def _choose(key: Column, table: dict[str, str], otherwise: str | None) -> Column
     return chain.otherwise(F.lit(otherwise))
 
 
+def _hundredths(column: str) -> Column:
+    """A two-decimal double as a whole number of hundredths."""
+    return F.rint(F.col(column) * 100).cast("bigint")
+
+
+def _cents(hundredths: Column, scale: int) -> Column:
+    """Whole cents of an unscaled product, rounded half up; all inputs are positive."""
+    return F.floor((hundredths * 2 + scale) / (2 * scale)).cast("bigint")
+
+
 def _price() -> Column:
-    return F.col("l_extendedprice").cast("decimal(14,2)") / F.lit(100).cast("decimal(3,0)")
+    return _cents(_hundredths("l_extendedprice"), 100)
 
 
 def _part_of_price(rate: str) -> Column:
-    return F.round(_price().cast("decimal(16,4)") * F.col(rate).cast("decimal(4,2)"), 2).cast(MONEY)
+    return _cents(_hundredths("l_extendedprice") * _hundredths(rate), 10_000)
+
+
+def _money(cents: Column) -> Column:
+    return (cents.cast("decimal(14,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY)
 
 
 def _text(column: str) -> Column:
@@ -113,7 +128,7 @@ class StarTables:
                 _after(start, F.lit(1), no_hours).alias("order_delivered_carrier_date"),
                 _after(start, key % 40, key % 24).alias("order_delivered_customer_date"),
                 _after(start, F.lit(20), no_hours).alias("order_estimated_delivery_date"),
-                F.when(key % 11 != 0, F.col("discount")).cast(MONEY).alias("order_discount_amount"),
+                F.when(key % 11 != 0, _money(F.col("discount"))).alias("order_discount_amount"),
                 _choose(F.substring("o_orderpriority", 1, 1), CHANNEL_OF_PRIORITY, None).alias("order_channel"),
             )
         )
@@ -125,8 +140,8 @@ class StarTables:
             _text("l_partkey").alias("product_id"),
             _text("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
-            F.round(_price(), 2).cast(MONEY).alias("price"),
-            _part_of_price("l_tax").alias("freight_value"),
+            _money(_price()).alias("price"),
+            _money(_part_of_price("l_tax")).alias("freight_value"),
         )
 
     def order_payments(self) -> DataFrame:
@@ -135,7 +150,7 @@ class StarTables:
             F.col("line_id").alias("payment_sequential"),
             _choose(F.concat("l_returnflag", "l_linestatus"), PAYMENT_TYPE_OF_LINE, "wallet").alias("payment_type"),
             F.col("l_linenumber").alias("payment_installments"),
-            F.round(_price(), 2).cast(MONEY).alias("payment_value"),
+            _money(_price()).alias("payment_value"),
         )
 
     def products(self) -> DataFrame:
@@ -200,12 +215,10 @@ class StarTables:
         )
 
     def raw(self) -> dict[str, DataFrame]:
-        return {
-            "orders": self.orders(),
-            "order_items": self.order_items(),
-            "order_payments": self.order_payments(),
-            "customers": self.customers(),
-            "products": self.products(),
-            "marketing_qualified_leads": self.marketing_qualified_leads(),
-            "closed_deals": self.closed_deals(),
-        }
+        return {name: getattr(self, name)() for name in RAW_COLUMNS}
+
+
+def write_raw_layer(spark: SparkSession, folder: str, root: str, params: EconomicsParams = DEFAULT_PARAMS) -> None:
+    """Write the canonical raw tables below ``root``, as CSV ingestion would."""
+    for name, frame in StarTables(spark, folder, params).raw().items():
+        frame.write.mode("overwrite").parquet(table_path(root, "raw", name))

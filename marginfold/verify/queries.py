@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,9 +11,11 @@ from marginfold.operators import checks, fact, views
 from marginfold.params import DEFAULT_PARAMS
 from marginfold.plans.build import run_all
 from marginfold.plans.mart import Mart
+from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
+from marginfold.sources.layers import Layer
 from marginfold.sources.scratch import scratch_folder, written
-from marginfold.sources.tpch import StarTables
+from marginfold.sources.tpch import write_raw_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +38,23 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*[plain(f) for f in frame.schema])
 
 
+_raw_roots: dict[tuple[str, str], str] = {}
+_raw_lock = threading.Lock()
+
+
+def raw_layer(spark: SparkSession, folder: str) -> Layer:
+    """The canonical raw tables of ``folder``, written on first use in a Spark application."""
+    key = (spark.sparkContext.applicationId, folder)
+    with _raw_lock:
+        if key not in _raw_roots:
+            root = scratch_folder(spark)
+            write_raw_layer(spark, folder, root)
+            _raw_roots[key] = root
+    return Layer(spark, _raw_roots[key], "raw", list(RAW_COLUMNS))
+
+
 def mart(spark: SparkSession, folder: str) -> Mart:
-    return Mart(StarTables(spark, folder).raw())
+    return Mart(raw_layer(spark, folder))
 
 
 class _StoredMart(Mart):
@@ -48,7 +66,7 @@ class _StoredMart(Mart):
 
 
 def stored_mart(spark: SparkSession, folder: str) -> Mart:
-    return _StoredMart(StarTables(spark, folder).raw())
+    return _StoredMart(raw_layer(spark, folder))
 
 
 def _on_mart(build: Callable[[Mart], DataFrame]) -> Query:
@@ -91,7 +109,7 @@ def _cascade(m: Mart) -> DataFrame:
 def _csv_copy(spark: SparkSession, folder: str) -> str:
     """The canonical tables of ``folder`` as CSV sources with a header, one folder per table."""
     target = scratch_folder(spark)
-    for name, frame in StarTables(spark, folder).raw().items():
+    for name, frame in raw_layer(spark, folder).items():
         (
             frame.select(*[_source_text(f).alias(f.name) for f in frame.schema])
             .write.option("header", True)
