@@ -24,7 +24,8 @@ def money(whole: str, dtype: T.DecimalType = MONEY) -> Column:
 
 def half_up(num: str, den: str) -> str:
     """Rounded BIGINT quotient; ``2 * num + den`` must fit."""
-    return f"((2 * ({num}) + if((({num}) < 0) = (({den}) < 0), ({den}), -({den}))) div nullif(2 * ({den}), 0))"
+    n, d = f"({num})", f"({den})"
+    return f"(CASE WHEN {d} <> 0 THEN (2 * {n} + if(({n} < 0) = ({d} < 0), {d}, -{d})) div (2 * {d}) END)"
 
 
 def half_up_wide(num: str, factor: str | int, den: str) -> str:
@@ -35,14 +36,15 @@ def half_up_wide(num: str, factor: str | int, den: str) -> str:
 
 
 def share_of(cost: str, part: str, whole: str) -> str:
-    """``cost * part / whole`` in cents, from two-place decimals.
+    """``cost * part / whole`` of whole cents, rounded.
 
-    The product of two amounts fits a BIGINT for all but the largest lines, which go wide.
+    The product of two amounts fits a BIGINT for all but enormous ones, which go through a
+    decimal quotient with 13 places.
     """
-    c, p, w = cents(cost), cents(part), cents(whole)
+    wide = f"cast({cost} as decimal(12,0)) * cast({part} as decimal(12,0)) / nullif(cast({whole} as decimal(14,0)), 0)"
     return (
-        f"CASE WHEN try_multiply(4 * {c}, {p}) IS NOT NULL THEN {half_up(f'{c} * {p}', w)} "
-        f"ELSE {half_up_wide(c, p, w)} END"
+        f"CASE WHEN try_multiply(4 * {cost}, {part}) IS NULL THEN cast(round({wide}) as bigint) "
+        f"ELSE {half_up(f'{cost} * {part}', whole)} END"
     )
 
 

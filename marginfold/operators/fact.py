@@ -1,4 +1,10 @@
-"""The order-line fact: joins, allocation of order-level costs, cost cascade."""
+"""The order-line fact: joins, allocation of order-level costs, cost cascade.
+
+Staged tables come in with decimal money. From the joined base up to the final projection money
+is whole cents and percentages are hundredths, both BIGINT: the amounts are converted before the
+shuffle, at order grain where possible, and the step with all the arithmetic stays small enough
+to be compiled as a whole.
+"""
 
 from __future__ import annotations
 
@@ -18,58 +24,59 @@ def _line_block(params: EconomicsParams) -> Column:
     return F.floor((F.col("order_item_id") - 1) / F.lit(params.rows_per_task)).cast("int")
 
 
-def _totals_with_blocks(items: DataFrame, params: EconomicsParams) -> DataFrame:
+def _order_spans(items: DataFrame, params: EconomicsParams) -> DataFrame:
+    """Revenue in cents, number of lines, and first and last line block per order."""
     block = _line_block(params)
-    return (
-        items.groupBy("order_id")
-        .agg(
-            total_cents("selling_price").alias("_revenue"),
-            F.count(F.lit(1)).alias("item_count"),
-            F.min(block).alias("_first_block"),
-            F.max(block).alias("_last_block"),
-        )
-        .select(
-            "order_id",
-            money("_revenue", ORDER_MONEY).alias("order_total_revenue"),
-            "item_count",
-            "_first_block",
-            "_last_block",
-        )
+    return items.groupBy("order_id").agg(
+        total_cents("selling_price").alias("order_total_revenue"),
+        F.count(F.lit(1)).alias("item_count"),
+        F.min(block).alias("_first_block"),
+        F.max(block).alias("_last_block"),
     )
 
 
 def order_totals(items: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
     """Revenue and number of lines per order."""
-    return _totals_with_blocks(items, params).drop("_first_block", "_last_block")
+    return _order_spans(items, params).select(
+        "order_id", money("order_total_revenue", ORDER_MONEY).alias("order_total_revenue"), "item_count"
+    )
 
 
 def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) -> DataFrame:
-    """Lines with the columns of their order and its totals.
+    """Lines, in cents, with the columns of their order and its totals.
 
     The order row is repeated once per block of its lines, which is once for all but huge orders.
     """
-    per_block = orders.join(_totals_with_blocks(items, params), "order_id").select(
+    per_block = orders.join(_order_spans(items, params), "order_id").select(
         "*", F.explode(F.sequence("_first_block", "_last_block")).alias("_block")
     )
-    return (
-        items.withColumn("_block", _line_block(params))
-        .join(per_block, ["order_id", "_block"])
-        .drop("_block", "_first_block", "_last_block")
+    lines = items.select(
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "category",
+        *[F.expr(cents(m)).alias(m) for m in ("selling_price", "unit_cogs", "gross_profit", "logistics_cost")],
+        F.expr(cents("gross_margin_pct")).alias("gross_margin_pct"),
+        _line_block(params).alias("_block"),
     )
+    return lines.join(per_block, ["order_id", "_block"]).drop("_block", "_first_block", "_last_block")
 
 
 def _return_cost(params: EconomicsParams) -> Column:
     reverse, restocking = (
         int(rate * 10_000) for rate in (params.reverse_logistics_multiplier, params.restocking_rate)
     )
-    cost = f"{cents('logistics_cost')} * {reverse} + {cents('unit_cogs')} * {restocking}"
-    return F.when(F.col("return_flag"), money(half_up(cost, "10000"))).otherwise(F.lit(0).cast(MONEY))
+    cost = half_up(f"logistics_cost * {reverse} + unit_cogs * {restocking}", "10000")
+    return F.expr(f"if(return_flag, {cost}, 0L)")
 
 
 def return_costs(items: DataFrame, orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
     """Reverse freight plus restocking for every line of a returned order, else 0."""
-    return _join_lines(items, orders.select("order_id", "return_flag"), params).select(
-        "order_id", "order_item_id", _return_cost(params).alias("return_cost")
+    return (
+        _join_lines(items, orders.select("order_id", "return_flag"), params)
+        .withColumn("return_cost", _return_cost(params))
+        .select("order_id", "order_item_id", money("return_cost").alias("return_cost"))
     )
 
 
@@ -88,7 +95,7 @@ def fact_base(
     cac: DataFrame,
     params: EconomicsParams = DEFAULT_PARAMS,
 ) -> DataFrame:
-    """Every column the metrics need, one row per line.
+    """Every column the metrics need, one row per line, money in cents.
 
     Everything at order grain is joined first, so the lines are shuffled once. Orders without a
     customer or a payment drop out; unknown products stay with NULL costs.
@@ -96,7 +103,7 @@ def fact_base(
     # Only channels with a configured spend carry a cost, so this side has as many rows as the
     # spend settings have entries; all other channels cost 0 either way.
     charged = cac.filter(F.col("cac_per_new_customer") != 0).select(
-        F.col("channel").alias("order_channel"), "cac_per_new_customer"
+        F.col("channel").alias("order_channel"), F.expr(cents("cac_per_new_customer")).alias("channel_cac")
     )
     headers = (
         orders.select(
@@ -108,7 +115,7 @@ def fact_base(
             "return_flag",
             "is_late_delivery",
             "customer_order_seq",
-            F.col("discount_amount").alias("order_discount"),
+            F.expr(cents("discount_amount")).alias("order_discount"),
         )
         .join(
             customers.select("customer_id", "customer_segment", "customer_state", "acquisition_channel"),
@@ -116,7 +123,7 @@ def fact_base(
         )
         .join(
             payments.select(
-                "order_id", "primary_payment_type", F.col("total_payment_fee").alias("order_payment_fee")
+                "order_id", "primary_payment_type", F.expr(cents("total_payment_fee")).alias("order_payment_fee")
             ),
             "order_id",
         )
@@ -153,47 +160,37 @@ def fact_base(
         "order_discount",
         "order_total_revenue",
         "item_count",
-        F.coalesce("cac_per_new_customer", F.lit(0)).cast(MONEY).alias("channel_cac"),
+        F.expr("coalesce(channel_cac, 0L)").alias("channel_cac"),
     )
 
 
 def allocate_by_revenue_share(lines: DataFrame, cost: str, out: str) -> DataFrame:
     """Spread an order-level cost over the lines by revenue; NULL for an order without revenue."""
-    return lines.withColumn(out, money(share_of(cost, "item_revenue", "order_total_revenue")))
+    return lines.withColumn(out, F.expr(share_of(cost, "item_revenue", "order_total_revenue")))
 
 
 def revenue_share(lines: DataFrame, out: str = "item_revenue_share") -> DataFrame:
-    """The line's part of the order's revenue, 6 places."""
-    millionths = half_up(f"{cents('item_revenue')} * 1000000", cents("order_total_revenue"))
-    return lines.withColumn(out, F.expr(f"cast(cast({millionths} as decimal(9,0)) * 0.000001BD as decimal(9,6))"))
+    """The line's part of the order's revenue, in millionths."""
+    return lines.withColumn(out, F.expr(half_up("item_revenue * 1000000", "order_total_revenue")))
 
 
 def allocate_cac(lines: DataFrame) -> DataFrame:
     """Charge the channel's acquisition cost to the customer's first order, by revenue share."""
-    charged = money(share_of("channel_cac", "item_revenue", "order_total_revenue"))
-    return lines.withColumn(
-        "cac_allocation",
-        F.when(F.col("customer_order_seq") == 1, charged).otherwise(F.lit(0).cast(MONEY)),
-    )
+    charged = share_of("channel_cac", "item_revenue", "order_total_revenue")
+    return lines.withColumn("cac_allocation", F.expr(f"if(customer_order_seq = 1, {charged}, 0L)"))
 
 
 def cost_cascade(lines: DataFrame) -> DataFrame:
     """Contribution margin, net profit, their percentages and the loss flag."""
-    margin = (
-        "item_revenue - item_cogs - logistics_cost - payment_fee - discount_allocated - return_cost"
-    )
-
-    def of_revenue(amount: str) -> Column:
-        return money(half_up(f"{cents(amount)} * 10000", cents("item_revenue")), PERCENT)
-
+    margin = "item_revenue - item_cogs - logistics_cost - payment_fee - discount_allocated - return_cost"
     return (
-        lines.withColumn("contribution_margin", F.expr(margin).cast(MONEY))
-        .withColumn("net_profit", F.expr("contribution_margin - cac_allocation").cast(MONEY))
+        lines.withColumn("contribution_margin", F.expr(margin))
+        .withColumn("net_profit", F.expr("contribution_margin - cac_allocation"))
         .withColumns(
             {
-                "contribution_margin_pct": of_revenue("contribution_margin"),
-                "net_margin_pct": of_revenue("net_profit"),
-                "is_profit_leak": F.col("net_profit") < 0,
+                "contribution_margin_pct": F.expr(half_up("contribution_margin * 10000", "item_revenue")),
+                "net_margin_pct": F.expr(half_up("net_profit * 10000", "item_revenue")),
+                "is_profit_leak": F.expr("net_profit < 0"),
             }
         )
     )
@@ -217,7 +214,22 @@ def fact_order_items(
     """One row per order line with the full cascade from revenue to net profit."""
     base = fact_base(items, orders, customers, payments, channel_cac(funnel), params)
     lines = cost_cascade(allocate_costs(base))
-    keyed = lines.withColumn(
-        "order_item_key", F.concat("order_id", F.lit("-"), F.col("order_item_id").cast("string"))
+    return in_fact_types(lines).select(*[f.name for f in FACT_SCHEMA])
+
+
+def in_fact_types(lines: DataFrame) -> DataFrame:
+    """Key the lines and turn cents, hundredths and millionths into the fact's decimals."""
+    typed = {
+        f.name: money(f.name, f.dataType)
+        for f in FACT_SCHEMA
+        if f.dataType in (MONEY, PERCENT) and f.name in lines.columns
+    }
+    return lines.withColumns(
+        {
+            **typed,
+            "item_revenue_share": F.expr(
+                "cast(cast(item_revenue_share as decimal(9,0)) * 0.000001BD as decimal(9,6))"
+            ),
+            "order_item_key": F.concat("order_id", F.lit("-"), F.col("order_item_id").cast("string")),
+        }
     )
-    return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA])

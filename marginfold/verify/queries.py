@@ -7,11 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from marginfold.functions.money import money
 from marginfold.operators import checks, fact, views
 from marginfold.params import DEFAULT_PARAMS
 from marginfold.plans.build import run_all
 from marginfold.plans.mart import Mart
-from marginfold.schemas import RAW_COLUMNS
+from marginfold.schemas import ORDER_MONEY, RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
 from marginfold.sources.layers import Layer
 from marginfold.sources.scratch import scratch_folder, written
@@ -81,28 +82,48 @@ def _table(name: str) -> Query:
     return _on_mart(lambda m: getattr(m, name))
 
 
+def _base(m: Mart) -> DataFrame:
+    return _decimals(m.fact_base)
+
+
+def _decimals(lines: DataFrame) -> DataFrame:
+    """The cents, hundredths and millionths inside the fact build, as decimals."""
+    amounts = (
+        "item_revenue item_cogs gross_profit gross_margin_pct logistics_cost return_cost order_payment_fee"
+        " order_discount order_total_revenue channel_cac payment_fee discount_allocated cac_allocation"
+        " contribution_margin contribution_margin_pct net_profit net_margin_pct"
+    ).split()
+    out = {c: money(c, ORDER_MONEY) for c in amounts if c in lines.columns}
+    if "item_revenue_share" in lines.columns:
+        out["item_revenue_share"] = F.expr("cast(item_revenue_share as decimal(9,0)) * 0.000001BD")
+    return lines.withColumns(out)
+
+
 def _allocated(m: Mart) -> DataFrame:
     lines = fact.revenue_share(m.fact_base)
     lines = fact.allocate_by_revenue_share(lines, "order_payment_fee", "payment_fee")
     lines = fact.allocate_by_revenue_share(lines, "order_discount", "discount_allocated")
-    return lines.select("order_id", "order_item_id", "item_revenue_share", "payment_fee", "discount_allocated")
+    return _decimals(
+        lines.select("order_id", "order_item_id", "item_revenue_share", "payment_fee", "discount_allocated")
+    )
 
 
 def _cac_allocated(m: Mart) -> DataFrame:
-    return fact.allocate_cac(m.fact_base).select(
-        "order_id", "order_item_id", "is_first_order", "channel_cac", "cac_allocation"
-    )
+    lines = fact.allocate_cac(m.fact_base)
+    return _decimals(lines.select("order_id", "order_item_id", "is_first_order", "channel_cac", "cac_allocation"))
 
 
 def _cascade(m: Mart) -> DataFrame:
-    return fact.cost_cascade(fact.allocate_costs(m.fact_base)).select(
-        "order_id",
-        "order_item_id",
-        "contribution_margin",
-        "contribution_margin_pct",
-        "net_profit",
-        "net_margin_pct",
-        "is_profit_leak",
+    return _decimals(
+        fact.cost_cascade(fact.allocate_costs(m.fact_base)).select(
+            "order_id",
+            "order_item_id",
+            "contribution_margin",
+            "contribution_margin_pct",
+            "net_profit",
+            "net_margin_pct",
+            "is_profit_leak",
+        )
     )
 
 
@@ -170,7 +191,7 @@ def queries() -> dict[str, Query]:
         "b10_order_totals": _on_mart(lambda m: fact.order_totals(m.stg_order_items)),
         "b11_return_costs": _on_mart(lambda m: fact.return_costs(m._lines, m.stg_orders)),
         "b12_channel_cac": _on_mart(lambda m: fact.channel_cac(m.stg_channel_summary)),
-        "b13_fact_base": _table("fact_base"),
+        "b13_fact_base": _on_mart(_base),
         "b14_allocate_by_revenue_share": _on_mart(_allocated),
         "b15_allocate_cac": _on_mart(_cac_allocated),
         "b16_cost_cascade": _on_mart(_cascade),
