@@ -23,29 +23,30 @@ def money(whole: str, dtype: T.DecimalType = MONEY) -> Column:
 
 
 def half_up(num: str, den: str) -> str:
-    """Rounded BIGINT quotient; ``2 * num + den`` must fit."""
-    n, d = f"({num})", f"({den})"
-    return f"(CASE WHEN {d} <> 0 THEN (2 * {n} + if(({n} < 0) = ({d} < 0), {d}, -{d})) div (2 * {d}) END)"
+    """Rounded BIGINT quotient; ``num`` plus half of ``den`` must fit."""
+    n, d = f"({num})", f"nullif({den}, 0)"
+    return f"(({n} + if({n} < 0, -1, 1) * (abs({den}) div 2)) div {d})"
 
 
 def half_up_wide(num: str, factor: str | int, den: str) -> str:
     """Rounded ``num * factor / den`` of BIGINTs with a 38-digit product."""
     n = f"(cast({num} as decimal(19,0)) * cast({factor} as decimal(18,0)))"
-    d = f"cast({den} as decimal(19,0))"
-    return f"((2 * {n} + if(({n} < 0) = ({d} < 0), {d}, -{d})) div nullif(2 * {d}, 0))"
+    return f"(({n} + if({n} < 0, -1, 1) * (abs({den}) div 2)) div nullif(cast({den} as decimal(19,0)), 0))"
 
 
-def share_of(cost: str, part: str, whole: str) -> str:
+# Two amounts up to 20 million, in cents, have a product that fits a BIGINT.
+SMALL_AMOUNT = 2_000_000_000
+
+
+def share_of(cost: str, part: str, whole: str, half: str, small: str) -> str:
     """``cost * part / whole`` of whole cents, rounded.
 
-    The product of two amounts fits a BIGINT for all but enormous ones, which go through a
-    decimal quotient with 13 places.
+    ``whole`` is not 0, ``half`` is ``abs(whole) div 2``, and ``small`` tells whether cost and part
+    are both within ``SMALL_AMOUNT``; others go through a decimal quotient with 13 places.
     """
-    wide = f"cast({cost} as decimal(12,0)) * cast({part} as decimal(12,0)) / nullif(cast({whole} as decimal(14,0)), 0)"
-    return (
-        f"CASE WHEN try_multiply(4 * {cost}, {part}) IS NULL THEN cast(round({wide}) as bigint) "
-        f"ELSE {half_up(f'{cost} * {part}', whole)} END"
-    )
+    wide = f"cast({cost} as decimal(12,0)) * cast({part} as decimal(12,0)) / cast({whole} as decimal(14,0))"
+    fast = f"({cost} * {part} + if({cost} * {part} < 0, -{half}, {half})) div {whole}"
+    return f"if({small}, {fast}, cast(round({wide}) as bigint))"
 
 
 def percent(part: str, whole: str) -> Column:

@@ -1,16 +1,16 @@
 """The order-line fact: joins, allocation of order-level costs, cost cascade.
 
-Staged tables come in with decimal money. From the joined base up to the final projection money
-is whole cents and percentages are hundredths, both BIGINT: the amounts are converted before the
-shuffle, at order grain where possible, and the step with all the arithmetic stays small enough
-to be compiled as a whole.
+Staged tables come in with decimal money. From the joined base up to the final projection the
+amounts that are computed with are whole cents and percentages are hundredths, both BIGINT. What
+can be computed before the join, per order or per line, is; so the step with all the arithmetic
+generates little enough code for the JVM to compile it to machine code as a whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import cents, half_up, money, share_of, total_cents
+from marginfold.functions.money import SMALL_AMOUNT, cents, half_up, money, share_of, total_cents
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import FACT_SCHEMA, MONEY, ORDER_MONEY, PERCENT, TOTAL
 
@@ -48,7 +48,11 @@ def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) ->
     The order row is repeated once per block of its lines, which is once for all but huge orders.
     """
     per_block = orders.join(_order_spans(items, params), "order_id").select(
-        "*", F.explode(F.sequence("_first_block", "_last_block")).alias("_block")
+        "*",
+        # Divisor of every revenue share and half of it, once per order.
+        F.expr("nullif(order_total_revenue, 0)").alias("_whole"),
+        F.expr("abs(order_total_revenue) div 2").alias("_half"),
+        F.explode(F.sequence("_first_block", "_last_block")).alias("_block"),
     )
     lines = items.select(
         "order_id",
@@ -56,26 +60,32 @@ def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) ->
         "product_id",
         "seller_id",
         "category",
-        *[F.expr(cents(m)).alias(m) for m in ("selling_price", "unit_cogs", "gross_profit", "logistics_cost")],
-        F.expr(cents("gross_margin_pct")).alias("gross_margin_pct"),
+        "gross_profit",
+        "gross_margin_pct",
+        *[F.expr(cents(m)).alias(m) for m in ("selling_price", "unit_cogs", "logistics_cost")],
+        _cost_if_returned(params).alias("_cost_if_returned"),
         _line_block(params).alias("_block"),
     )
     return lines.join(per_block, ["order_id", "_block"]).drop("_block", "_first_block", "_last_block")
 
 
-def _return_cost(params: EconomicsParams) -> Column:
+def _cost_if_returned(params: EconomicsParams) -> Column:
     reverse, restocking = (
         int(rate * 10_000) for rate in (params.reverse_logistics_multiplier, params.restocking_rate)
     )
-    cost = half_up(f"logistics_cost * {reverse} + unit_cogs * {restocking}", "10000")
-    return F.expr(f"if(return_flag, {cost}, 0L)")
+    freight, cogs = cents("logistics_cost"), cents("unit_cogs")
+    return F.expr(half_up(f"{freight} * {reverse} + {cogs} * {restocking}", "10000"))
+
+
+def _return_cost() -> Column:
+    return F.expr("if(return_flag, _cost_if_returned, 0L)")
 
 
 def return_costs(items: DataFrame, orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
     """Reverse freight plus restocking for every line of a returned order, else 0."""
     return (
         _join_lines(items, orders.select("order_id", "return_flag"), params)
-        .withColumn("return_cost", _return_cost(params))
+        .withColumn("return_cost", _return_cost())
         .select("order_id", "order_item_id", money("return_cost").alias("return_cost"))
     )
 
@@ -95,7 +105,9 @@ def fact_base(
     cac: DataFrame,
     params: EconomicsParams = DEFAULT_PARAMS,
 ) -> DataFrame:
-    """Every column the metrics need, one row per line, money in cents.
+    """Every column the metrics need, one row per line.
+
+    Money is in cents, but for gross profit and margin, which pass through unchanged.
 
     Everything at order grain is joined first, so the lines are shuffled once. Orders without a
     customer or a payment drop out; unknown products stay with NULL costs.
@@ -111,10 +123,14 @@ def fact_base(
             "customer_id",
             "order_date",
             "order_month",
+            F.year("order_date").alias("order_year"),
+            F.quarter("order_date").alias("order_quarter"),
+            F.date_format("order_date", "MMM yyyy").alias("month_label"),
             "order_channel",
             "return_flag",
             "is_late_delivery",
             "customer_order_seq",
+            (F.col("customer_order_seq") == 1).alias("is_first_order"),
             F.expr(cents("discount_amount")).alias("order_discount"),
         )
         .join(
@@ -128,6 +144,11 @@ def fact_base(
             "order_id",
         )
         .join(F.broadcast(charged), "order_channel", "left")
+        .withColumn("channel_cac", F.expr("coalesce(channel_cac, 0L)"))
+        .withColumn(
+            "_small_costs",
+            F.expr(f"greatest(abs(order_payment_fee), abs(order_discount), abs(channel_cac)) <= {SMALL_AMOUNT}"),
+        )
     )
     return _join_lines(items, headers, params).select(
         "order_id",
@@ -137,9 +158,9 @@ def fact_base(
         "seller_id",
         "order_date",
         "order_month",
-        F.year("order_date").alias("order_year"),
-        F.quarter("order_date").alias("order_quarter"),
-        F.date_format("order_date", "MMM yyyy").alias("month_label"),
+        "order_year",
+        "order_quarter",
+        "month_label",
         "category",
         "customer_segment",
         "customer_state",
@@ -149,35 +170,43 @@ def fact_base(
         "return_flag",
         "is_late_delivery",
         "customer_order_seq",
-        (F.col("customer_order_seq") == 1).alias("is_first_order"),
+        "is_first_order",
         F.col("selling_price").alias("item_revenue"),
         F.col("unit_cogs").alias("item_cogs"),
         "gross_profit",
         "gross_margin_pct",
         "logistics_cost",
-        _return_cost(params).alias("return_cost"),
+        _return_cost().alias("return_cost"),
         "order_payment_fee",
         "order_discount",
         "order_total_revenue",
         "item_count",
-        F.expr("coalesce(channel_cac, 0L)").alias("channel_cac"),
+        "channel_cac",
+        "_whole",
+        "_half",
+        F.expr(f"_small_costs AND abs(selling_price) <= {SMALL_AMOUNT}").alias("_small"),
     )
 
 
+def _share(cost: str) -> str:
+    return share_of(cost, "item_revenue", "_whole", "_half", "_small")
+
+
 def allocate_by_revenue_share(lines: DataFrame, cost: str, out: str) -> DataFrame:
     """Spread an order-level cost over the lines by revenue; NULL for an order without revenue."""
-    return lines.withColumn(out, F.expr(share_of(cost, "item_revenue", "order_total_revenue")))
+    return lines.withColumn(out, F.expr(_share(cost)))
 
 
 def revenue_share(lines: DataFrame, out: str = "item_revenue_share") -> DataFrame:
     """The line's part of the order's revenue, in millionths."""
-    return lines.withColumn(out, F.expr(half_up("item_revenue * 1000000", "order_total_revenue")))
+    return lines.withColumn(
+        out, F.expr("(item_revenue * 1000000 + if(item_revenue < 0, -_half, _half)) div _whole")
+    )
 
 
 def allocate_cac(lines: DataFrame) -> DataFrame:
     """Charge the channel's acquisition cost to the customer's first order, by revenue share."""
-    charged = share_of("channel_cac", "item_revenue", "order_total_revenue")
-    return lines.withColumn("cac_allocation", F.expr(f"if(customer_order_seq = 1, {charged}, 0L)"))
+    return lines.withColumn("cac_allocation", F.expr(f"if(is_first_order, {_share('channel_cac')}, 0L)"))
 
 
 def cost_cascade(lines: DataFrame) -> DataFrame:
@@ -222,7 +251,7 @@ def in_fact_types(lines: DataFrame) -> DataFrame:
     typed = {
         f.name: money(f.name, f.dataType)
         for f in FACT_SCHEMA
-        if f.dataType in (MONEY, PERCENT) and f.name in lines.columns
+        if f.dataType in (MONEY, PERCENT) and f.name not in ("gross_profit", "gross_margin_pct")
     }
     return lines.withColumns(
         {

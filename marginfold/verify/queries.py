@@ -83,13 +83,13 @@ def _table(name: str) -> Query:
 
 
 def _base(m: Mart) -> DataFrame:
-    return _decimals(m.fact_base)
+    return _decimals(m.fact_base.drop("_whole", "_half", "_small"))
 
 
 def _decimals(lines: DataFrame) -> DataFrame:
     """The cents, hundredths and millionths inside the fact build, as decimals."""
     amounts = (
-        "item_revenue item_cogs gross_profit gross_margin_pct logistics_cost return_cost order_payment_fee"
+        "item_revenue item_cogs logistics_cost return_cost order_payment_fee"
         " order_discount order_total_revenue channel_cac payment_fee discount_allocated cac_allocation"
         " contribution_margin contribution_margin_pct net_profit net_margin_pct"
     ).split()
