@@ -349,13 +349,14 @@ def check_fact_integrity(fact: DataFrame) -> DataFrame:
 def check_key(name: str, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Whether ``keys`` identify the rows of a table: unique and never NULL."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows = F.col("_rows")
     return (
         table.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("null_keys"),
-            F.count_if((F.col("n") > 1) & ~missing).alias("duplicate_keys"),
+            F.coalesce(F.sum(rows), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum(F.when(missing, rows)), F.lit(0)).alias("null_keys"),
+            F.count_if((rows > 1) & ~missing).alias("duplicate_keys"),
         )
         .select(
             F.lit(name).alias("table_name"),
