@@ -21,7 +21,7 @@ def _line_block(params: EconomicsParams) -> Column:
     ``(order_id, order_item_id)`` is a key, so a block never holds more than ``rows_per_task``
     lines: joining on order and block spreads an order of any size over several tasks.
     """
-    return F.floor((F.col("order_item_id") - 1) / F.lit(params.rows_per_task)).cast("int")
+    return F.expr(f"cast((order_item_id - 1) div {params.rows_per_task} as int)")
 
 
 def _order_spans(items: DataFrame, params: EconomicsParams) -> DataFrame:

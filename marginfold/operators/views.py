@@ -51,7 +51,10 @@ def channel_economics(report: DataFrame) -> DataFrame:
 
 
 def fact_explorer(fact: DataFrame) -> DataFrame:
-    """Line-level columns for drill-down, newest first."""
+    """Line-level columns for drill-down, newest first.
+
+    The keys behind the date let the sort split a busy day over several tasks.
+    """
     return fact.select(
         "order_id",
         "order_item_id",
@@ -80,7 +83,7 @@ def fact_explorer(fact: DataFrame) -> DataFrame:
         "is_first_order",
         "is_profit_leak",
         "customer_order_seq",
-    ).orderBy(F.desc_nulls_first("order_date"))
+    ).orderBy(F.desc_nulls_first("order_date"), "order_id", "order_item_id")
 
 
 def _average(column: str) -> Column:
@@ -180,20 +183,23 @@ def waterfall_steps(waterfall: DataFrame) -> DataFrame:
     return stack_rows(waterfall, rows)
 
 
-# Sort column and direction of each report; the waterfall is a single row.
+# Sort column, direction and tie-break of each report; the waterfall is a single row.
 REPORT_ORDER = {
-    "summary_by_month": ("order_month", "asc"),
-    "rpt_category_profitability": ("total_net_profit", "desc"),
-    "rpt_customer_profitability": ("total_net_profit", "desc"),
-    "rpt_cac_by_channel": ("total_net_profit", "desc"),
-    "rpt_loss_making_orders": ("order_net_profit", "asc"),
+    "summary_by_month": ("order_month", "asc", "month_label"),
+    "rpt_category_profitability": ("total_net_profit", "desc", "category"),
+    "rpt_customer_profitability": ("total_net_profit", "desc", "customer_id"),
+    "rpt_cac_by_channel": ("total_net_profit", "desc", "channel"),
+    "rpt_loss_making_orders": ("order_net_profit", "asc", "order_id"),
     "rpt_profit_waterfall": None,
 }
 
 
 def in_report_order(name: str, report: DataFrame) -> DataFrame:
-    """A report in its fixed reading order."""
+    """A report in its fixed reading order.
+
+    The tie-break lets the sort split a value that very many rows share over several tasks.
+    """
     if REPORT_ORDER[name] is None:
         return report
-    column, direction = REPORT_ORDER[name]
-    return report.orderBy(F.asc_nulls_last(column) if direction == "asc" else F.desc_nulls_first(column))
+    column, direction, tie_break = REPORT_ORDER[name]
+    return report.orderBy(F.asc_nulls_last(column) if direction == "asc" else F.desc_nulls_first(column), tie_break)

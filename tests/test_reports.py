@@ -185,9 +185,11 @@ def test_monthly_summary_and_averages(spark):
 
 
 def test_report_orders(spark):
-    rows = spark.createDataFrame([("a", 1), ("b", None), ("c", 3)], "k string, total_net_profit int")
-    got = [r.k for r in views.in_report_order("rpt_customer_profitability", rows).collect()]
-    assert got == ["b", "c", "a"]
+    rows = spark.createDataFrame(
+        [("a", 1), ("b", None), ("d", 3), ("c", 3)], "customer_id string, total_net_profit int"
+    )
+    got = [r.customer_id for r in views.in_report_order("rpt_customer_profitability", rows).collect()]
+    assert got == ["b", "c", "d", "a"]
 
 
 def test_quick_stats(spark):
