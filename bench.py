@@ -19,12 +19,12 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from marginfold.operators import checks, fact, reports, staging, views  # noqa: E402
 from marginfold.plans.build import build_analytics, build_staging  # noqa: E402
+from marginfold.plans.mart import Mart  # noqa: E402
 from marginfold.schemas import RAW_COLUMNS  # noqa: E402
 from marginfold.session import configured  # noqa: E402
 from marginfold.sources.layers import Layer  # noqa: E402
 from marginfold.sources.scratch import scratch_folder  # noqa: E402
 from marginfold.sources.tpch import write_raw_layer  # noqa: E402
-from marginfold.verify.queries import queries  # noqa: E402
 
 RUNS = 3
 
@@ -80,7 +80,7 @@ def main() -> None:
         "check_fact_integrity": lambda: checks.check_fact_integrity(lines),
         "sanity_summary": lambda: checks.sanity_summary(lines),
         "fact_explorer": lambda: views.fact_explorer(lines),
-        "waterfall_from_raw_tables": lambda: queries()["b25_profit_waterfall"](spark, folder),
+        "waterfall_from_raw_layer": lambda: Mart(raw).rpt_profit_waterfall,
     }
     for name, build in steps.items():
         runs = [timed(lambda: build().write.format("noop").mode("overwrite").save())[0] for _ in range(1 + RUNS)]
