@@ -1,28 +1,52 @@
-"""Intermediate tables in the session's shared checkpoint folder."""
+"""Intermediate tables in the folder that the driver and all executors share."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_bases: dict[str, str] = {}
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder path below the session's checkpoint folder.
+def shared_base(spark: SparkSession) -> str:
+    """The session's checkpoint folder, from its setting or from ``setCheckpointDir``.
 
-    Only a session that names none, as in tests, gets a temporary folder of this machine.
+    Where neither is given, a session in one process (``local[n]``), as in tests, gets a temporary
+    folder that goes with the process; on a cluster this raises, because executors there would not
+    see one another's files.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="marginfold-")
-    return f"{base}/marginfold-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    base = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if base:
+        return base
+    master = context.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {_SETTING} to a folder that all executors share")
+    if context.applicationId not in _local_bases:
+        made = tempfile.mkdtemp(prefix="marginfold-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _local_bases[context.applicationId] = made
+    return _local_bases[context.applicationId]
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder path below the shared folder."""
+    return f"{shared_base(spark).rstrip('/')}/marginfold-{uuid.uuid4().hex}"
 
 
-def written(frame: DataFrame) -> DataFrame:
+def written(frame: DataFrame, path: str | None = None) -> DataFrame:
     """The frame as a Parquet table: computed once, read column by column by later steps."""
-    path = scratch_folder(frame.sparkSession)
+    path = path or scratch_folder(frame.sparkSession)
     frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
