@@ -1,0 +1,186 @@
+import hashlib
+import re
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from marginfold.llm.pii import DAYS, FIRST_DAY, NUMBERS, ROUNDS, SECRET, permuted, pseudonymise, restore
+
+KEY = "a key of the tests"
+
+
+def prf(tweak, step, value):
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    inner = digest(digest(f"inner {KEY}") + f"{tweak}:{step}:{value}")
+    return int(digest(digest(f"outer {KEY}") + inner)[:15], 16)
+
+
+def feistel(tweak, left, right, n_left, n_right):
+    for step in range(ROUNDS):
+        if step % 2 == 0:
+            left = (left + prf(tweak, step, right)) % n_left
+        else:
+            right = (right + prf(tweak, step, left)) % n_right
+    return left, right
+
+
+def classes(c, hexadecimal):
+    if hexadecimal:
+        return "0123456789abcdef"
+    for chars in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        if c in chars:
+            return chars
+    return c
+
+
+def moved_text(kind, text, hexadecimal=False):
+    out = ""
+    for start in range(0, len(text), 18):
+        chunk = text[start : start + 18]
+        half = (len(chunk) + 1) // 2
+        numbers, sizes = [], []
+        for part in (chunk[:half], chunk[half:]):
+            n = size = 0
+            n, size = 0, 1
+            for c in part:
+                n, size = n * len(classes(c, hexadecimal)) + classes(c, hexadecimal).index(c), size * len(classes(c, hexadecimal))
+            numbers.append(n)
+            sizes.append(size)
+        for part, n in zip((chunk[:half], chunk[half:]), feistel(f"{kind}/{len(text)}/{start + 1}", *numbers, *sizes)):
+            spelled = ""
+            for c in reversed(part):
+                n, rank = divmod(n, len(classes(c, hexadecimal)))
+                spelled = classes(c, hexadecimal)[rank] + spelled
+            out += spelled
+    return out
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def filled(layout, digits):
+    digits = iter(digits)
+    return "".join(next(digits) if c.isdigit() else c for c in layout)
+
+
+def mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def day_moved(tweak, day):
+    left, right = feistel(tweak, *divmod(day, DAYS[1]), *DAYS)
+    return left * DAYS[1] + right
+
+
+def brute(value):
+    """The pseudonym of one value, or None where it is not valid."""
+    if "@" in value:
+        local, domain = value.split("@")
+        return moved_text("email", local) + "@" + domain
+    if re.match("[A-Z]", value):
+        if mod97(value[4:] + value[:4]) != 1:
+            return None
+        account = moved_text("iban", value[4:])
+        return value[:2] + f"{98 - mod97(account + value[:2] + '00'):02d}" + account
+    if re.fullmatch(r"\d{3}-\d\d-\d{4}", value):
+        area, group, serial = map(int, value.split("-"))
+        left, right = feistel("ssn", (area - 1 - (area > 666)) * 99 + group - 1, serial - 1, 898 * 99, 9999)
+        area = left // 99 + 1
+        return f"{area + (area >= 666):03d}-{left % 99 + 1:02d}-{right + 1:04d}"
+    first = date.fromisoformat(FIRST_DAY)
+    if re.fullmatch(r"\d{4}-\d\d-\d\d|\d\d([./])\d\d\1\d{4}", value):
+        a, b, c = map(int, re.split("[-./]", value))
+        layout, ymd = ("%Y-%m-%d", (a, b, c)) if value[4] == "-" else (f"%d{value[2]}%m{value[2]}%Y", (c, b, a))
+        if value[2] == "/" and b > 12 and a <= 12:
+            layout, ymd = "%m/%d/%Y", (c, a, b)
+        try:
+            day = (date(*ymd) - first).days
+        except ValueError:
+            return None
+        if not 0 <= day < DAYS[0] * DAYS[1]:
+            return None
+        if layout == "%m/%d/%Y":
+            day = day_moved("month first", day)
+            while (first + timedelta(day)).day <= 12:
+                day = day_moved("month first", day)
+        else:
+            day = day_moved("date", day)
+        return (first + timedelta(day)).strftime(layout)
+    if re.fullmatch(r"\d+(\.\d+){3}", value):
+        a, b, c, d = map(int, value.split("."))
+        left, right = feistel("ip", a * 256 + b, c * 256 + d, 65536, 65536)
+        return ".".join(map(str, (*divmod(left, 256), *divmod(right, 256))))
+    digits = re.sub(r"\D", "", value)
+    if len(digits) >= 13 and "(" not in value and "+" not in value:
+        if not luhn(digits):
+            return None
+        body = moved_text("card", digits[:-1])
+        return filled(value, body + next(d for d in "0123456789" if luhn(body + d)))
+    tail = re.search(r"\(?[0-9]{3}[).-].*$", value)[0]
+    return value[: -len(tail)] + filled(tail, moved_text("phone", digits[-10:]))
+
+
+VALUES = [
+    "that.92@mail2.example.com", "A_very.Long-Local+part.with.Many.characters99@x.example", "4539578763621486", "4539 5787 6362 1486",
+    "378282246310005", "+1 (017) 555-7713", "(826) 555-4081", "826-555-4081", "123-45-6789", "899-99-9999", "192.168.0.1", "255.255.255.255",
+    "1984-02-29", "31.12.1999", "12/25/1999", "25/12/1999", "01/02/2003", "DE89370400440532013000", "GB82WEST12345698765432",
+]
+NOT_VALID = ["4539578763621487", "1999-02-30", "31/31/1999", "2099-12-31", "DE89370400440532013001", "000-12-3456", "1.2.3", "256.1.1.1", "12345678901234567890", "99/99/9999", "1789-07-14"]
+
+
+@pytest.fixture(scope="module")
+def replaced(spark):
+    rows = [(i, f"Before {v}, after.\n{v}!!", v) for i, v in enumerate(VALUES + NOT_VALID)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, value string")
+    return {r["value"]: r for r in pseudonymise(frame, KEY).collect()}
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_valid_values_equal_brute_force(replaced, value):
+    new = brute(value)
+    assert new != value
+    assert replaced[value]["text"] == f"Before {new}, after.\n{new}!!"
+    assert len(replaced[value]["pii_kinds"]) == 2
+
+
+@pytest.mark.parametrize("value", NOT_VALID)
+def test_other_values_stay(replaced, value):
+    assert replaced[value]["text"] == f"Before {value}, after.\n{value}!!" and replaced[value]["pii_kinds"] == []
+
+
+def test_secrets_keep_their_alphabet(spark):
+    texts = ['token = "1eb9c654e721b4f812088970e66a6345cee33dd6"###', 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!!', "password: 'Zx9_Zx9_Zx9_Zx9_'", 'other = "1eb9c654e721b4f812088970e66a6345cee33dd6"']
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    new = [r["text"] for r in pseudonymise(frame, KEY).collect()]
+    assert new[0] == f'token = "{moved_text("secret", "1eb9c654e721b4f812088970e66a6345cee33dd6", True)}"###'
+    assert re.fullmatch('TOKEN = "[0-9A-F]{40}"!!', new[1]) and new[1] != texts[1]
+    assert new[2] == f"password: '{moved_text('secret', 'Zx9_Zx9_Zx9_Zx9_')}'"
+    assert new[3] == texts[3]
+
+
+def test_restored_with_the_key_only(spark):
+    rows = [(" ".join(VALUES + NOT_VALID),), ('token = "1eb9c654e721b4f812088970e66a6345cee33dd6"',), ("plain",), (None,), ("",)]
+    frame = spark.createDataFrame(rows, "text string")
+    new = pseudonymise(frame, KEY).drop("pii_kinds")
+    assert [r["text"] for r in restore(new, KEY).collect()] == [t for (t,) in rows]
+    assert restore(new, "another key").first()["text"] != rows[0][0]
+
+
+def test_small_domain_is_permuted(spark):
+    pair = permuted(KEY, F.lit("t"), F.col("a"), F.col("b"), F.lit(7), F.lit(11))
+    frame = spark.range(77).select((F.col("id") % 7).alias("a"), F.expr("id div 7").alias("b"))
+    assert frame.select(pair.alias("p")).distinct().count() == 77
+
+
+def test_nulls_repeats_clashing_names_and_long_texts(spark):
+    rows = [(1, None, 5, "k"), (1, None, 5, "k"), (None, "", 5, "k"), (2, "word " * 50000 + "123-45-6789", 5, "k")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, found int, __matches string")
+    got = pseudonymise(frame, KEY)
+    assert got.columns == [*frame.columns, "pii_kinds"]
+    out = sorted(got.collect(), key=lambda r: len(r["text"] or ""))
+    assert [r["text"] for r in out[:3]] in ([None, None, ""], [None, "", None], ["", None, None])
+    assert out[3]["text"] == "word " * 50000 + brute("123-45-6789") and out[3]["pii_kinds"] == ["ssn"]
+    assert {(r["found"], r["__matches"]) for r in out} == {(5, "k")}
+    assert pseudonymise(frame.limit(0), KEY).count() == 0
