@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, language_id, simhash
+from marginfold.llm import byte_bpe, decontaminate, language_id, pii, simhash
+from marginfold.llm.sql import DECONTAMINATION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,14 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kinds = F.array_join(F.array_sort(F.array_distinct("pii_kinds")), ",")
+    return pii.pseudonymise(docs).select(
+        "doc_id", "text", F.size("pii_kinds").cast("bigint").alias("n_pseudonyms"), kinds.alias("kinds")
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN)
@@ -35,13 +44,20 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return decontaminate.contamination(docs, table(spark, folder, "benchmark")).drop("doc")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op3_pii": op3_pii,
         "op5_byte_bpe": op5_byte_bpe,
         "op7_language_id": op7_language_id,
+        "op8_decontamination": op8_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": DECONTAMINATION}
