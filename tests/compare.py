@@ -36,10 +36,14 @@ def _same(a, b):
 
 def compare(spark, con, name, folder):
     """None when equal, else a description of the first difference."""
-    frame = queries()[name](spark, folder)
+    return compare_results(queries()[name](spark, folder), con, oracle_sql()[name])
+
+
+def compare_results(frame, con, sql):
+    """None when a frame has the rows of a DuckDB query, else a description of the first difference."""
     columns = sorted(frame.columns)
     got = [tuple(r[c] for c in columns) for r in frame.collect()]
-    result = con.execute(oracle_sql()[name])
+    result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(names) != columns:
         return f"columns differ: {set(names) ^ set(columns)}"
