@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, language_id, pii, simhash
-from marginfold.llm.sql import DECONTAMINATION
+from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash
+from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id",
+        "stratum",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -51,6 +66,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_simhash": op2_simhash,
         "op3_pii": op3_pii,
         "op5_byte_bpe": op5_byte_bpe,
@@ -60,4 +76,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": DECONTAMINATION}
+    return {"op1_quality_rules": QUALITY_RULES, "op8_decontamination": DECONTAMINATION}
