@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash
+from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash, token_files
 from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
+from marginfold.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "byte_bpe_50k.json"
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -46,6 +48,12 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_folder(spark)
+    manifest = token_files.write_tokens(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), target)
+    return token_files.read_tokens(manifest, target)
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN)
@@ -69,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_simhash": op2_simhash,
         "op3_pii": op3_pii,
+        "op4_token_files": op4_token_files,
         "op5_byte_bpe": op5_byte_bpe,
         "op7_language_id": op7_language_id,
         "op8_decontamination": op8_decontamination,
