@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash, token_files
+from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_mil, quality_rules, simhash, token_files
 from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
 from marginfold.sources.scratch import scratch_folder
 
@@ -72,6 +72,18 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(docs, table(spark, folder, "benchmark")).drop("doc")
 
 
+def op9_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality_mil.score_quality(docs, quality_mil.train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        quality_mil.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted"),
+        "n_passages",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -81,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op5_byte_bpe": op5_byte_bpe,
         "op7_language_id": op7_language_id,
         "op8_decontamination": op8_decontamination,
+        "op9_quality_mil": op9_quality_mil,
     }
 
 
