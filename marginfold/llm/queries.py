@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_mil, quality_rules, simhash, token_files
+from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_mil, quality_rules, simhash, token_counts, token_files
 from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
 from marginfold.sources.scratch import scratch_folder
 
@@ -59,6 +59,10 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN)
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     predicted = language_id.predict_language(docs, language_id.train(docs))
@@ -91,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op3_pii": op3_pii,
         "op4_token_files": op4_token_files,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_token_counts": op6_token_counts,
         "op7_language_id": op7_language_id,
         "op8_decontamination": op8_decontamination,
         "op9_quality_mil": op9_quality_mil,

@@ -41,7 +41,7 @@ _CHECKSUMS = 1 << 7
 _CACHE_PIECES = 600_000
 _PIECE_BATCH = 4096
 # Punctuation of one class of the pre-splitter that is part of no contraction and no special token.
-_MARKS = '.,!?;:()"%&$#*'
+MARKS = '.,!?;:()"%&$#*'
 DOCUMENTS_PER_FILE = 4000
 MOST_READERS = 10_000
 
@@ -150,7 +150,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, with or without a space before them: one match of the pre-splitter."""
@@ -160,7 +160,7 @@ class Encoder:
     def _learn(self, pieces: Iterable[str]) -> None:
         known, others = self.known, []
         for piece in pieces:
-            word = piece.rstrip(_MARKS)
+            word = piece.rstrip(MARKS)
             if word.lstrip(" ").isalpha() and word[1:2] != " ":
                 # Marks behind a word are a match of their own.
                 marks = piece[len(word) :]
@@ -191,7 +191,7 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + end, "<u4") for pieces in cut]
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """The character that stands for each byte in the vocabulary: itself where it prints, else one from U+0100 on."""
     printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [byte for byte in range(256) if byte not in set(printed)]

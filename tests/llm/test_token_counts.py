@@ -1,0 +1,78 @@
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from marginfold.llm.token_counts import PATTERN, ChunkMap, Counter, Vocabulary, count_tokens
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+COUNTER = Counter(Vocabulary.read(PATH))
+PARTS = [" ", "  ", "a", "É", "'s", "12", ".,!", "\n", "\t", "\x85", "<|endoftext|>", "<|", "word", "🙂", "²", "interesting", "ththereonbleanshtion", "==", "            "]
+
+
+def expected(text):
+    return len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+def test_pattern_is_the_public_one():
+    assert PATTERN == public_tokenizers.PATTERN
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=30), st.integers(1, 20))
+@settings(max_examples=1000, deadline=None)
+def test_counts_equal_the_library_at_any_chunk_size(parts, chunk):
+    text = "".join(parts)
+    assert COUNTER.count(text) == COUNTER.count(text, chunk) == expected(text)
+
+
+@given(st.text(alphabet="thesionraé", max_size=60))
+@settings(max_examples=1000, deadline=None)
+def test_transducer_equals_the_definition(word):
+    data = word.encode()
+    assert COUNTER.transducer.count(data) == len(COUNTER.transducer.vocabulary.encode(data))
+
+
+def test_vocabulary_tokens_count_as_one():
+    rng = random.Random(5)
+    whole = sum(COUNTER.transducer.count(token) == 1 for token in rng.sample(sorted(COUNTER.transducer.vocabulary.tokens), 2000))
+    assert whole > 1990
+
+
+def test_clearing_changes_nothing(monkeypatch):
+    for name in ("_MOST_TRANSITIONS", "_MOST_PIECES", "_MOST_PAIRS"):
+        monkeypatch.setattr(f"marginfold.llm.token_counts.{name}", 40)
+    counter = Counter(Vocabulary.read(PATH))
+    rng = random.Random(6)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices(["th", "on", "re", "é", "."], k=5)) for _ in range(20))
+        assert counter.count(text) == expected(text)
+
+
+def test_composition_is_associative():
+    text = "Some words, and\nmore  of them: " * 3 + "x" * 40
+    for a in range(1, len(text), 7):
+        for b in range(a, len(text), 11):
+            maps = [COUNTER.chunk_map(part) for part in (text[:a], text[a:b], text[b:])]
+            left = COUNTER.compose(COUNTER.compose(*maps[:2]), maps[2])
+            right = COUNTER.compose(maps[0], COUNTER.compose(*maps[1:]))
+            assert left == right
+    assert COUNTER.scan([]) == ChunkMap("")
+
+
+def test_table_of_documents(spark):
+    rows = [(1, "One two", 5), (2, None, 5), (3, "", 5), (None, "É 🙂 <|endoftext|> x", 5), (1, "One two", 5), (4, "long words " * 40000, 5), (5, "x" * 200_000, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    got = sorted((tuple(r) for r in count_tokens(docs, PATH).collect()), key=str)
+    want = [(i, len((t or "").encode()), expected(t or ""), expected(t or "") > 1024) for i, t, _ in rows]
+    assert got == sorted(want, key=str)
+    assert count_tokens(docs.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
+def test_counts_of_a_whole_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert {r["doc_id"]: r["n_tokens"] for r in count_tokens(docs, PATH).collect()} == {i: expected(t) for i, t in texts.items()}
