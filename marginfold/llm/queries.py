@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, language_id, pii, quality_mil, quality_rules, simhash, token_counts, token_files
+from marginfold.llm import byte_bpe, decontaminate, html_text, language_id, pii, quality_mil, quality_rules, simhash, token_counts, token_files
 from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
 from marginfold.sources.scratch import scratch_folder
 
@@ -88,6 +88,10 @@ def op9_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -99,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op7_language_id": op7_language_id,
         "op8_decontamination": op8_decontamination,
         "op9_quality_mil": op9_quality_mil,
+        "op10_html_text": op10_html_text,
     }
 
 
