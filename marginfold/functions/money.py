@@ -34,19 +34,15 @@ def half_up_wide(num: str, factor: str | int, den: str) -> str:
     return f"(({n} + if({n} < 0, -1, 1) * (abs({den}) div 2)) div nullif(cast({den} as decimal(19,0)), 0))"
 
 
-# Two amounts up to 20 million, in cents, have a product that fits a BIGINT.
-SMALL_AMOUNT = 2_000_000_000
+def share_of(cost: str, part: str, whole: str, units: int = 1) -> str:
+    """``cost * part / whole`` in whole cents, rounded once; NULL for a whole of 0.
 
-
-def share_of(cost: str, part: str, whole: str, half: str, small: str) -> str:
-    """``cost * part / whole`` of whole cents, rounded.
-
-    ``whole`` is not 0, ``half`` is ``abs(whole) div 2``, and ``small`` tells whether cost and part
-    are both within ``SMALL_AMOUNT``; others go through a decimal quotient with 13 places.
+    ``part`` and ``whole`` are cents, ``cost`` is in ``units`` to the cent, 1 or an even number. The
+    product of up to 20 and 18 digits is exact.
     """
-    wide = f"cast({cost} as decimal(12,0)) * cast({part} as decimal(12,0)) / cast({whole} as decimal(14,0))"
-    fast = f"({cost} * {part} + if({cost} * {part} < 0, -{half}, {half})) div {whole}"
-    return f"if({small}, {fast}, cast(round({wide}) as bigint))"
+    n = f"(cast({cost} as decimal(20,0)) * cast({part} as decimal(18,0)))"
+    half = f"abs({whole}) div 2" if units == 1 else f"abs({whole}) * {units // 2}BD"
+    return f"(({n} + if({n} < 0, -1, 1) * ({half})) div nullif(cast({whole} as decimal(19,0)) * {units}BD, 0BD))"
 
 
 def percent(part: str, whole: str) -> Column:

@@ -2,46 +2,31 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marginfold.sources.scratch import written
 
-def row_number_by(
-    rows: DataFrame,
-    key: Column,
-    slice_by: Column,
-    order_by: list[Column],
-    out: str,
-    hot_rows: int,
-) -> DataFrame:
-    """Exact ``row_number() OVER (PARTITION BY key ORDER BY order_by)``.
 
-    A window sorts each key in one task. Keys above ``hot_rows`` rows are therefore cut into
-    slices that follow the sort order: rank inside the slice, then add the rows of all earlier
-    slices. ``key`` and ``slice_by`` must not be NULL, and ``slice_by`` must never decrease
-    along ``order_by``. Other keys keep a NULL slice and go through the one window shuffle only.
-    """
-    keyed = rows.withColumns({"_key": key, "_slice_value": slice_by})
+def row_number_by(rows: DataFrame, key: Column, order_by: list[Column], out: str) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY key ORDER BY order_by)``; ``key`` must not be NULL.
 
-    # At most (all rows / hot_rows) keys can exceed the limit, which bounds this broadcast.
-    hot = (
-        keyed.groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select("_key", F.lit(True).alias("_hot"))
+    A window sorts each key in one task. Here the rows are range-partitioned by key and order first,
+    which spreads every key over as many parts as its rows fill, whatever they have in common; rows are
+    numbered within key and part, and the rows of the key's earlier parts are added. Where a part
+    ends depends on a sample, so the parts are written to the shared folder and read for both.
+    """
+    keyed = rows.withColumn("_key", key)
+    parts = written(
+        keyed.repartitionByRange(F.asc("_key"), *order_by).withColumn("_part", F.spark_partition_id())
     )
-    marked = keyed.join(F.broadcast(hot), "_key", "left")
-
-    by_slice = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    by_part = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
-        keyed.join(F.broadcast(hot), "_key")
-        .groupBy("_key", F.col("_slice_value").alias("_slice"))
+        parts.groupBy("_key", "_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_key", "_slice", F.coalesce(F.sum("_rows").over(by_slice), F.lit(0)).alias("_before"))
+        .select("_key", "_part", F.coalesce(F.sum("_rows").over(by_part), F.lit(0)).alias("_before"))
     )
-
-    within = Window.partitionBy("_key", "_slice").orderBy(*order_by)
+    within = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*order_by))
     return (
-        marked.withColumn("_slice", F.when(F.col("_hot"), F.col("_slice_value")))
-        .withColumn("_within", F.row_number().over(within).cast("bigint"))
-        .join(earlier, ["_key", "_slice"], "left")
-        .withColumn(out, F.col("_within") + F.coalesce("_before", F.lit(0)))
-        .drop("_key", "_slice", "_slice_value", "_hot", "_within", "_before")
+        parts.withColumn("_within", within.cast("bigint"))
+        .join(earlier, ["_key", "_part"])
+        .withColumn(out, F.col("_within") + F.col("_before"))
+        .select(*rows.columns, out)
     )

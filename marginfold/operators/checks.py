@@ -89,7 +89,7 @@ def _allocation_gap(fact: DataFrame, allocated: str, orders: DataFrame, amount:
     """Per order, the distance between the allocated sum and the order's own amount."""
     summed = fact.groupBy("order_id").agg(total_cents(allocated).alias("_allocated"))
     return summed.join(orders.select("order_id", F.col(amount).alias("_amount")), "order_id").select(
-        money(f"abs(_allocated - {cents('_amount')})", TOTAL).alias("gap")
+        F.expr("cast(abs(cast(_allocated as decimal(18,0)) * 0.01BD - _amount) as decimal(26,8))").alias("gap")
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import SMALL_AMOUNT, cents, half_up, money, share_of, total_cents
+from marginfold.functions.money import cents, half_up, money, share_of, total_cents
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import FACT_SCHEMA, MONEY, ORDER_MONEY, PERCENT, TOTAL
 
@@ -24,35 +24,34 @@ def _line_block(params: EconomicsParams) -> Column:
     return F.expr(f"cast((order_item_id - 1) div {params.rows_per_task} as int)")
 
 
-def _order_spans(items: DataFrame, params: EconomicsParams) -> DataFrame:
-    """Revenue in cents, number of lines, and first and last line block per order."""
-    block = _line_block(params)
-    return items.groupBy("order_id").agg(
+def _order_spans(lines: DataFrame, params: EconomicsParams) -> DataFrame:
+    """Revenue in cents, number of lines, and the blocks that hold lines, per order."""
+    return lines.groupBy("order_id").agg(
         total_cents("selling_price").alias("order_total_revenue"),
         F.count(F.lit(1)).alias("item_count"),
-        F.min(block).alias("_first_block"),
-        F.max(block).alias("_last_block"),
+        # At most one block per line, and one in all for an order of usual size.
+        F.collect_set(_line_block(params)).alias("_blocks"),
     )
 
 
-def order_totals(items: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
-    """Revenue and number of lines per order."""
-    return _order_spans(items, params).select(
-        "order_id", money("order_total_revenue", ORDER_MONEY).alias("order_total_revenue"), "item_count"
+def order_totals(lines: DataFrame) -> DataFrame:
+    """Revenue and number of lines per order, from lines with their price."""
+    return lines.groupBy("order_id").agg(
+        F.sum("selling_price").cast(ORDER_MONEY).alias("order_total_revenue"), F.count(F.lit(1)).alias("item_count")
     )
 
 
-def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) -> DataFrame:
-    """Lines, in cents, with the columns of their order and its totals.
+def _join_lines(items: DataFrame, prices: DataFrame, orders: DataFrame, params: EconomicsParams) -> DataFrame:
+    """Lines, in cents, with the columns of their order and its totals from ``prices``.
 
     The order row is repeated once per block of its lines, which is once for all but huge orders.
     """
-    per_block = orders.join(_order_spans(items, params), "order_id").select(
+    per_block = orders.join(_order_spans(prices, params), "order_id").select(
         "*",
         # Divisor of every revenue share and half of it, once per order.
         F.expr("nullif(order_total_revenue, 0)").alias("_whole"),
         F.expr("abs(order_total_revenue) div 2").alias("_half"),
-        F.explode(F.sequence("_first_block", "_last_block")).alias("_block"),
+        F.explode("_blocks").alias("_block"),
     )
     lines = items.select(
         "order_id",
@@ -63,30 +62,23 @@ def _join_lines(items: DataFrame, orders: DataFrame, params: EconomicsParams) ->
         "gross_profit",
         "gross_margin_pct",
         *[F.expr(cents(m)).alias(m) for m in ("selling_price", "unit_cogs", "logistics_cost")],
-        _cost_if_returned(params).alias("_cost_if_returned"),
+        F.expr(cents(_cost_if_returned(params))).alias("_cost_if_returned"),
         _line_block(params).alias("_block"),
     )
-    return lines.join(per_block, ["order_id", "_block"]).drop("_block", "_first_block", "_last_block")
+    return lines.join(per_block, ["order_id", "_block"]).drop("_block", "_blocks")
 
 
-def _cost_if_returned(params: EconomicsParams) -> Column:
-    reverse, restocking = (
-        int(rate * 10_000) for rate in (params.reverse_logistics_multiplier, params.restocking_rate)
-    )
-    freight, cogs = cents("logistics_cost"), cents("unit_cogs")
-    return F.expr(half_up(f"{freight} * {reverse} + {cogs} * {restocking}", "10000"))
-
-
-def _return_cost() -> Column:
-    return F.expr("if(return_flag, _cost_if_returned, 0L)")
+def _cost_if_returned(params: EconomicsParams) -> str:
+    """Reverse freight plus restocking as money, the rates taken in full."""
+    reverse, restocking = params.reverse_logistics_multiplier, params.restocking_rate
+    return f"cast(round(logistics_cost * {reverse:f}BD + unit_cogs * {restocking:f}BD, 2) as {MONEY.simpleString()})"
 
 
 def return_costs(items: DataFrame, orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) -> DataFrame:
     """Reverse freight plus restocking for every line of a returned order, else 0."""
-    return (
-        _join_lines(items, orders.select("order_id", "return_flag"), params)
-        .withColumn("return_cost", _return_cost())
-        .select("order_id", "order_item_id", money("return_cost").alias("return_cost"))
+    cost = f"if(return_flag, {_cost_if_returned(params)}, 0)"
+    return items.join(orders.select("order_id", "return_flag"), "order_id").select(
+        "order_id", "order_item_id", F.expr(cost).cast(MONEY).alias("return_cost")
     )
 
 
@@ -104,16 +96,18 @@ def fact_base(
     payments: DataFrame,
     cac: DataFrame,
     params: EconomicsParams = DEFAULT_PARAMS,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Every column the metrics need, one row per line.
 
-    Money is in cents, but for gross profit and margin, which pass through unchanged.
+    Money is in cents, but for gross profit, margin and the order's discount, which pass through
+    unchanged. ``prices`` may give the lines' prices from nearer to their source; order totals come
+    from them, so that lines need not be joined with their products twice.
 
     Everything at order grain is joined first, so the lines are shuffled once. Orders without a
     customer or a payment drop out; unknown products stay with NULL costs.
     """
-    # Only channels with a configured spend carry a cost, so this side has as many rows as the
-    # spend settings have entries; all other channels cost 0 either way.
+    # Only channels with a configured spend carry a cost; all others cost 0 either way.
     charged = cac.filter(F.col("cac_per_new_customer") != 0).select(
         F.col("channel").alias("order_channel"), F.expr(cents("cac_per_new_customer")).alias("channel_cac")
     )
@@ -131,7 +125,7 @@ def fact_base(
             "is_late_delivery",
             "customer_order_seq",
             (F.col("customer_order_seq") == 1).alias("is_first_order"),
-            F.expr(cents("discount_amount")).alias("order_discount"),
+            F.col("discount_amount").alias("order_discount"),
         )
         .join(
             customers.select("customer_id", "customer_segment", "customer_state", "acquisition_channel"),
@@ -143,14 +137,10 @@ def fact_base(
             ),
             "order_id",
         )
-        .join(F.broadcast(charged), "order_channel", "left")
+        .join(charged, "order_channel", "left")
         .withColumn("channel_cac", F.expr("coalesce(channel_cac, 0L)"))
-        .withColumn(
-            "_small_costs",
-            F.expr(f"greatest(abs(order_payment_fee), abs(order_discount), abs(channel_cac)) <= {SMALL_AMOUNT}"),
-        )
     )
-    return _join_lines(items, headers, params).select(
+    return _join_lines(items, prices or items, headers, params).select(
         "order_id",
         "order_item_id",
         "customer_id",
@@ -176,7 +166,7 @@ def fact_base(
         "gross_profit",
         "gross_margin_pct",
         "logistics_cost",
-        _return_cost().alias("return_cost"),
+        F.expr("if(return_flag, _cost_if_returned, 0L)").alias("return_cost"),
         "order_payment_fee",
         "order_discount",
         "order_total_revenue",
@@ -184,17 +174,22 @@ def fact_base(
         "channel_cac",
         "_whole",
         "_half",
-        F.expr(f"_small_costs AND abs(selling_price) <= {SMALL_AMOUNT}").alias("_small"),
     )
 
 
-def _share(cost: str) -> str:
-    return share_of(cost, "item_revenue", "_whole", "_half", "_small")
+# The order's discount, as it came in, in units of a millionth of a cent.
+_DISCOUNT_UNITS = 1_000_000
+_DISCOUNT = "order_discount * 100000000BD"
+
+
+def _share(cost: str, units: int = 1) -> str:
+    return share_of(cost, "item_revenue", "_whole", units)
 
 
 def allocate_by_revenue_share(lines: DataFrame, cost: str, out: str) -> DataFrame:
     """Spread an order-level cost over the lines by revenue; NULL for an order without revenue."""
-    return lines.withColumn(out, F.expr(_share(cost)))
+    share = _share(_DISCOUNT, _DISCOUNT_UNITS) if cost == "order_discount" else _share(cost)
+    return lines.withColumn(out, F.expr(share))
 
 
 def revenue_share(lines: DataFrame, out: str = "item_revenue_share") -> DataFrame:
@@ -239,9 +234,10 @@ def fact_order_items(
     payments: DataFrame,
     funnel: DataFrame,
     params: EconomicsParams = DEFAULT_PARAMS,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line with the full cascade from revenue to net profit."""
-    base = fact_base(items, orders, customers, payments, channel_cac(funnel), params)
+    base = fact_base(items, orders, customers, payments, channel_cac(funnel), params, prices)
     lines = cost_cascade(allocate_costs(base))
     return in_fact_types(lines).select(*[f.name for f in FACT_SCHEMA])
 

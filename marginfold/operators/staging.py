@@ -8,13 +8,13 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marginfold.functions.lookup import lookup
-from marginfold.functions.money import cents, half_up, half_up_wide, money, percent, per_unit, total_cents
+from marginfold.functions.money import half_up, half_up_wide, money, percent, per_unit
 from marginfold.functions.ranking import row_number_by
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
-from marginfold.schemas import MONEY, ORDER_MONEY, PERCENT, RATE, TOTAL
+from marginfold.schemas import AMOUNT_IN, MONEY, ORDER_MONEY, PERCENT, RATIO_IN, TOTAL
 
-# Rates and cost ratios have four places.
-_RATE_UNIT = Decimal("0.0001")
+# Fee rates may have six places.
+_RATE_UNIT = Decimal("0.000001")
 
 
 def _timestamp(column: str) -> Column:
@@ -42,12 +42,16 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         _timestamp("order_estimated_delivery_date").alias("estimated_delivery_at"),
         F.to_date(_timestamp("order_purchase_timestamp")).alias("order_date"),
         F.trunc(F.to_date(_timestamp("order_purchase_timestamp")), "month").alias("order_month"),
-        F.coalesce(F.col("order_discount_amount").cast(MONEY), F.lit(0).cast(MONEY)).alias("discount_amount"),
+        F.coalesce(F.col("order_discount_amount").cast(AMOUNT_IN), F.lit(0).cast(AMOUNT_IN)).alias("discount_amount"),
         "order_channel",
         (F.col("order_status") == params.returned_status).alias("return_flag"),
     )
-    approval_lag = "(order_approved_at - order_purchase_at)"
-    approval_micros = f"cast(cast({approval_lag} as interval second) * 1000000 as decimal(20,0))"
+    lag = "(order_approved_at - order_purchase_at)"
+    # Field by field: an interval itself must not be multiplied, it would overflow after some months.
+    approval_micros = (
+        f"(((extract(day from {lag}) * 24 + extract(hour from {lag})) * 60 + extract(minute from {lag})) * 60000000L"
+        f" + cast(extract(second from {lag}) * 1000000 as bigint))"
+    )
     derived = typed.select(
         "*",
         # Whole days of the difference, towards zero: 12 hours late is 0 days, yet late.
@@ -62,31 +66,40 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         derived,
         # Orders without a customer form one group of their own, apart from every id.
         key=F.coalesce(F.concat(F.lit("="), "customer_id"), F.lit("")),
-        slice_by=F.coalesce("order_date", F.lit("9999-12-31").cast("date")),
         order_by=[F.asc_nulls_last("order_purchase_at"), F.asc("order_id")],
         out="customer_order_seq",
-        hot_rows=params.rows_per_task,
+    )
+
+
+def line_prices(items: DataFrame) -> DataFrame:
+    """Order lines with their price, all that order totals need."""
+    return items.select(
+        "order_id",
+        F.col("order_item_id").cast("int").alias("order_item_id"),
+        F.round(F.col("price").cast(AMOUNT_IN), 2).cast(MONEY).alias("selling_price"),
     )
 
 
 def line_economics(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with price, cost of goods and freight; unknown products keep NULL costs."""
-    ratio_of = F.col("estimated_cost_ratio").cast(RATE)
+    """Order lines with price, cost of goods and freight; unknown products keep NULL costs.
+
+    Costs and profits come from the price and ratio as given and are rounded once.
+    """
+    ratio = F.col("estimated_cost_ratio").cast(RATIO_IN)
     ratios = products.select(
         "product_id",
         F.col("product_category_name").alias("category"),
-        ratio_of.alias("cost_ratio"),
-        (ratio_of * 10_000).cast("bigint").alias("_ratio"),
-    ).withColumn("gross_margin_pct", money("10000 - _ratio", PERCENT))
-    price = cents("selling_price")
+        ratio.alias("cost_ratio"),
+        F.round((1 - ratio) * 100, 2).cast(PERCENT).alias("gross_margin_pct"),
+    )
     return (
         items.select(
             "order_id",
             F.col("order_item_id").cast("int").alias("order_item_id"),
             "product_id",
             "seller_id",
-            F.col("price").cast(MONEY).alias("selling_price"),
-            F.col("freight_value").cast(MONEY).alias("logistics_cost"),
+            F.col("price").cast(AMOUNT_IN).alias("price"),
+            F.round(F.col("freight_value").cast(AMOUNT_IN), 2).cast(MONEY).alias("logistics_cost"),
         )
         .join(ratios, "product_id", "left")
         .select(
@@ -96,11 +109,11 @@ def line_economics(items: DataFrame, products: DataFrame) -> DataFrame:
             "seller_id",
             "category",
             "cost_ratio",
-            "selling_price",
-            money(half_up(f"{price} * _ratio", "10000")).alias("unit_cogs"),
+            F.round("price", 2).cast(MONEY).alias("selling_price"),
+            F.expr("cast(round(price * cost_ratio, 2) as decimal(12,2))").alias("unit_cogs"),
             "logistics_cost",
-            # From the unrounded cost, so it may differ by a cent from price - unit_cogs.
-            money(half_up(f"{price} * 10000 - {price} * _ratio", "10000")).alias("gross_profit"),
+            # May differ by a cent from price - unit_cogs, being rounded on its own.
+            F.expr("cast(round(price - price * cost_ratio, 2) as decimal(12,2))").alias("gross_profit"),
             "gross_margin_pct",
         )
     )
@@ -119,30 +132,33 @@ def payments_by_order(payments: DataFrame, params: EconomicsParams = DEFAULT_PAR
         "payment_type",
         F.col("payment_sequential").cast("int").alias("sequence"),
         F.col("payment_installments").cast("int").alias("installments"),
-        F.col("payment_value").cast(MONEY).alias("amount"),
+        F.col("payment_value").cast(AMOUNT_IN).alias("amount"),
         rate.alias("rate"),
     )
     # Largest payment wins, then the lowest sequence; a missing amount loses to any other.
     size = F.struct("amount", -F.col("sequence"))
+    # Amounts in units of 10^-8 and rates in units of 10^-6 are whole numbers, so sums are exact.
+    units = "cast(amount * 100000000BD as decimal(20,0))"
     return (
         paid.groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("payment_count"),
             F.max_by("payment_type", size).alias("primary_payment_type"),
             F.max("installments").alias("max_installments"),
-            total_cents("amount").alias("paid"),
-            F.expr(f"sum({cents('amount')} * rate)").alias("weighted"),
+            F.expr(f"sum({units})").alias("paid"),
+            F.expr(f"sum({units} * cast(rate as decimal(8,0)))").alias("weighted"),
         )
         .select(
             "order_id",
             "payment_count",
             "primary_payment_type",
             "max_installments",
-            money("paid", ORDER_MONEY).alias("total_payment_value"),
-            money(half_up("weighted", "10000")).alias("total_payment_fee"),
-            # weighted / 10^4 / paid in percent, 3 places
+            money(half_up("paid", "1000000L"), ORDER_MONEY).alias("total_payment_value"),
+            money(half_up("weighted", "1000000000000L")).alias("total_payment_fee"),
+            # weighted / 10^6 / paid in percent, 3 places
             F.expr(
-                f"cast(cast({half_up_wide('weighted', 10, 'paid')} as decimal(9,0)) * 0.001BD as decimal(9,3))"
+                "cast(cast((weighted + if(weighted < 0, -5, 5) * abs(paid)) div nullif(paid * 10, 0)"
+                " as decimal(9,0)) * 0.001BD as decimal(9,3))"
             ).alias("effective_fee_rate_pct"),
         )
     )
@@ -175,7 +191,7 @@ def stage_products(products: DataFrame) -> DataFrame:
         money(half_up("(cast(list_price_min as bigint) + cast(list_price_max as bigint)) * 100", "2")).alias(
             "avg_list_price"
         ),
-        F.col("estimated_cost_ratio").cast(RATE).alias("cost_ratio"),
+        F.col("estimated_cost_ratio").cast(RATIO_IN).alias("cost_ratio"),
         F.round(volume / 5000, 3).cast("decimal(18,3)").alias("volumetric_weight_kg"),
     )
 

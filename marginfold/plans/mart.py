@@ -67,6 +67,10 @@ class Mart:
     def _lines(self) -> DataFrame:
         return staging.line_economics(self.raw["order_items"], self.raw["products"])
 
+    @cached_property
+    def _prices(self) -> DataFrame:
+        return staging.line_prices(self.raw["order_items"])
+
     @cached_property
     def _payments(self) -> DataFrame:
         return staging.payments_by_order(self.raw["order_payments"], self.params)
@@ -80,6 +84,7 @@ class Mart:
             self._payments,
             fact.channel_cac(self.stg_channel_summary),
             self.params,
+            self._prices,
         )
 
     @cached_property
@@ -91,6 +96,7 @@ class Mart:
             self._payments,
             self.stg_channel_summary,
             self.params,
+            self._prices,
         )
 
     @cached_property

@@ -5,8 +5,11 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(12, 2)
 ORDER_MONEY = T.DecimalType(14, 2)
 TOTAL = T.DecimalType(18, 2)
-PERCENT = T.DecimalType(12, 2)
-RATE = T.DecimalType(6, 4)
+# A line sold for a cent can lose more than a million percent.
+PERCENT = T.DecimalType(18, 2)
+# Amounts and cost ratios as they come in, before anything is rounded.
+AMOUNT_IN = T.DecimalType(20, 8)
+RATIO_IN = T.DecimalType(16, 10)
 SHARE = T.DecimalType(9, 6)
 
 # Columns of the raw tables, all text, spelled as in the source files.

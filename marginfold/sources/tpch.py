@@ -6,6 +6,8 @@ operator runs on them unchanged. Prices are scaled down by 100.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marginfold.functions.ranking import row_number_by
@@ -39,8 +41,6 @@ PAYMENT_TYPE_OF_LINE = {
 }
 # A lead whose event is worth this much or more is a closed deal.
 DEAL_VALUE = 100
-# Width of the part-key ranges a huge order is ranked in.
-_PARTS_PER_SLICE = 1024
 
 
 def _choose(key: Column, table: dict[str, str], otherwise: str | None) -> Column:
@@ -90,18 +90,16 @@ class StarTables:
     def _read(self, table: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
 
+    @cached_property
     def _lines(self) -> DataFrame:
         """Line items numbered within their order; ``l_linenumber`` alone repeats."""
-        slice_by = F.struct("l_linenumber", F.floor(F.col("l_partkey") / _PARTS_PER_SLICE).alias("parts"))
         return row_number_by(
             self._read("lineitem"),
             key=F.col("l_orderkey"),
-            slice_by=slice_by,
             order_by=[
                 F.asc(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
             ],
             out="line_id",
-            hot_rows=self._params.rows_per_task,
         )
 
     def orders(self) -> DataFrame:
@@ -134,7 +132,7 @@ class StarTables:
         )
 
     def order_items(self) -> DataFrame:
-        return self._lines().select(
+        return self._lines.select(
             _text("l_orderkey").alias("order_id"),
             F.col("line_id").alias("order_item_id"),
             _text("l_partkey").alias("product_id"),
@@ -145,7 +143,7 @@ class StarTables:
         )
 
     def order_payments(self) -> DataFrame:
-        return self._lines().select(
+        return self._lines.select(
             _text("l_orderkey").alias("order_id"),
             F.col("line_id").alias("payment_sequential"),
             _choose(F.concat("l_returnflag", "l_linestatus"), PAYMENT_TYPE_OF_LINE, "wallet").alias("payment_type"),

@@ -82,15 +82,19 @@ def _table(name: str) -> Query:
     return _on_mart(lambda m: getattr(m, name))
 
 
+def _totals(m: Mart) -> DataFrame:
+    return fact.order_totals(m._prices.join(m.completed.select("order_id"), "order_id", "left_semi"))
+
+
 def _base(m: Mart) -> DataFrame:
-    return _decimals(m.fact_base.drop("_whole", "_half", "_small"))
+    return _decimals(m.fact_base.drop("_whole", "_half"))
 
 
 def _decimals(lines: DataFrame) -> DataFrame:
     """The cents, hundredths and millionths inside the fact build, as decimals."""
     amounts = (
         "item_revenue item_cogs logistics_cost return_cost order_payment_fee"
-        " order_discount order_total_revenue channel_cac payment_fee discount_allocated cac_allocation"
+        " order_total_revenue channel_cac payment_fee discount_allocated cac_allocation"
         " contribution_margin contribution_margin_pct net_profit net_margin_pct"
     ).split()
     out = {c: money(c, ORDER_MONEY) for c in amounts if c in lines.columns}
@@ -188,7 +192,7 @@ def queries() -> dict[str, Query]:
         "b07_stage_deals": _table("stg_closed_deals"),
         "b08_channel_funnel": _table("funnel"),
         "b09_attach_spend": _table("stg_channel_summary"),
-        "b10_order_totals": _on_mart(lambda m: fact.order_totals(m.stg_order_items)),
+        "b10_order_totals": _on_mart(_totals),
         "b11_return_costs": _on_mart(lambda m: fact.return_costs(m._lines, m.stg_orders)),
         "b12_channel_cac": _on_mart(lambda m: fact.channel_cac(m.stg_channel_summary)),
         "b13_fact_base": _on_mart(_base),

@@ -1,3 +1,4 @@
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -119,7 +120,46 @@ def test_huge_order_is_split_over_blocks_without_changing_results(spark, rows_pe
     assert costs[("cold", 1)] == D("90") and costs[("hot", 50)] == 0
 
 
-def test_only_configured_channels_are_broadcast(spark):
+def test_nothing_is_broadcast_by_force(spark):
     plan = build(spark).fact_order_items._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("strategy=broadcast") == 3  # hot customers twice, charged channels
+    assert "strategy=broadcast" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_lines_meet_their_products_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = build(spark)
+        exchanges = re.findall(r"hashpartitioning\(product_id#", m.fact_order_items._jdf.queryExecution().executedPlan().toString())
+        assert 1 <= len(exchanges) <= 2
+        assert "(product_id" not in fact.order_totals(m._prices)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_headers_are_repeated_only_for_blocks_with_lines(spark):
+    m = build(spark, orders=[order("O1")], order_items=[item("O1", 1), item("O1", 2_000_000_000)], order_payments=[payment("O1")])
+    spans = fact._order_spans(m._prices, m.params).first()
+    assert sorted(spans["_blocks"]) == [0, 1999] and spans["item_count"] == 2
+    assert len(lines(m)) == 2
+
+
+def test_return_rates_are_used_in_full(spark):
+    m = build(
+        spark,
+        EconomicsParams(restocking_rate=D("0.12345"), reverse_logistics_multiplier=D("1.5")),
+        orders=[order("O1", status="returned")],
+        order_items=[item("O1", price="25000", freight="3.01")],
+        order_payments=[payment("O1")],
+    )
+    assert lines(m)["O1-1"].return_cost == D("1239.02")
+
+
+def test_discounts_are_spread_unrounded(spark):
+    m = build(
+        spark,
+        orders=[order("O1", order_discount_amount="0.0099")],
+        order_items=[item("O1", 1, price="50"), item("O1", 2, price="50")],
+        order_payments=[payment("O1")],
+    )
+    assert [r.discount_allocated for r in lines(m).values()] == [D("0.00"), D("0.00")]

@@ -4,7 +4,7 @@ from fractions import Fraction
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from marginfold.functions.money import SMALL_AMOUNT, half_up, half_up_wide, money, share_of
+from marginfold.functions.money import half_up, half_up_wide, money, share_of
 
 
 def exact(num, den):
@@ -18,6 +18,7 @@ def exact(num, den):
 
 amounts = st.integers(-(10**12) + 1, 10**12 - 1)
 small = st.integers(-1000, 1000)
+wholes = st.integers(-(10**14), 10**14) | small
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -30,14 +31,21 @@ def test_quotients_round_half_away_from_zero(spark, pairs):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(amounts | small, amounts | small, st.integers(1, 10**12)), min_size=40, max_size=80))
-def test_shares_are_exact_for_small_and_enormous_amounts(spark, triples):
+@given(st.lists(st.tuples(amounts | small, amounts | small, wholes), min_size=40, max_size=80))
+def test_shares_are_exact_at_any_size(spark, triples):
     df = spark.createDataFrame(triples, "c bigint, p bigint, w bigint")
-    # The decimal quotient of the wide path must fit; a line is not far larger than its order.
-    df = df.filter("abs(cast(c as decimal(19,0)) * p / w) < 1000000000000")
-    df = df.selectExpr("*", "abs(w) div 2 AS h", f"abs(c) <= {SMALL_AMOUNT} AND abs(p) <= {SMALL_AMOUNT} AS s")
-    for r in df.select("*", F.expr(share_of("c", "p", "w", "h", "s")).alias("q")).collect():
-        assert r.q == exact(r.c * r.p, r.w)
+    # A share must fit; a line is not far larger than its order.
+    df = df.filter("w = 0 OR abs(cast(c as decimal(19,0)) * p / w) < 1000000000000")
+    columns = {"one": F.expr(share_of("c", "p", "w")), "many": F.expr(share_of("c * 1000000BD + 1", "p", "w", 1_000_000))}
+    for r in df.select("*", *[v.alias(k) for k, v in columns.items()]).collect():
+        assert r.one == exact(r.c * r.p, r.w)
+        assert r.many == exact((r.c * 10**6 + 1) * r.p, r.w * 10**6)
+
+
+def test_shares_near_the_largest_totals(spark):
+    """A quotient rounded at 13 places and then again comes out a cent too high here."""
+    df = spark.createDataFrame([(991_055_186_678, 767_678_251_418, 90_623_347_347_957)], "c bigint, p bigint, w bigint")
+    assert df.select(F.expr(share_of("c", "p", "w"))).first()[0] == 8_395_314_618
 
 
 def test_money_is_the_exact_decimal(spark):

@@ -1,38 +1,42 @@
-import re
-
 import pytest
 from pyspark.sql import Window, functions as F
 
+from marginfold.functions import ranking
 from marginfold.functions.ranking import row_number_by
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 100_000])
-def test_equals_the_plain_window_whatever_counts_as_hot(spark, hot_rows):
+@pytest.mark.parametrize("parts", ["1", "8", "37"])
+def test_equals_the_plain_window(spark, parts):
     # One key holds a third of all rows.
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         (F.xxhash64("id") % 40).alias("v"),
         "id",
     )
-    got = row_number_by(
-        rows,
-        F.col("k"),
-        F.floor(F.col("v") / 7),
-        [F.asc("v"), F.asc("id")],
-        "n",
-        hot_rows,
-    )
-    want = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))
-    assert got.columns == want.columns
-    assert got.exceptAll(want).count() == 0
-    assert got.count() == 3000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = row_number_by(rows, F.col("k"), [F.asc("v"), F.asc("id")], "n")
+        want = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0
+        assert got.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_hot_key_is_spread_over_its_slices(spark):
-    rows = spark.range(1000).select(
-        F.concat(F.lit("a"), F.floor(F.col("id") / 5000)).alias("k"), (F.col("id") % 10).alias("day"), "id"
-    )
-    got = row_number_by(rows, F.col("k"), F.col("day"), [F.asc("day"), F.asc("id")], "n", hot_rows=100)
-    assert sorted(r["n"] for r in got.collect()) == list(range(1, 1001))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"hashpartitioning\(_key#\d+, _slice#\d+", plan) and "SinglePartition" not in plan
+def test_one_key_with_one_time_fills_several_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ranking, "written", lambda frame: seen.append(written_for_test(frame)) or seen[-1])
+    from marginfold.sources.scratch import written as written_for_test
+
+    rows = spark.range(4000).select(F.lit("c").alias("k"), F.lit(7).alias("day"), F.col("id").cast("string").alias("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = row_number_by(rows, F.col("k"), [F.asc("day"), F.asc("id")], "n")
+        assert sorted(r["n"] for r in got.collect()) == list(range(1, 4001))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # The window's groups are (key, part).
+    sizes = [r["count"] for r in seen[0].groupBy("_key", "_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000

@@ -1,6 +1,8 @@
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
+
 from frames import customer, item, order, payment, product, raw_table
 from marginfold.operators import staging
 from marginfold.params import EconomicsParams
@@ -21,10 +23,40 @@ def test_sequence_counts_completed_orders_only_and_breaks_ties_by_id(spark):
         order("O5", customer=None, at="2025-01-03 00:00:00"),
         order("O6", customer=None, at="2025-01-01 00:00:00"),
     )
-    for limit in (1_000_000, 1):
-        got = rows_by(staging.stage_orders(orders, EconomicsParams(rows_per_task=limit)), "order_id")
-        assert {k: r.customer_order_seq for k, r in got.items()} == {"O2": 1, "O3": 2, "O4": 3, "O6": 1, "O5": 2}
-        assert got["O2"].return_flag and not got["O3"].return_flag
+    got = rows_by(staging.stage_orders(orders), "order_id")
+    assert {k: r.customer_order_seq for k, r in got.items()} == {"O2": 1, "O3": 2, "O4": 3, "O6": 1, "O5": 2}
+    assert got["O2"].return_flag and not got["O3"].return_flag
+
+
+@pytest.mark.parametrize(
+    ("approved", "hours"),
+    [
+        ("2025-05-09 10:00:00", "1440.00"),
+        ("2025-07-08 10:00:00", "2880.00"),
+        ("2026-03-10 10:00:00", "8760.00"),
+        ("2125-03-10 10:00:00", "876576.00"),
+        ("2025-03-10 09:59:42", "-0.01"),
+        ("2025-03-10 10:00:17.999999", "0.00"),
+        ("2025-03-10 10:00:18", "0.01"),
+    ],
+)
+def test_approval_lag_of_any_length(spark, approved, hours):
+    orders = raw_table(spark, "orders", order("O1", order_approved_at=approved))
+    assert staging.stage_orders(orders).first().approval_lag_hours == D(hours)
+
+
+def test_costs_come_from_unrounded_prices_and_ratios(spark):
+    items = raw_table(spark, "order_items", item("A", product="R", price="1000.00"), item("B", product="H", price="10.005"))
+    products = raw_table(spark, "products", product("R", ratio="0.33335"), product("H", ratio="0.5"))
+    got = rows_by(staging.line_economics(items, products), "order_id")
+    assert (got["A"].unit_cogs, got["A"].gross_profit, got["A"].cost_ratio) == (D("333.35"), D("666.65"), D("0.33335"))
+    assert (got["B"].unit_cogs, got["B"].gross_profit, got["B"].selling_price) == (D("5.00"), D("5.00"), D("10.01"))
+
+
+def test_payments_are_summed_before_they_are_rounded(spark):
+    payments = raw_table(spark, "order_payments", payment("A", "0.004", "upi"), payment("A", "0.004", "upi", seq=2))
+    row = staging.payments_by_order(payments).first()
+    assert (row.total_payment_value, row.total_payment_fee, row.effective_fee_rate_pct) == (D("0.01"), D("0.00"), D("0.500"))
 
 
 def test_delivery_and_approval_measures(spark):
