@@ -9,19 +9,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from marginfold.params import DEFAULT_PARAMS
 from marginfold.schemas import RAW_COLUMNS, raw_schema
-from marginfold.sources.layers import table_path
+from marginfold.sources.layers import path_exists, table_path
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A source file as text columns, matched to the table by header name.
 
-    Empty fields become NULL; absent columns become NULL; a column the table lacks is an error.
+    Empty fields become NULL; absent columns become NULL; a column the table lacks is an error. Quoted
+    fields may hold line breaks, so a file is read as a whole: large sources come as folders of files.
     """
     # A declared schema would match by position, so the names come from the header.
     found = (
         spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", True)
         .option("nullValue", "")
         .option("mode", "FAILFAST")
         .csv(path)
@@ -59,8 +60,11 @@ def load_raw(
 ) -> DataFrame:
     """Refresh every raw table from its CSV file; returns one status row per table.
 
-    A missing or broken file leaves its table empty and does not stop the others.
+    A missing or broken file leaves its table empty and does not stop the others. Where the folder
+    itself is missing nothing is touched and FileNotFoundError is raised.
     """
+    if not path_exists(spark, folder):
+        raise FileNotFoundError(folder)
     results = []
     for table, filename in csv_files.items():
         path = table_path(target, "raw", table)

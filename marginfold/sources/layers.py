@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from marginfold.operators.views import REPORT_ORDER, in_report_order
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def table_path(root: str, layer: str, table: str) -> str:
     return f"{root}/{layer}/{table}"
 

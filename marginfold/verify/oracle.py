@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from marginfold.verify.queries import BUILT, LOADED
+
 
 def _div(num: str, den: str) -> str:
     """Integer quotient rounded half away from zero; NULL for a zero divisor."""
@@ -740,4 +742,5 @@ def _with_ctes(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_ctes(sql) for name, sql in _OUT.items()}
+    same_rows = {query: _OUT[other] for query, (_, other) in {**LOADED, **BUILT}.items()}
+    return {name: _with_ctes(sql) for name, sql in {**_OUT, **same_rows}.items()}

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from marginfold.functions.money import money
 from marginfold.operators import checks, fact, views
 from marginfold.params import DEFAULT_PARAMS
-from marginfold.plans.build import run_all
+from marginfold.plans.build import BuildResult, run_all
 from marginfold.plans.mart import Mart
 from marginfold.schemas import ORDER_MONEY, RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
-from marginfold.sources.layers import Layer
+from marginfold.sources.layers import Layer, read_table
 from marginfold.sources.scratch import scratch_folder, written
 from marginfold.sources.tpch import write_raw_layer
 
@@ -39,23 +39,32 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*[plain(f) for f in frame.schema])
 
 
-_raw_roots: dict[tuple[str, str], str] = {}
-_raw_lock = threading.Lock()
+_made: dict[tuple, object] = {}
+_making = threading.RLock()
+
+
+def _once(spark: SparkSession, folder: str, what: str, make: Callable[[], object]):
+    """What several queries over a folder share, made on first use in a Spark application."""
+    key = (spark.sparkContext.applicationId, folder, what)
+    with _making:
+        if key not in _made:
+            _made[key] = make()
+        return _made[key]
 
 
 def raw_layer(spark: SparkSession, folder: str) -> Layer:
-    """The canonical raw tables of ``folder``, written on first use in a Spark application."""
-    key = (spark.sparkContext.applicationId, folder)
-    with _raw_lock:
-        if key not in _raw_roots:
-            root = scratch_folder(spark)
-            write_raw_layer(spark, folder, root)
-            _raw_roots[key] = root
-    return Layer(spark, _raw_roots[key], "raw", list(RAW_COLUMNS))
+    """The canonical raw tables of ``folder``, written once."""
+
+    def write() -> Layer:
+        root = scratch_folder(spark)
+        write_raw_layer(spark, folder, root)
+        return Layer(spark, root, "raw", list(RAW_COLUMNS))
+
+    return _once(spark, folder, "raw", write)
 
 
 def mart(spark: SparkSession, folder: str) -> Mart:
-    return Mart(raw_layer(spark, folder))
+    return _once(spark, folder, "mart", lambda: Mart(raw_layer(spark, folder)))
 
 
 class _StoredMart(Mart):
@@ -67,7 +76,7 @@ class _StoredMart(Mart):
 
 
 def stored_mart(spark: SparkSession, folder: str) -> Mart:
-    return _StoredMart(raw_layer(spark, folder))
+    return _once(spark, folder, "stored mart", lambda: _StoredMart(raw_layer(spark, folder)))
 
 
 def _on_mart(build: Callable[[Mart], DataFrame]) -> Query:
@@ -133,15 +142,19 @@ def _cascade(m: Mart) -> DataFrame:
 
 def _csv_copy(spark: SparkSession, folder: str) -> str:
     """The canonical tables of ``folder`` as CSV sources with a header, one folder per table."""
-    target = scratch_folder(spark)
-    for name, frame in raw_layer(spark, folder).items():
-        (
-            frame.select(*[_source_text(f).alias(f.name) for f in frame.schema])
-            .write.option("header", True)
-            .option("escape", '"')
-            .csv(f"{target}/{DEFAULT_PARAMS.csv_files[name]}")
-        )
-    return target
+
+    def write() -> str:
+        target = scratch_folder(spark)
+        for name, frame in raw_layer(spark, folder).items():
+            (
+                frame.select(*[_source_text(f).alias(f.name) for f in frame.schema])
+                .write.option("header", True)
+                .option("escape", '"')
+                .csv(f"{target}/{DEFAULT_PARAMS.csv_files[name]}")
+            )
+        return target
+
+    return _once(spark, folder, "csv", write)
 
 
 def _source_text(field: T.StructField):
@@ -150,14 +163,41 @@ def _source_text(field: T.StructField):
     return F.col(field.name).cast("string")
 
 
+def _loaded(spark: SparkSession, folder: str) -> tuple[DataFrame, Mart]:
+    """The status rows of a CSV ingestion, and the model over the tables it loaded."""
+
+    def load() -> tuple[DataFrame, Mart]:
+        root = scratch_folder(spark)
+        status = load_raw(spark, _csv_copy(spark, folder), root)
+        return status, Mart(Layer(spark, root, "raw", list(RAW_COLUMNS)))
+
+    return _once(spark, folder, "loaded", load)
+
+
 def _load_raw(spark: SparkSession, folder: str) -> DataFrame:
-    status = load_raw(spark, _csv_copy(spark, folder), scratch_folder(spark))
-    return comparable(status.select("table_name", "file", "status", "row_count"))
+    return comparable(_loaded(spark, folder)[0].select("table_name", "file", "status", "row_count"))
+
+
+def _staged_from_loaded(name: str) -> Query:
+    return lambda spark, folder: comparable(getattr(_loaded(spark, folder)[1], name))
+
+
+def _built(spark: SparkSession, folder: str) -> tuple[BuildResult, str]:
+    """The results of a whole build from CSV files, and the folder it wrote."""
+
+    def build() -> tuple[BuildResult, str]:
+        root = scratch_folder(spark)
+        return run_all(spark, _csv_copy(spark, folder), root), root
+
+    return _once(spark, folder, "built", build)
 
 
 def _run_all(spark: SparkSession, folder: str) -> DataFrame:
-    result = run_all(spark, _csv_copy(spark, folder), scratch_folder(spark))
-    return comparable(result.counts)
+    return comparable(_built(spark, folder)[0].counts)
+
+
+def _built_table(name: str) -> Query:
+    return lambda spark, folder: comparable(read_table(spark, _built(spark, folder)[1], "analytics", name))
 
 
 def _all_tables(m: Mart) -> dict[str, DataFrame]:
@@ -181,6 +221,27 @@ def _ordered(name: str) -> Query:
     return _on_mart(lambda m: views.in_report_order(name, getattr(m, name)))
 
 
+# Queries on what ingestion loaded and what the build wrote, by the query that gives the same rows.
+LOADED = {
+    "b41_loaded_orders": ("stg_orders", "b01_stage_orders"),
+    "b41_loaded_order_items": ("stg_order_items", "b02_stage_order_items"),
+    "b41_loaded_order_payments": ("stg_order_payments", "b03_stage_payments"),
+    "b41_loaded_products": ("stg_products", "b04_stage_products"),
+    "b41_loaded_customers": ("stg_customers", "b05_stage_customers"),
+    "b41_loaded_leads": ("stg_marketing_leads", "b06_stage_leads"),
+    "b41_loaded_deals": ("stg_closed_deals", "b07_stage_deals"),
+}
+BUILT = {
+    "b51_built_fact": ("fact_order_items", "b17_fact_order_items"),
+    "b51_built_months": ("summary_by_month", "b20_summary_by_month"),
+    "b51_built_categories": ("rpt_category_profitability", "b21_category_profitability"),
+    "b51_built_loss_orders": ("rpt_loss_making_orders", "b22_loss_making_orders"),
+    "b51_built_customers": ("rpt_customer_profitability", "b23_customer_profitability"),
+    "b51_built_channels": ("rpt_cac_by_channel", "b24_cac_by_channel"),
+    "b51_built_waterfall": ("rpt_profit_waterfall", "b25_profit_waterfall"),
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "b01_stage_orders": _table("stg_orders"),
@@ -227,6 +288,7 @@ def queries() -> dict[str, Query]:
         "b40_reconciliation_summary": _on_stored_mart(_summary),
         "b40_overall_verdict": _on_stored_mart(lambda m: checks.overall_verdict(_summary(m))),
         "b41_load_raw": _load_raw,
+        **{query: _staged_from_loaded(name) for query, (name, _) in LOADED.items()},
         "b42_table_counts": _on_stored_mart(lambda m: views.table_counts(_all_tables(m))),
         "b43_channel_cac_report": _on_mart(lambda m: views.channel_cac_report(m.stg_channel_summary)),
         "b44_category_summary": _on_mart(lambda m: views.category_summary(m.rpt_category_profitability)),
@@ -237,6 +299,7 @@ def queries() -> dict[str, Query]:
         "b49_quick_stats": _on_mart(lambda m: views.quick_stats(m.fact_order_items)),
         "b50_waterfall_steps": _on_mart(lambda m: views.waterfall_steps(m.rpt_profit_waterfall)),
         "b51_run_all": _run_all,
+        **{query: _built_table(name) for query, (name, _) in BUILT.items()},
         **{f"b52_ordered_{name}": _ordered(name) for name in views.REPORT_ORDER},
         "q1_check_key": _on_stored_mart(
             lambda m: checks.check_primary_keys({**m.staging_tables, "fact_order_items": m.fact_order_items})

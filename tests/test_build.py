@@ -60,6 +60,22 @@ def test_status_rows(spark, folder, tmp_path):
         assert read_table(spark, str(tmp_path), "raw", broken).count() == 0
 
 
+def test_quoted_fields_may_hold_line_breaks(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text('customer_id,customer_city\nC1,"Rio\nde ""J"""\nC2,"a,\n\nb"\n', encoding="utf-8")
+    rows = {r.customer_id: r.customer_city for r in read_csv(spark, f"{tmp_path}/customers.csv", "customers").collect()}
+    assert rows == {"C1": 'Rio\nde "J"', "C2": "a,\n\nb"}
+
+
+def test_missing_folder_touches_nothing(spark, folder, tmp_path):
+    root = str(tmp_path)
+    load_raw(spark, folder, root)
+    for action in (load_raw, run_all):
+        with pytest.raises(FileNotFoundError):
+            action(spark, f"{folder}/not there", root)
+    assert read_table(spark, root, "raw", "orders").count() == 3
+    assert not (tmp_path / "staging").exists()
+
+
 def test_whole_build_is_repeatable(spark, folder, tmp_path):
     root = str(tmp_path)
     for _ in range(2):
