@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marginfold.functions.money import cents, money, percent, total_cents
 from marginfold.functions.rules import pass_fail, rule_rows, stack_rows, with_status
-from marginfold.operators.rollup import LEAKED, add_up, mean_net_margin, per_order
+from marginfold.operators.rollup import LEAKED, headline, mean_net_margin
 from marginfold.operators.staging import completed_orders
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import MONEY, TOTAL
@@ -175,13 +175,7 @@ def check_cascade(fact: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
 
 def sanity_summary(fact: DataFrame) -> DataFrame:
     """One row of portfolio health metrics."""
-    sums = per_order(fact).agg(
-        F.count("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_if("is_first").alias("first_orders"),
-        F.count_if("is_returned").alias("returned_orders"),
-        *add_up(),
-    )
+    sums = headline(fact)
     amounts = {
         "total_revenue": "item_revenue",
         "total_cogs": "item_cogs",
@@ -210,10 +204,7 @@ def sanity_summary(fact: DataFrame) -> DataFrame:
 
 def business_sanity(fact: DataFrame) -> DataFrame:
     """One row of headline numbers for a human reader."""
-    sums = per_order(fact).agg(
-        F.count("order_id").alias("orders"), F.count_distinct("customer_id").alias("customers"), *add_up()
-    )
-    return sums.select(
+    return headline(fact).select(
         F.col("orders").alias("total_orders"),
         F.col("customers").alias("total_customers"),
         money("item_revenue", TOTAL).alias("total_revenue"),

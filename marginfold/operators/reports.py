@@ -1,4 +1,7 @@
-"""Business reports over the fact."""
+"""Business reports over the fact.
+
+Most take the fact's ``order_rows`` too, where a build has written them once for all reports.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +11,10 @@ from marginfold.functions.money import cents, half_up_wide, money, per_unit, per
 from marginfold.operators.rollup import (
     LEAKED,
     add_up,
+    headline,
     mean_contribution_margin,
     mean_net_margin,
+    order_rows,
     per_order,
 )
 from marginfold.schemas import TOTAL
@@ -40,9 +45,9 @@ def _tier(value: Column, steps: list[tuple[int, str]], otherwise: str) -> Column
     return chain.otherwise(otherwise)
 
 
-def summary_by_month(fact: DataFrame) -> DataFrame:
+def summary_by_month(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     dims = ["order_month", "order_year", "month_label"]
-    months = per_order(fact, *dims).groupBy(*dims).agg(_orders(), *add_up())
+    months = (orders or order_rows(fact)).groupBy(*dims).agg(_orders(), *add_up())
     return months.select(
         *dims,
         *_counts(total_orders="orders", total_line_items="lines"),
@@ -118,7 +123,7 @@ def category_profitability(fact: DataFrame) -> DataFrame:
     )
 
 
-def loss_making_orders(fact: DataFrame) -> DataFrame:
+def loss_making_orders(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Orders with a negative net profit, their root cause and severity."""
     dims = [
         "order_id",
@@ -142,24 +147,33 @@ def loss_making_orders(fact: DataFrame) -> DataFrame:
         "order_cac": "cac_allocation",
         "order_net_profit": "net_profit",
     }
-    orders = fact.groupBy(*dims).agg(
-        # The alphabetically last category stands for the order.
-        F.max("category").alias("primary_category"),
-        F.count(F.lit(1)).alias("item_count"),
-        *[total_cents(source).alias(out) for out, source in measures.items()],
+    losing = (orders or order_rows(fact)).filter(F.col("net_profit") < 0)
+    named = losing.select(
+        "order_id",
+        "customer_id",
+        F.col("first_date").alias("order_date"),
+        "order_month",
+        "order_channel",
+        "customer_segment",
+        F.col("is_returned").alias("return_flag"),
+        F.col("is_first").alias("is_first_order"),
+        "primary_category",
+        F.col("lines").alias("item_count"),
+        *[F.col(source).alias(out) for out, source in measures.items()],
     )
-    # First match wins. With discounts >= 0 the last two causes cannot be reached.
-    cause = F.expr("""
-        CASE
-            WHEN order_contribution_margin >= 0 AND order_cac > order_contribution_margin
-                THEN 'High CAC on First Order'
-            WHEN return_flag AND order_return_cost > order_contribution_margin + order_cac THEN 'Return Cost'
-            WHEN order_gross_profit < 0 THEN 'Negative Gross Margin (COGS > Revenue)'
-            WHEN order_discount > order_contribution_margin THEN 'Excess Discount'
-            WHEN order_logistics * 2 > order_gross_profit THEN 'High Logistics Cost'
-            ELSE 'Combined Cost Pressure'
-        END
-    """)
+    margin, cac = F.col("order_contribution_margin"), F.col("order_cac")
+    # Labels of the causes. The first rule that holds gives the cause; with discounts of
+    # at least 0 the last two cannot be reached.
+    causes = [
+        ("High CAC on First Order", (margin >= 0) & (cac > margin)),
+        ("Return Cost", F.col("return_flag") & (F.col("order_return_cost") > margin + cac)),
+        ("Negative Gross Margin (COGS > Revenue)", F.col("order_gross_profit") < 0),
+        ("Excess Discount", F.col("order_discount") > margin),
+        ("High Logistics Cost", F.col("order_logistics") * 2 > F.col("order_gross_profit")),
+    ]
+    cause = F.when(causes[0][1], causes[0][0])
+    for label, holds in causes[1:]:
+        cause = cause.when(holds, label)
     margin_pct = F.col("order_net_margin_pct")
     # The labels carry literal runs of spaces.
     severity = (
@@ -168,26 +182,22 @@ def loss_making_orders(fact: DataFrame) -> DataFrame:
         .when(margin_pct < -5, "Moderate (5-20% loss)")
         .otherwise("Marginal (<5% loss)")
     )
-    return (
-        orders.filter(F.col("order_net_profit") < 0)
-        .select(
-            *dims,
-            "primary_category",
-            "item_count",
-            *[money(out, TOTAL).alias(out) for out in measures],
-            percent("order_net_profit", "order_revenue").alias("order_net_margin_pct"),
-            money("abs(order_net_profit)", TOTAL).alias("loss_amount"),
-            cause.alias("loss_root_cause"),
-        )
-        .withColumn("loss_severity", severity)
-    )
+    return named.select(
+        *dims,
+        "primary_category",
+        "item_count",
+        *[money(out, TOTAL).alias(out) for out in measures],
+        percent("order_net_profit", "order_revenue").alias("order_net_margin_pct"),
+        money("abs(order_net_profit)", TOTAL).alias("loss_amount"),
+        cause.otherwise("Combined Cost Pressure").alias("loss_root_cause"),
+    ).withColumn("loss_severity", severity)
 
 
-def customer_profitability(fact: DataFrame) -> DataFrame:
+def customer_profitability(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Lifetime economics per customer."""
     dims = ["customer_id", "customer_segment", "acquisition_channel", "customer_state"]
     customers = (
-        per_order(fact, *dims[1:])
+        (orders or order_rows(fact))
         .groupBy(*dims)
         .agg(
             _orders(),
@@ -234,21 +244,22 @@ def customer_profitability(fact: DataFrame) -> DataFrame:
     )
 
 
-def cac_by_channel(fact: DataFrame, funnel: DataFrame) -> DataFrame:
+def cac_by_channel(fact: DataFrame, funnel: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Unit economics per order channel, with the marketing funnel beside it.
 
     CAC in the funnel is per *acquisition* channel while orders count by *order* channel.
     """
-    per_customer = (
-        per_order(fact, "order_channel")
-        .groupBy("order_channel", "customer_id")
-        .agg(_orders(), F.bool_or("is_first").alias("is_new"), *add_up())
+    rows = orders or order_rows(fact)
+    sums = rows.groupBy(F.col("order_channel").alias("channel")).agg(_orders(), *add_up())
+    # Only keys meet per customer, to be counted.
+    people = (
+        rows.groupBy(F.col("order_channel").alias("channel"), "customer_id")
+        .agg(F.bool_or("is_first").alias("is_new"))
+        .groupBy("channel")
+        .agg(F.count("customer_id").alias("total_customers"), F.count_if("is_new").alias("new_customers"))
     )
-    channels = per_customer.groupBy(F.col("order_channel").alias("channel")).agg(
-        F.sum("orders").alias("total_orders"),
-        F.count("customer_id").alias("total_customers"),
-        F.count_if("is_new").alias("new_customers"),
-        *add_up(),
+    channels = sums.withColumnRenamed("orders", "total_orders").join(
+        people.withColumnRenamed("channel", "_channel"), F.col("channel").eqNullSafe(F.col("_channel"))
     )
     marketing = funnel.select(
         "channel",
@@ -298,8 +309,7 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame) -> DataFrame:
 
 def profit_waterfall(fact: DataFrame) -> DataFrame:
     """One row: the cascade from revenue to net profit over everything."""
-    sums = per_order(fact).agg(_orders(), F.count_distinct("customer_id").alias("customers"), *add_up())
-    return sums.select(
+    return headline(fact).select(
         *_amounts(
             step_01_item_revenue="item_revenue",
             step_02_less_cogs="item_cogs",

@@ -47,9 +47,57 @@ def per_order(fact: DataFrame, *dims: str) -> DataFrame:
         F.bool_or("return_flag").alias("is_returned"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
+        # The alphabetically last category stands for the order.
+        F.max("category").alias("primary_category"),
     )
 
 
+# What is the same for all lines of an order and some report groups by.
+ORDER_DIMS = [
+    "order_month",
+    "order_year",
+    "month_label",
+    "order_channel",
+    "customer_segment",
+    "acquisition_channel",
+    "customer_state",
+]
+
+
+def order_rows(fact: DataFrame) -> DataFrame:
+    """The fact at order grain, from which all reports but the category one follow."""
+    return per_order(fact, *ORDER_DIMS)
+
+
+def headline(fact: DataFrame) -> DataFrame:
+    """One row: the sums and counts of all lines, and orders, customers, first_orders, returned_orders.
+
+    Lines are summed where they are read; only order and customer keys are shuffled, to be counted.
+    """
+    lines = fact.agg(
+        *[total_cents(m).alias(m) for m in MEASURES],
+        total_cents("net_margin_pct").alias("net_margin_sum"),
+        F.count("net_margin_pct").alias("net_margin_lines"),
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if("is_profit_leak").alias("leak_lines"),
+        F.count_if(F.col("net_profit") < 0).alias("losing_lines"),
+        F.count_if("return_flag").alias("returned_lines"),
+    )
+    keys = (
+        fact.groupBy("order_id", "customer_id")
+        .agg(F.bool_or("is_first_order").alias("is_first"), F.bool_or("return_flag").alias("is_returned"))
+        .agg(
+            F.count("order_id").alias("orders"),
+            F.count_distinct("customer_id").alias("customers"),
+            F.count_if("is_first").alias("first_orders"),
+            F.count_if("is_returned").alias("returned_orders"),
+        )
+    )
+    # Two single rows side by side: each column comes from one of them.
+    both = lines.unionByName(keys, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def add_up() -> list[Column]:
     """Sums of the measures and counts of ``per_order`` rows, under their own names."""
     return [F.sum(c).alias(c) for c in (*_SUMMED, *_COUNTED)]

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from marginfold.operators import checks, dims, fact, reports, staging, views
+from marginfold.operators.rollup import order_rows
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
 from marginfold.sources.layers import read_table, write_table
+from marginfold.sources.scratch import discard, scratch_folder, written
 
 
 @dataclass(frozen=True)
@@ -61,7 +63,7 @@ def build_staging(spark: SparkSession, root: str, params: EconomicsParams = DEFA
 def build_analytics(
     stage: dict[str, DataFrame], root: str, params: EconomicsParams = DEFAULT_PARAMS
 ) -> dict[str, DataFrame]:
-    """Write the fact once, then everything that reads it."""
+    """Write the fact once, fold it to orders once, then write every report from the two."""
     lines = fact.fact_order_items(
         stage["stg_order_items"],
         stage["stg_orders"],
@@ -70,19 +72,21 @@ def build_analytics(
         stage["stg_channel_summary"],
         params,
     )
-    written = write_table(lines, root, "analytics", "fact_order_items", partition_by="order_month")
+    stored = write_table(lines, root, "analytics", "fact_order_items", partition_by="order_month")
+    spark = stored.sparkSession
+    scratch = scratch_folder(spark)
+    orders = written(order_rows(stored), scratch)
     tables = {
-        "summary_by_month": reports.summary_by_month(written),
-        "rpt_category_profitability": reports.category_profitability(written),
-        "rpt_loss_making_orders": reports.loss_making_orders(written),
-        "rpt_customer_profitability": reports.customer_profitability(written),
-        "rpt_cac_by_channel": reports.cac_by_channel(written, stage["stg_channel_summary"]),
-        "rpt_profit_waterfall": reports.profit_waterfall(written),
-    }
-    return {
-        "fact_order_items": written,
-        **{name: write_table(frame, root, "analytics", name) for name, frame in tables.items()},
+        "summary_by_month": reports.summary_by_month(stored, orders),
+        "rpt_category_profitability": reports.category_profitability(stored),
+        "rpt_loss_making_orders": reports.loss_making_orders(stored, orders),
+        "rpt_customer_profitability": reports.customer_profitability(stored, orders),
+        "rpt_cac_by_channel": reports.cac_by_channel(stored, stage["stg_channel_summary"], orders),
+        "rpt_profit_waterfall": reports.profit_waterfall(stored),
     }
+    built = {name: write_table(frame, root, "analytics", name) for name, frame in tables.items()}
+    discard(spark, scratch)
+    return {"fact_order_items": stored, **built}
 
 
 def register_views(stage: dict[str, DataFrame]) -> None:
