@@ -23,7 +23,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def channel_cac_report(funnel: DataFrame) -> DataFrame:
     return funnel.select("channel", "new_customers", "estimated_monthly_spend", "estimated_cac").orderBy(
-        F.desc_nulls_last("estimated_cac")
+        F.desc_nulls_last("estimated_cac"), "channel"
     )
 
 
@@ -35,7 +35,7 @@ def category_summary(report: DataFrame) -> DataFrame:
         "avg_net_margin_pct",
         "leakage_pct",
         "profitability_tier",
-    ).orderBy(F.desc_nulls_first("total_net_profit"))
+    ).orderBy(F.desc_nulls_first("total_net_profit"), "category")
 
 
 def channel_economics(report: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def channel_economics(report: DataFrame) -> DataFrame:
         "avg_net_margin_pct",
         "ltv_cac_ratio",
         "channel_tier",
-    ).orderBy(F.desc_nulls_first("total_net_profit"))
+    ).orderBy(F.desc_nulls_first("total_net_profit"), "channel")
 
 
 def fact_explorer(fact: DataFrame) -> DataFrame:

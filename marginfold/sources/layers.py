@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,17 +45,27 @@ class Layer(Mapping[str, DataFrame]):
         return len(self._names)
 
 
+def replace_table(frame: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Write a table beside ``path`` and put it there only when it is complete."""
+    spark = frame.sparkSession
+    new = f"{path}.{uuid.uuid4().hex}"
+    writer = frame.write if partition_by is None else frame.write.partitionBy(partition_by)
+    writer.parquet(new)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    store = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(make(path), True)
+    if not store.rename(make(new), make(path)):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
 def write_table(frame: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
-    """Replace a table and return it as read back.
+    """Replace a table and return it as read back; if writing fails the old table stays.
 
     A partitioned table is rebalanced by its partition column first: few large files per
     partition value, while values with much data are split over several tasks.
     """
     path = table_path(root, layer, table)
-    if partition_by is None:
-        frame.write.mode("overwrite").parquet(path)
-    else:
-        frame.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    replace_table(frame if partition_by is None else frame.hint("rebalance", partition_by), path, partition_by)
     return read_table(frame.sparkSession, root, layer, table).select(*frame.columns)
 
 
