@@ -128,6 +128,7 @@ def reconcile_discount(fact: DataFrame, orders: DataFrame, params: EconomicsPara
 
 def check_cac_rules(fact: DataFrame) -> DataFrame:
     negative = F.col("cac_allocation") < 0
+    # Labels of the rules.
     return rule_rows(
         fact,
         {
@@ -140,6 +141,7 @@ def check_cac_rules(fact: DataFrame) -> DataFrame:
 
 
 def check_return_rules(fact: DataFrame) -> DataFrame:
+    # Labels of the rules.
     return rule_rows(
         fact,
         {
@@ -161,6 +163,7 @@ def check_cascade(fact: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         - F.col("return_cost")
     )
     limit = F.lit(params.cascade_tolerance)
+    # Labels of the rules.
     return rule_rows(
         fact,
         {
@@ -277,6 +280,7 @@ def check_required_columns(
 
 def check_staging_filter(orders: DataFrame) -> DataFrame:
     seq = F.col("customer_order_seq")
+    # Labels of the rules.
     return rule_rows(
         orders,
         {

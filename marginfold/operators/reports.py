@@ -113,6 +113,7 @@ def category_profitability(fact: DataFrame) -> DataFrame:
         *_of_revenue(leakage_pct=LEAKED),
         driver.alias("primary_cost_driver"),
     )
+    # Lower bounds and labels of the tiers.
     return report.withColumn(
         "profitability_tier",
         _tier(
@@ -234,6 +235,7 @@ def customer_profitability(fact: DataFrame, orders: DataFrame | None = None) ->
         payback.alias("cac_payback_orders"),
         "returned_orders",
     )
+    # Lower bounds and labels of the tiers.
     return report.withColumn(
         "customer_value_tier",
         _tier(
@@ -297,6 +299,7 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame, orders: DataFrame | None
         # Against the monthly spend where there is one, else against the CAC charged.
         ratio("net_profit", f"coalesce({cents('estimated_monthly_spend')}, cac_allocation)").alias("ltv_cac_ratio"),
     )
+    # Lower bounds and labels of the tiers.
     return report.withColumn(
         "channel_tier",
         _tier(
