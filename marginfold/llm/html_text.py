@@ -222,23 +222,9 @@ def _steps_in_common(a: str, b: str) -> Column:
     )
 
 
-def _ranked(pages: DataFrame, n_parts: int) -> DataFrame:
-    """Parsed pages in the order of host and path, with their place in it, written to the shared folder.
-
-    Pages are range-partitioned, so a host with many pages spreads; a place is the number of pages in
-    the partitions before, one number for each, and the place in the partition.
-    """
+def _parsed(pages: DataFrame) -> DataFrame:
+    """Every page's lines with a row number of its own, written to the shared folder; html is not shuffled."""
     url = F.coalesce("url", F.lit(""))
-    addressed = pages.select(
-        "page_id",
-        "url",
-        "html",
-        F.lower(F.regexp_extract(url, _ADDRESS, 1)).alias("host"),
-        F.regexp_extract(url, _ADDRESS, 2).alias("path"),
-        F.xxhash64("html").alias("mix"),
-    )
-    keys = ["host", "path", "page_id", "mix"]
-    in_order = addressed.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).drop("mix")
     schema = T.StructType(
         [
             pages.schema["page_id"],
@@ -249,33 +235,66 @@ def _ranked(pages: DataFrame, n_parts: int) -> DataFrame:
             T.StructField("is_main", T.ArrayType(T.BooleanType())),
         ]
     )
-    numbered = in_order.mapInArrow(_parse, schema).withColumn("number", F.monotonically_increasing_id())
-    parsed = written(
-        numbered.select(
-            "page_id", "url", "host", "path", "lines", "is_main", F.xxhash64("lines").alias("content"),
-            F.shiftright("number", 33).cast("int").alias("part"), F.expr("number & 8589934591").alias("at"),
+    addressed = pages.select(
+        "page_id",
+        "url",
+        "html",
+        F.lower(F.regexp_extract(url, _ADDRESS, 1)).alias("host"),
+        F.regexp_extract(url, _ADDRESS, 2).alias("path"),
+    )
+    lines = addressed.mapInArrow(_parse, schema)
+    return written(
+        lines.select(
+            F.monotonically_increasing_id().alias("row"),
+            "*",
+            F.exists("is_main", lambda main: main).alias("has_main"),
+            F.xxhash64("lines").alias("content"),
         )
     )
-    sizes = parsed.groupBy("part").agg(F.count("*").alias("size"))
+
+
+def _placed(parsed: DataFrame, n_parts: int) -> DataFrame:
+    """(place, row, host, path, content, has_main): the pages in the order of host and path, without their lines.
+
+    Keys are range-partitioned, so a host with many pages spreads; a place is the number of pages in
+    the partitions before, one number for each, and the place in the partition. Where partitions end
+    depends on a sample, so they are written to the shared folder.
+    """
+    keys = ["host", "path", "page_id", "content", "row"]
+    in_order = parsed.select(*keys, "has_main").repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    numbered = in_order.drop("page_id").withColumn("number", F.monotonically_increasing_id())
+    parts = written(
+        numbered.withColumns(
+            {"part": F.shiftright("number", 33).cast("int"), "at": F.expr("number & 8589934591")}
+        ).drop("number")
+    )
+    sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
-    return parsed.join(F.broadcast(starts), "part").withColumn("place", F.col("start") + F.col("at")).drop("part", "at", "start")
+    return parts.join(starts, "part").withColumn("place", F.col("start") + F.col("at")).drop("part", "at", "start")
 
 
-def _mates(ranked: DataFrame) -> DataFrame:
-    """(place, mate): the neighbour of the same host with the nearest path and other content, the one before on a tie."""
-    keys = ranked.select("place", "host", "path", "content")
+def _mates(placed: DataFrame) -> DataFrame:
+    """(row, mate): for pages without a main element, the row of the neighbour of the same host with the
+    nearest path and other content, the one before on a tie."""
     sides = []
     for step in (1, -1):
-        other = keys.select(
-            (F.col("place") + step).alias("place"), F.col("host").alias("other_host"), F.col("path").alias("other_path"), F.col("content").alias("other_content")
+        other = placed.select(
+            (F.col("place") + step).alias("place"),
+            F.col("row").alias("mate"),
+            F.col("host").alias("other_host"),
+            F.col("path").alias("other_path"),
+            F.col("content").alias("other_content"),
         )
-        paired = keys.join(other, "place").where("host <> '' AND host = other_host AND content <> other_content")
-        sides.append(
-            paired.select("place", (F.col("place") - step).alias("mate"), _steps_in_common("path", "other_path").alias("near"))
+        paired = (
+            placed.where("NOT has_main AND host <> ''")
+            .join(other, "place")
+            .where("host = other_host AND content <> other_content")
         )
-    best = F.max(F.struct("near", (-F.col("mate")).alias("minus_mate")))
-    return sides[0].union(sides[1]).groupBy("place").agg(best.alias("best")).select("place", (-F.col("best.minus_mate")).alias("mate"))
+        rank = F.struct(_steps_in_common("path", "other_path").alias("near"), F.lit(step).alias("before"), "mate")
+        sides.append(paired.select("row", rank.alias("rank")))
+    best = sides[0].union(sides[1]).groupBy("row").agg(F.max("rank").alias("rank"))
+    return best.select("row", F.col("rank.mate").alias("mate"))
 
 
 def extract_text(pages: DataFrame, pages_per_part: int = 2000) -> DataFrame:
@@ -285,15 +304,17 @@ def extract_text(pages: DataFrame, pages_per_part: int = 2000) -> DataFrame:
     are joined by one space. A null or empty html has the text ''. A page whose neighbours are on
     other hosts or have the same lines is compared with none; a url without a host, or null, has no
     neighbours. Repeated rows give equal texts, and columns besides the three are ignored.
+
+    Only keys are sorted; lines are shuffled for pages without a main element and their neighbours.
     """
+    parsed = _parsed(pages)
     n_parts = max(1, -(-pages.count() // pages_per_part))
-    ranked = written(_ranked(pages, n_parts))
-    mates = _mates(ranked)
-    others = ranked.select(F.col("place").alias("mate"), F.col("lines").alias("other"))
-    paired = (
-        ranked.select("place", "page_id", "url", "lines", "is_main")
-        .join(mates.join(others, "mate").select("place", "other"), "place", "left")
-        .select("page_id", "url", "lines", "is_main", "other")
-    )
+    mates = written(_mates(_placed(parsed, n_parts)))
+    lines_of = parsed.select(F.col("row").alias("mate"), F.col("lines").alias("other"))
+    others = written(mates.join(lines_of, "mate").select("row", "other"))
+    columns = ["page_id", "url", "lines", "is_main", "other"]
+    with_main = parsed.where("has_main").withColumn("other", F.lit(None).cast("array<string>"))
+    without = parsed.where("NOT has_main").join(others, "row", "left")
     schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])
-    return paired.mapInArrow(_difference, schema).withColumn("n_chars", F.length("text").cast("bigint"))
+    texts = with_main.select(*columns).union(without.select(*columns)).mapInArrow(_difference, schema)
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
