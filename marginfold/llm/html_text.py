@@ -1,10 +1,10 @@
 """Main text of web pages by differencing each page with the nearest page of its host.
 
 Pages are sorted by host and URL path; a page is paired with the neighbour of its host whose path is
-nearest. Text lines (blocks) of the pair are aligned by a longest common subsequence, and lines shared
-with the other page are deleted. Markup tells the rest: lines of menus, headers, footers, sidebars,
-notices, adverts, forms and comments go although no other page has them, and lines of the article
-stay although a copy of it has them.
+nearest and which is no near copy. Text lines (blocks) of the pair are aligned by a longest common
+subsequence, and lines shared with the other page are deleted. Markup is an extra guard: lines of
+menus, headers, footers, sidebars, notices, adverts, forms and comments go although no other page has
+them, and so do lines beside the article of a page that has one.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from marginfold.llm.components import connected_components
 from marginfold.sources.scratch import written
 
 _BLOCKS = frozenset(
@@ -177,36 +178,77 @@ def common_subsequence(a: Sequence, b: Sequence, most_bits: int = _MOST_BITS) ->
     return found[::-1]
 
 
-def main_text(lines: Sequence[str], is_main: Sequence[bool], other: Sequence[str] | None) -> str:
+def _relevant(is_main: Sequence[bool]) -> list[int]:
+    """The places of the lines that can be main text: those inside an article or main element, else all."""
+    return [i for i, main in enumerate(is_main) if main] or list(range(len(is_main)))
+
+
+# Lines that are shared with another page are its frame, unless they make up this share of the
+# characters: then the page is a near copy. An article holds less frame than a page without one.
+_COPY_OF_ARTICLE, _COPY_OF_PAGE = 0.6, 0.8
+
+
+def shared_lines(
+    lines: Sequence, sizes: Sequence[int], is_main: Sequence[bool], other: Sequence, other_sizes: Sequence[int], other_is_main: Sequence[bool]
+) -> list[int] | None:
+    """The places of a page's lines that the other page has too; None if one of the two is a near copy of the other or of a part of it."""
+    at, other_at = _relevant(is_main), _relevant(other_is_main)
+    shared = [at[i] for i in common_subsequence([lines[i] for i in at], other)]
+    least = min(sum(sizes[i] for i in at), sum(other_sizes[i] for i in other_at))
+    limit = _COPY_OF_ARTICLE if any(is_main) and any(other_is_main) else _COPY_OF_PAGE
+    return None if shared and sum(sizes[i] for i in shared) >= limit * least else shared
+
+
+def kept_text(lines: Sequence[str], is_main: Sequence[bool], shared: Sequence[int] | None) -> str:
+    """The lines inside article or main elements, or all if there are none, without the shared ones, joined by spaces."""
+    gone = frozenset(shared or ())
+    return " ".join(lines[i] for i in _relevant(is_main) if i not in gone)
+
+
+def main_text(lines: Sequence[str], is_main: Sequence[bool], other: Sequence[str] | None, other_is_main: Sequence[bool] | None = None) -> str:
     """The lines of a page that are its main text, joined by spaces.
 
-    With an article or main element these are the lines inside; else all lines but those shared with
-    the other page.
+    With an article or main element these are the lines inside, else all; lines shared with the other
+    page go, unless it is a near copy.
     """
-    if any(is_main):
-        return " ".join(line for line, main in zip(lines, is_main) if main)
-    shared = set(common_subsequence(lines, other)) if other else set()
-    return " ".join(line for i, line in enumerate(lines) if i not in shared)
+    if not other:
+        return kept_text(lines, is_main, None)
+    other_is_main = other_is_main or [False] * len(other)
+    shared = shared_lines(lines, [*map(len, lines)], is_main, other, [*map(len, other)], other_is_main)
+    return kept_text(lines, is_main, shared)
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            parsed = [page_lines(value.as_py()) for value in part.column("html")]
-            lines = pa.array([[line for line, _ in page] for page in parsed], pa.list_(pa.string()))
-            mains = pa.array([[main for _, main in page] for page in parsed], pa.list_(pa.bool_()))
-            names = ["page_id", "url", "host", "path"]
-            yield pa.record_batch([*map(part.column, names), lines, mains], names=[*names, "lines", "is_main"])
+            yield batch.slice(start, 256)
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            columns = (part.column(name) for name in ("lines", "is_main", "other"))
-            texts = [main_text(a.as_py(), m.as_py(), b.as_py()) for a, m, b in zip(*columns)]
-            yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _slices(batches):
+        parsed = [page_lines(value.as_py()) for value in part.column("html")]
+        lines = pa.array([[line for line, _ in page] for page in parsed], pa.list_(pa.string()))
+        mains = pa.array([[main for _, main in page] for page in parsed], pa.list_(pa.bool_()))
+        names = ["page_id", "url", "host", "path"]
+        yield pa.record_batch([*map(part.column, names), lines, mains], names=[*names, "lines", "is_main"])
+
+
+_SIDES = ("hashes", "sizes", "is_main", "other_hashes", "other_sizes", "other_is_main")
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, rank, shared) of the rows; ``shared`` is null for near copies."""
+    for part in _slices(batches):
+        shared = [shared_lines(*(side.as_py() for side in sides)) for sides in zip(*map(part.column, _SIDES))]
+        columns = [part.column("place"), part.column("rank"), pa.array(shared, pa.list_(pa.int32()))]
+        yield pa.record_batch(columns, names=["place", "rank", "shared"])
+
+
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _slices(batches):
+        columns = map(part.column, ("lines", "is_main", "shared"))
+        texts = [kept_text(*(value.as_py() for value in row)) for row in zip(*columns)]
+        yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 _ADDRESS = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)"
@@ -223,7 +265,7 @@ def _steps_in_common(a: str, b: str) -> Column:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """Every page's lines with a row number of its own, written to the shared folder; html is not shuffled."""
+    """(page_id, url, host, path, lines, is_main, content) of every page."""
     url = F.coalesce("url", F.lit(""))
     schema = T.StructType(
         [
@@ -242,27 +284,36 @@ def _parsed(pages: DataFrame) -> DataFrame:
         F.lower(F.regexp_extract(url, _ADDRESS, 1)).alias("host"),
         F.regexp_extract(url, _ADDRESS, 2).alias("path"),
     )
-    lines = addressed.mapInArrow(_parse, schema)
-    return written(
-        lines.select(
-            F.monotonically_increasing_id().alias("row"),
-            "*",
-            F.exists("is_main", lambda main: main).alias("has_main"),
-            F.xxhash64("lines").alias("content"),
+    return addressed.mapInArrow(_parse, schema).withColumn("content", F.xxhash64("lines", "is_main"))
+
+
+def _contents(parsed: DataFrame) -> DataFrame:
+    """(host, content, path, hashes, sizes, is_main): one row for the equal pages of a host, lines as hashes and lengths."""
+    return (
+        parsed.where("host <> '' AND size(lines) > 0")
+        .select(
+            "host",
+            "content",
+            "path",
+            F.transform("lines", lambda line: F.xxhash64(line)).alias("hashes"),
+            F.transform("lines", lambda line: F.length(line)).alias("sizes"),
+            "is_main",
         )
+        .groupBy("host", "content")
+        .agg(F.min("path").alias("path"), *(F.first(name).alias(name) for name in ("hashes", "sizes", "is_main")))
     )
 
 
-def _placed(parsed: DataFrame, n_parts: int) -> DataFrame:
-    """(place, row, host, path, content, has_main): the pages in the order of host and path, without their lines.
+def _placed(contents: DataFrame, n_parts: int) -> DataFrame:
+    """(place, host, path, content): the contents in the order of host and path, without their lines.
 
     Keys are range-partitioned, so a host with many pages spreads; a place is the number of pages in
     the partitions before, one number for each, and the place in the partition. Where partitions end
     depends on a sample, so they are written to the shared folder.
     """
-    keys = ["host", "path", "page_id", "content", "row"]
-    in_order = parsed.select(*keys, "has_main").repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
-    numbered = in_order.drop("page_id").withColumn("number", F.monotonically_increasing_id())
+    keys = ["host", "path", "content"]
+    in_order = contents.select(*keys).repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    numbered = in_order.withColumn("number", F.monotonically_increasing_id())
     parts = written(
         numbered.withColumns(
             {"part": F.shiftright("number", 33).cast("int"), "at": F.expr("number & 8589934591")}
@@ -274,47 +325,64 @@ def _placed(parsed: DataFrame, n_parts: int) -> DataFrame:
     return parts.join(starts, "part").withColumn("place", F.col("start") + F.col("at")).drop("part", "at", "start")
 
 
+def _compared(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """(place, rank, shared) of ``pairs`` (place, mate, rank): ``shared`` are the places of common lines, null for near copies."""
+    sides = ("hashes", "sizes", "is_main")
+    own = placed.select("place", *sides)
+    other = placed.select(F.col("place").alias("mate"), *(F.col(side).alias(f"other_{side}") for side in sides))
+    schema = T.StructType([pairs.schema["place"], pairs.schema["rank"], T.StructField("shared", T.ArrayType(T.IntegerType()))])
+    return pairs.join(other, "mate").join(own, "place").mapInArrow(_compare, schema)
+
+
 def _mates(placed: DataFrame) -> DataFrame:
-    """(row, mate): for pages without a main element, the row of the neighbour of the same host with the
-    nearest path and other content, the one before on a tie."""
-    sides = []
-    for step in (1, -1):
-        other = placed.select(
-            (F.col("place") + step).alias("place"),
-            F.col("row").alias("mate"),
-            F.col("host").alias("other_host"),
-            F.col("path").alias("other_path"),
-            F.col("content").alias("other_content"),
-        )
-        paired = (
-            placed.where("NOT has_main AND host <> ''")
-            .join(other, "place")
-            .where("host = other_host AND content <> other_content")
-        )
-        rank = F.struct(_steps_in_common("path", "other_path").alias("near"), F.lit(step).alias("before"), "mate")
-        sides.append(paired.select("row", rank.alias("rank")))
-    best = sides[0].union(sides[1]).groupBy("row").agg(F.max("rank").alias("rank"))
-    return best.select("row", F.col("rank.mate").alias("mate"))
+    """(place, mate, rank): for every page the nearest pages of its host before and after it that are no near copies.
+
+    Near copies that follow each other are one run, and its pages have the page before and the one
+    after the run as mates. The greater rank has the nearer path, the page before on a tie.
+    """
+    keys = placed.select("place", "host", "path")
+    after = keys.select((F.col("place") - 1).alias("place"), F.col("place").alias("mate"), F.col("host").alias("other_host"))
+    following = keys.join(after, "place").where("host = other_host").select("place", "mate", F.lit(0).alias("rank"))
+    near = _compared(following, placed).where("shared IS NULL")
+    runs = written(connected_components(near.select(F.col("place").alias("a"), (F.col("place") + 1).alias("b"))))
+    ends = runs.groupBy("root").agg(F.max("node").alias("end"))
+    spans = runs.join(ends, "root").select(F.col("node").alias("place"), F.col("root").alias("start"), "end")
+    spanned = keys.join(spans, "place", "left")
+    sides = F.array(
+        F.struct((F.coalesce("start", "place") - 1).alias("mate"), F.lit(1).alias("before")),
+        F.struct((F.coalesce("end", "place") + 1).alias("mate"), F.lit(0).alias("before")),
+    )
+    wanted = spanned.withColumn("side", F.explode(sides)).select("place", "host", "path", "side.mate", "side.before")
+    other = keys.select(F.col("place").alias("mate"), F.col("host").alias("other_host"), F.col("path").alias("other_path"))
+    rank = 2 * _steps_in_common("path", "other_path") + F.col("before")
+    return wanted.join(other, "mate").where("host = other_host").select("place", "mate", rank.alias("rank"))
+
+
+def _deletions(parsed: DataFrame, pages_per_part: int) -> DataFrame:
+    """(host, content, shared): the places of the lines that a page shares with its mate, for pages that share any."""
+    contents = written(_contents(parsed))
+    n_parts = max(1, -(-contents.count() // pages_per_part))
+    placed = written(_placed(contents, n_parts).join(contents.drop("path"), ["host", "content"]))
+    compared = _compared(_mates(placed), placed).where("shared IS NOT NULL")
+    best = compared.groupBy("place").agg(F.max_by("shared", "rank").alias("shared")).where("size(shared) > 0")
+    return placed.select("place", "host", "content").join(best, "place").drop("place")
 
 
 def extract_text(pages: DataFrame, pages_per_part: int = 2000) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html).
 
     The whole html is read. References are decoded, white space in a block becomes one space, blocks
-    are joined by one space. A null or empty html has the text ''. A page whose neighbours are on
-    other hosts or have the same lines is compared with none; a url without a host, or null, has no
-    neighbours. Repeated rows give equal texts, and columns besides the three are ignored.
+    are joined by one space. A null or empty html has the text ''. Equal pages of a host are compared
+    as one, and near copies are passed over; a page of a host that has nothing but near copies of it
+    is compared with none, and so is a url without a host, or null. Repeated rows give equal texts,
+    and columns besides the three are ignored.
 
-    Only keys are sorted; lines are shuffled for pages without a main element and their neighbours.
+    Pages are compared by hashes of their lines; html is parsed once for these and once for the text,
+    and lines are shuffled only to meet the places of the shared ones.
     """
     parsed = _parsed(pages)
-    n_parts = max(1, -(-pages.count() // pages_per_part))
-    mates = written(_mates(_placed(parsed, n_parts)))
-    lines_of = parsed.select(F.col("row").alias("mate"), F.col("lines").alias("other"))
-    others = written(mates.join(lines_of, "mate").select("row", "other"))
-    columns = ["page_id", "url", "lines", "is_main", "other"]
-    with_main = parsed.where("has_main").withColumn("other", F.lit(None).cast("array<string>"))
-    without = parsed.where("NOT has_main").join(others, "row", "left")
+    deletions = written(_deletions(parsed, pages_per_part))
+    columns = ["page_id", "url", "lines", "is_main", "shared"]
     schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])
-    texts = with_main.select(*columns).union(without.select(*columns)).mapInArrow(_difference, schema)
+    texts = parsed.join(deletions, ["host", "content"], "left").select(*columns).mapInArrow(_keep, schema)
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -104,3 +104,26 @@ def test_whole_table_equals_articles_cut_out(spark):
         inner = re.search("<article>(.*)</article>", r["html"], re.S)[1]
         plain = re.sub(r"</?(p|br|h1)>", " ", re.sub("</?b>", "", inner))
         assert r["text"] == " ".join(html.unescape(plain).split())
+
+
+def test_shared_lines_inside_articles_are_deleted(spark):
+    page = "<nav>Home</nav><article><p>Subscribe to our letter</p><h1>Title {0}</h1><p>Story number {0} of many words.</p><p>All rights reserved</p></article>"
+    rows = [(i, f"http://h.example/p/{i}", page.format(i), "") for i in range(1, 6)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA), 2).collect()}
+    assert got == {i: f"Title {i} Story number {i} of many words." for i in range(1, 6)}
+
+
+def test_copies_and_near_copies_are_no_mates(spark):
+    frame = "<div>Logo of the site</div><p>Printed on day {0}</p><p>{1} one is a long story.</p><p>{1} two goes on for long.</p><p>{1} three is at the end.</p><div>Made by us</div>"
+    rows = [(i, "http://h.example/p/b", frame.format(1, "Bear"), "") for i in range(5)]
+    rows += [(10 + i, f"http://h.example/p/b?day={i}", frame.format(i + 2, "Bear"), "") for i in range(4)]
+    rows += [(20, "http://h.example/p/a", frame.format(7, "Ant"), ""), (21, "http://h.example/p/c", frame.format(8, "Cat"), "")]
+    rows += [(30 + i, f"http://copies.example/{i}", frame.format(i, "Only"), "") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA), 3).collect()}
+
+    def text(day, name):
+        return f"Printed on day {day} {name} one is a long story. {name} two goes on for long. {name} three is at the end."
+
+    expected = {i: text(1, "Bear") for i in range(5)} | {10 + i: text(i + 2, "Bear") for i in range(4)}
+    expected |= {20: text(7, "Ant"), 21: text(8, "Cat")}
+    assert got == expected | {30 + i: f"Logo of the site {text(i, 'Only')} Made by us" for i in range(3)}
