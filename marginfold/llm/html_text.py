@@ -31,24 +31,64 @@ _DROPPED = frozenset(
     "video dialog menu".split()
 )
 _DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
-# Words of class and id attributes that mark the same.
+# Words that mark the same where a class token or an id consists of them, alone or with _PLACE_WORDS.
 _DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead comment comments "
     "commentlist disqus respond replies share sharing social related recommended newsletter subscribe signup login popup modal "
     "overlay pagination pager widget toolbar".split()
 )
+# Words that say where or in what form something is.
+_PLACE_WORDS = frozenset(
+    "site page main global top bottom left right primary secondary box bar block area container wrapper list item items link links "
+    "button buttons icon icons form posts"
+    .split()
+)
+# Of these words, the ones that also name a part of an article.
+_ARTICLE_WORDS = frozenset("notice notices alert aside promotion".split())
 _WORD = re.compile("[a-z0-9]+")
 _MAIN = ("article", "main")
+# A form with a heading or a line of so many words holds more than fields.
+_TEXT_WORDS = 25
+
+
+def _ends(names: str, closed: str, scope: str) -> dict[str, tuple[frozenset[str], frozenset[str]]]:
+    return dict.fromkeys(names.split(), (frozenset(closed.split()), frozenset(scope.split())))
+
+
+# Start tags that imply end tags: which elements they close, and those that they do not look beyond.
+_IMPLIED_ENDS = (
+    _ends(
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+        "header hr main menu nav ol p pre section summary table ul",
+        "p",
+        "table caption td th button object template",
+    )
+    | _ends("li", "li", "ul ol menu dir table td th")
+    | _ends("dt dd", "dt dd", "dl table td th")
+    | _ends("option optgroup", "option", "select datalist")
+    | _ends("td th", "td th caption", "tr table")
+    | _ends("tr", "tr td th caption", "table")
+    | _ends("tbody thead tfoot", "tbody thead tfoot tr td th caption", "table")
+)
 
 
 class _Lines(HTMLParser):
-    """Collects (line, is_main) of a page; lines of dropped elements are left out."""
+    """Collects (line, is_main, owners) of a page; lines of dropped elements are left out.
+
+    Elements dropped for their class or id, and forms, may hold the article: they are ``owners`` of
+    their lines, which page_lines drops when all of the page is known.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, bool]] = []
-        self._open: list[tuple[str, bool, bool]] = []
+        self.lines: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.forms: set[int] = set()
+        self.text_forms: set[int] = set()
+        self.article_owners: set[int] = set()
+        self._open: list[tuple[str, bool, bool, bool]] = []
+        self._owners: list[int] = []
+        self._n_owners = 0
         self._text: list[str] = []
         self._dropping = self._in_main = 0
 
@@ -56,33 +96,57 @@ class _Lines(HTMLParser):
         line = " ".join("".join(self._text).split())
         self._text.clear()
         if line:
-            self.lines.append((line, self._in_main > 0))
+            self.lines.append((line, self._in_main > 0, tuple(self._owners)))
+            if self._owners and line.count(" ") + 1 >= _TEXT_WORDS:
+                self.text_forms.update(self.forms.intersection(self._owners))
 
     def _is_dropped(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-        if tag in _DROPPED or tag == "header" and not self._in_main:
+        if tag in _DROPPED and tag != "form" or tag == "header" and not self._in_main:
             return True
         if tag in ("html", "body", "main"):
             return False
+        return any(name == "hidden" or name == "role" and (value or "").lower() in _DROPPED_ROLES for name, value in attributes)
+
+    def _is_owner(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+        """Whether a form, or marked by its class or id; articles are not, except those inside one."""
+        if tag == "form":
+            return True
+        if tag in ("html", "body", "main") or tag == "article" and not self._in_main:
+            return False
+        # An article inside an article is a comment or teaser if it says so.
+        marks = _DROPPED_WORDS - _ARTICLE_WORDS if self._in_main and tag != "article" else _DROPPED_WORDS
         for name, value in attributes:
-            if name == "hidden":
-                return True
-            if name == "role" and (value or "").lower() in _DROPPED_ROLES:
-                return True
-            if name in ("class", "id") and not _DROPPED_WORDS.isdisjoint(_WORD.findall((value or "").lower())):
-                return True
+            if name in ("class", "id"):
+                for token in (value or "").lower().split():
+                    words = set(_WORD.findall(token))
+                    if words & marks and words <= _DROPPED_WORDS | _PLACE_WORDS:
+                        return True
         return False
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         if tag in _BLOCKS:
             self._end_line()
+        closed, scope = _IMPLIED_ENDS.get(tag, ((), ()))
+        if closed:
+            self._close_in_scope(closed, scope)
         if tag in _VOID:
             return
         if tag == "body":
             # An end tag of the head may be missing.
             self._close_down_to("head")
         dropped = self._is_dropped(tag, attributes)
+        owner = not dropped and self._is_owner(tag, attributes)
         main = tag in _MAIN or ("role", "main") in attributes
-        self._open.append((tag, dropped, main))
+        if not self._dropping and (main or tag == "h1"):
+            self.text_forms.update(self.forms.intersection(self._owners))
+            if main and not self._in_main:
+                self.article_owners.update(self._owners)
+        if owner:
+            self._n_owners += 1
+            self._owners.append(self._n_owners)
+            if tag == "form":
+                self.forms.add(self._n_owners)
+        self._open.append((tag, dropped, main, owner))
         self._dropping += dropped
         self._in_main += main
 
@@ -90,15 +154,30 @@ class _Lines(HTMLParser):
         if tag in _BLOCKS:
             self._end_line()
 
+    def _close(self) -> None:
+        _, dropped, main, owner = self._open.pop()
+        self._dropping -= dropped
+        self._in_main -= main
+        if owner:
+            self._owners.pop()
+
+    def _close_in_scope(self, closed: frozenset[str], scope: frozenset[str]) -> None:
+        left = None
+        for i in range(len(self._open) - 1, -1, -1):
+            name = self._open[i][0]
+            if name in scope:
+                break
+            if name in closed:
+                left = i
+        while left is not None and len(self._open) > left:
+            self._close()
+
     def _close_down_to(self, tag: str) -> None:
-        if not any(name == tag for name, _, _ in self._open):
+        if not any(element[0] == tag for element in self._open):
             return
-        while self._open:
-            name, dropped, main = self._open.pop()
-            self._dropping -= dropped
-            self._in_main -= main
-            if name == tag:
-                return
+        while self._open[-1][0] != tag:
+            self._close()
+        self._close()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCKS:
@@ -119,7 +198,15 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
     parser.feed(html or "")
     parser.close()
     parser._end_line()
-    return parser.lines
+
+    def outside(kept: set[int]) -> list[tuple[str, bool]]:
+        return [(line, main) for line, main, owners in parser.lines if kept.issuperset(owners)]
+
+    lines = outside(parser.text_forms)
+    if parser.article_owners and not any(main for _, main in lines):
+        # The only article is inside a marked element, which then is the page's wrapper.
+        lines = outside(parser.text_forms | parser.article_owners)
+    return lines or outside(parser.forms)
 
 
 _MOST_BITS = 1 << 31

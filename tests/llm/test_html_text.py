@@ -127,3 +127,23 @@ def test_copies_and_near_copies_are_no_mates(spark):
     expected = {i: text(1, "Bear") for i in range(5)} | {10 + i: text(i + 2, "Bear") for i in range(4)}
     expected |= {20: text(7, "Ant"), 21: text(8, "Cat")}
     assert got == expected | {30 + i: f"Logo of the site {text(i, 'Only')} Made by us" for i in range(3)}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article class="post category-social tag-banner"><p>a</p></article>', "a"),
+        ('<div class="content-sidebar-wrap has-sidebar"><main><p>a</p></main><div class="sidebar">b</div></div>', "a"),
+        ('<article><section id="related-work"><p>a</p></section><p class="notice">b</p><p class="ad">c</p></article>', "a b"),
+        ('<div class="widget"><p>b</p><article><p>a</p></article></div>', "a"),
+        ('<article><p>a</p></article><div class="related"><article>b</article></div>', "a"),
+        ("<body><form><p>a</p></form></body>", "a"),
+        ("<body><form><nav>b</nav><article><p>a</p><input></article></form></body>", "a"),
+        ("<p>a</p><form><p>" + "w " * 30 + "</p></form><form><label>b</label></form>", "a " + ("w " * 30).strip()),
+        ('<article><p class="ad">b<p>a<ul><li class="share">b<li>c<ul><li>d</ul></ul><p>e</article>', "a c d e"),
+        ('<table><tr><td class="ad">b<td>a<tr class="menu"><td>b<tr><td>c</table>', "a c"),
+        ('<dl><dt class="nav">b<dd>a</dl>', "a"),
+    ],
+)
+def test_marked_elements_that_hold_the_article(page, text):
+    assert text_of(page) == text
