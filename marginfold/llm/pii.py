@@ -18,27 +18,57 @@ FIRST_DAY = "1900-01-01"
 DAYS = (250, 292)
 _CHUNK = 18
 _WALKS = 64
+_SHORT_WALKS = 160
 
 _WORD = "A-Za-z0-9"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 # The patterns start at a boundary and do not give back what they have taken, so that scanning a
 # text takes time in proportion to its length.
 EMAIL = rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]++@[{_WORD}-]++(?:\.[{_WORD}-]++)+"
-IBAN = rf"(?<![{_WORD}])[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}+(?![{_WORD}])"
+# Account numbers by length: printed in groups of four, only the country tells where one ends.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _in_groups(length: int, countries: str) -> str:
+    rest = rf" [A-Z0-9]{{{length % 4}}}" if length % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{length // 4 - 1}}}{rest}"
+
+
+_IBAN_GROUPS = "|".join(_in_groups(length, countries) for length, countries in _IBAN_COUNTRIES.items())
+IBAN = rf"(?<![{_WORD}])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}+|{_IBAN_GROUPS})(?![{_WORD}])"
 PHONE = (
     rf"(?<![{_WORD}+(.-])(?:\+[0-9]{{1,3}}[ .-]?)?"
     r"(?:\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9]|[-.][0-9])"
 )
+# With spaces only, or a plus sign and 8 to 15 digits in any groups.
+PHONE_SPACED = rf"(?<![{_WORD}+(.-])(?<![0-9] )[0-9]{{3}} [0-9]{{3}} [0-9]{{4}}(?![{_WORD}]|[-.][0-9]| [0-9])"
+PHONE_PLUS = rf"(?<![{_WORD}+(.-])\+[1-9](?:[ .-]?(?:[0-9]|\([0-9]{{1,4}}\))){{7,14}}+(?![{_WORD}]|[-.][0-9])"
 SSN = rf"(?<![{_WORD}-])(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}(?![{_WORD}]|-[0-9])"
 DATE = (
     rf"(?<![{_WORD}./-])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}})"
     rf"(?![{_WORD}]|[./-][0-9])"
 )
+_TIME = "T[0-9]{2}:?[0-9]{2}"
+DATE_OF_TIME = rf"(?<![{_WORD}./-])[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?={_TIME})"
+SHORT_DATE = (
+    rf"(?<![{_WORD}./-])(?:[1-9]/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{2}}/[1-9]/[0-9]{{4}}|[1-9]\.[0-9]{{1,2}}\.[0-9]{{4}}|[0-9]{{2}}\.[1-9]\.[0-9]{{4}})"
+    rf"(?![{_WORD}]|[./-][0-9])"
+)
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
-CARD = rf"(?<![{_WORD}])(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}})(?![{_WORD}])"
-NUMBERS = "|".join((EMAIL, IBAN, SSN, PHONE, DATE, IP, CARD))
+CARD = rf"(?<![{_WORD}])(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}})(?![{_WORD}])"
+NUMBERS = "|".join((EMAIL, IBAN, SSN, PHONE, DATE, DATE_OF_TIME, SHORT_DATE, IP, CARD, PHONE_SPACED, PHONE_PLUS))
 _NAMES = "(?i:token|secret|password|api[_ -]?key)"
-SECRET = rf"(?<=[\"'])(?<={_NAMES}[ ]{{0,3}}[=:][ ]{{0,3}}[\"'])[{_WORD}_+/=-]{{16,}}+(?=[\"'])"
+_SET = rf"{_NAMES}[ ]{{0,3}}[=:][ ]{{0,3}}"
+# Between quotes, or bare with a digit, so that prose after the word is none.
+SECRET = (
+    rf"(?<=[\"'])(?<={_NAMES}[\"']?[ ]{{0,3}}[=:][ ]{{0,3}}[\"'])[{_WORD}_+/=-]{{6,}}+(?=[\"'])"
+    rf"|(?<=[=: ])(?<={_SET})(?=[{_WORD}_+/-]*[0-9])[{_WORD}_+/-][{_WORD}_+/=-]{{5,}}+"
+)
 
 
 def _digest(text: str) -> str:
@@ -199,13 +229,15 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(key: str, value: Column, back: bool) -> Column:
-    country, account = F.substring(value, 1, 2), F.substring(value, F.lit(5), F.lit(30))
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.lit(30))
     moved = permuted_text(key, "iban", account, back=back)
     spelled = F.transform(
         F.array(moved),
         lambda m: F.concat(country, F.lpad((98 - _mod97(F.concat(m, country, F.lit("00")))).cast("string"), 2, "0"), m),
     )[0]
-    return F.when(_mod97(F.concat(account, F.substring(value, 1, 4))) == 1, spelled)
+    spelled = F.when(value.contains(" "), F.regexp_replace(spelled, "(.{4})(?!$)", "$1 ")).otherwise(spelled)
+    return F.when(_mod97(F.concat(account, F.substring(plain, 1, 4))) == 1, spelled)
 
 
 def _phone(key: str, value: Column, back: bool) -> Column:
@@ -216,6 +248,15 @@ def _phone(key: str, value: Column, back: bool) -> Column:
     return F.concat(head, _merged(tail, permuted_text(key, "phone", digits, back=back)))
 
 
+def _other_phone(key: str, value: Column, back: bool) -> Column:
+    """At most the last ten digits permuted; one digit after a plus sign stays for +1 and +7, else two."""
+    digits = _digits(value)
+    code = F.when(~value.startswith("+"), 0).when(value.rlike("^[+][17]"), 1).otherwise(2)
+    n = F.least(F.lit(10), F.length(digits) - code)
+    moved = permuted_text(key, "phone", F.right(digits, n), back=back)
+    return _merged(value, F.concat(F.substring(digits, F.lit(1), F.length(digits) - n), moved))
+
+
 def _ssn(key: str, value: Column, back: bool) -> Column:
     area, group, serial = (F.substring(value, a, n).cast("bigint") for a, n in ((1, 3), (5, 2), (8, 4)))
     area = area - 1 - F.when(area > 666, 1).otherwise(0)
@@ -292,6 +333,51 @@ def _date(key: str, value: Column, back: bool) -> Column:
     return F.when(number.isNotNull(), F.transform(F.array(number), spelled)[0])
 
 
+def _short_date(key: str, value: Column, back: bool) -> Column:
+    """A date with a one-digit day or month, permuted among the dates that have as many digits in the same places."""
+    parts = F.split(value, "[./]")
+    a, b, year = (parts[i].cast("int") for i in range(3))
+    month_first = value.contains("/") & (b > 12) & (a <= 12)
+    month, day = F.when(month_first, a).otherwise(b), F.when(month_first, b).otherwise(a)
+    possible = month.between(1, 12) & (day >= 1) & year.between(1900, 2099)
+    month_start = F.when(possible, F.make_date(year, month, F.lit(1)))
+    number = F.when(day <= F.dayofmonth(F.last_day(month_start)), F.date_diff(month_start, F.lit(FIRST_DAY).cast("date")) + day - 1)
+    number = F.when(number < DAYS[0] * DAYS[1], number.cast("bigint"))
+    layout = F.concat_ws(" ", F.lit("short date"), F.length(parts[0]), F.length(parts[1]), month_first.cast("string"))
+    given = F.struct(
+        number.alias("number"),
+        layout.alias("layout"),
+        F.length(parts[0]).alias("first"),
+        F.length(parts[1]).alias("second"),
+        month_first.alias("month_first"),
+        F.when(value.contains("/"), "/").otherwise(".").alias("sign"),
+    )
+
+    def as_date(n: Column) -> Column:
+        return F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
+
+    def walk(g: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            day, month = F.dayofmonth(as_date(at)), F.month(as_date(at))
+            fits = F.when(g["month_first"], ((g["first"] == 2) | (month < 10)) & (day > 12)).otherwise(
+                ((g["first"] == 2) | (day < 10)) & ((g["second"] == 2) | (month < 10))
+            )
+            return F.when(fits, at).otherwise(_permuted_day(key, g["layout"], at, back))
+
+        start = _permuted_day(key, g["layout"], g["number"], back)
+        return F.struct(g.alias("given"), F.aggregate(F.sequence(F.lit(1), F.lit(_SHORT_WALKS)), start, step).alias("moved"))
+
+    def spelled(w: Column) -> Column:
+        g, date = w["given"], as_date(w["moved"])
+        day, month = F.dayofmonth(date).cast("string"), F.month(date).cast("string")
+        first, second = F.when(g["month_first"], month).otherwise(day), F.when(g["month_first"], day).otherwise(month)
+        text = F.concat(F.lpad(first, g["first"], "0"), g["sign"], F.lpad(second, g["second"], "0"), g["sign"], F.year(date).cast("string"))
+        # lpad would cut what did not fit.
+        return F.when((F.length(first) <= g["first"]) & (F.length(second) <= g["second"]), text)
+
+    return F.when(number.isNotNull(), F.transform(F.transform(F.array(given), walk), spelled)[0])
+
+
 def _email(key: str, value: Column, back: bool) -> Column:
     """The part before the sign permuted; the domain stays."""
     return F.concat(permuted_text(key, "email", F.substring_index(value, "@", 1), back=back), F.lit("@"), F.substring_index(value, "@", -1))
@@ -313,9 +399,11 @@ def _numbers(key: str, value: Column, back: bool) -> Column:
         ("iban", value.rlike("^[A-Z]"), _iban),
         ("ssn", value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn),
         ("date", value.rlike("^([0-9]{4}-[0-9]{2}-|[0-9]{2}[./])[0-9]{2}([./][0-9]{4})?$"), _date),
+        ("date", value.rlike("^[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}$"), _short_date),
         ("ip", value.rlike(r"^[0-9]+(\.[0-9]+){3}$"), _ip),
-        ("card", value.rlike("^[0-9]{13}|^[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"), _card),
-        ("phone", F.lit(True), _phone),
+        ("card", value.rlike("^[0-9]{13}|^[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|^[0-9]{4}[ -][0-9]{6}[ -]"), _card),
+        ("phone", value.rlike(rf"^{PHONE}$"), _phone),
+        ("phone", F.lit(True), _other_phone),
     )
     kind = text = None
     for name, condition, replace in kinds:
@@ -362,9 +450,11 @@ def pseudonymise(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
     """``docs`` with its column ``text`` pseudonymised, and ``pii_kinds``: the kind of each value replaced.
 
     Replaced are e-mail addresses (the part before the sign), phone numbers (ten digits after a
-    country code), social security numbers in valid ranges, IPv4 addresses, dates from 1900 to
-    2099-11-12 in three layouts, payment card numbers that pass the Luhn test, account numbers
-    (IBAN) that pass theirs, and quoted tokens and passwords. Pseudonyms have the length (addresses:
+    country code, also with spaces only, and 8 to 15 digits after a plus sign), social security
+    numbers in valid ranges, IPv4 addresses, dates from 1900 to 2099-11-12 in three layouts (also
+    before a time or with a one-digit day or month), payment card numbers (also in groups of 4, 6 and
+    5) that pass the Luhn test, account numbers (IBAN, also in groups of four) that pass theirs, and
+    tokens and passwords of six or more characters, quoted or, with a digit, bare. Pseudonyms have the length (addresses:
     the format), separators and check digits of their kind; values that are not valid stay. Equal
     values get equal pseudonyms, different values different ones. All other columns are kept, whatever
     their names; null texts stay null and have no kinds. ``key`` is secret: who has it can restore.

@@ -184,3 +184,32 @@ def test_nulls_repeats_clashing_names_and_long_texts(spark):
     assert out[3]["text"] == "word " * 50000 + brute("123-45-6789") and out[3]["pii_kinds"] == ["ssn"]
     assert {(r["found"], r["__matches"]) for r in out} == {(5, "k")}
     assert pseudonymise(frame.limit(0), KEY).count() == 0
+
+
+WIDER = {
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "ES91 2100 0418 4502 0005 1332"],
+    "date": ["1/5/1987", "1/25/1987", "25/1/1987", "1.12.1999", "01/5/2003"],
+    "phone": ["555 123 4567", "+49 30 1234567", "+4930123456", "+33 1 23 45 67 89"],
+    "card": ["3782 822463 10005", "3782-822463-10005"],
+    "secret": ["password=hunter22", "API_KEY=Zx9_Zx9_Zx9_Zx9_", "token: 'abc123'"],
+}
+
+
+def test_other_common_layouts(spark):
+    rows = [(kind, value, f"Of {value} PLUS, more") for kind, values in WIDER.items() for value in values]
+    rows += [("date", "2024-01-05T10:00", "Of 2024-01-05T10:00 PLUS, more"), ("", "the password: please", "the password: please"), ("", "32/1/1999", "32/1/1999")]
+    frame = spark.createDataFrame(rows, "kind string, value string, text string")
+    new = pseudonymise(frame, KEY)
+    for r in new.collect():
+        changed = re.fullmatch("Of (.*) PLUS, more", r["text"])
+        assert r["pii_kinds"] == [r["kind"]][: bool(r["kind"])], r
+        if not r["kind"]:
+            assert r["text"] == r["value"]
+        else:
+            old, value = r["value"], changed[1]
+            assert value != old and re.sub("[0-9]", "9", value) == re.sub("[0-9]", "9", old) or r["kind"] in ("iban", "secret"), r
+            assert value != old and len(value) == len(old)
+            if r["kind"] == "iban":
+                plain = value.replace(" ", "")
+                assert mod97(plain[4:] + plain[:4]) == 1
+    assert sorted(r["text"] for r in restore(new.drop("pii_kinds"), KEY).collect()) == sorted(t for *_, t in rows)
