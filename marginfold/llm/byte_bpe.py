@@ -16,6 +16,8 @@ LONG_TEXT = 1 << 16
 # A place between a character other than white space and a space followed by such a character is a
 # boundary of the pre-splitting pattern: a space before another character always begins a match.
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+# The library gives up on longer runs of white space; they are split here as the pattern would.
+_LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,11 +45,37 @@ def safe_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def long_runs(text: str) -> Iterator[tuple[str, bool]]:
+    """The text cut around long runs of white space, and whether a part is such a run: one match of the pattern.
+
+    A match that begins with white space takes the run up to its last character, which goes with what
+    follows; at the end of the text it takes all of the run.
+    """
+    start = 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        if run.start() > start:
+            yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    if start < len(text):
+        yield text[start:], False
+
+
 def encode(encoder: tiktoken.Encoding, text: str, long_text: int = LONG_TEXT) -> np.ndarray:
-    """Token ids of a whole text; special strings in it are ordinary text."""
+    """Token ids of a whole text; special strings in it are ordinary text.
+
+    Texts longer than ``long_text`` are given to the library in parts, cut where the byte-level pattern has
+    boundaries: the ids are the same.
+    """
     if len(text) <= long_text:
         return encoder.encode_to_numpy(text, disallowed_special=())
-    parts = [encoder.encode_to_numpy(piece, disallowed_special=()) for piece in safe_pieces(text, long_text)]
+    parts = []
+    for part, is_run in long_runs(text):
+        if is_run:
+            parts.append(np.array(encoder._encode_single_piece(part), np.uint32))
+        else:
+            parts += [encoder.encode_to_numpy(piece, disallowed_special=()) for piece in safe_pieces(part, long_text)]
     return np.concatenate(parts)
 
 

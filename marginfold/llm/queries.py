@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginfold.llm import byte_bpe, decontaminate, html_text, language_id, pii, quality_mil, quality_rules, simhash, token_counts, token_files
+from marginfold.llm import (
+    alignment,
+    byte_bpe,
+    conversations,
+    decontaminate,
+    fingerprints,
+    html_text,
+    language_id,
+    pii,
+    quality_mil,
+    quality_rules,
+    simhash,
+    token_counts,
+    token_files,
+)
 from marginfold.llm.sql import DECONTAMINATION, QUALITY_RULES
 from marginfold.sources.scratch import scratch_folder
 
@@ -15,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,6 +107,19 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.alignment_counts(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.digests(conversations.repair(conversations.damage(table(spark, folder, "conversations"))))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.near_next_and_edited(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -104,6 +132,9 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_quality_mil": op9_quality_mil,
         "op10_html_text": op10_html_text,
+        "op11_alignment": op11_alignment,
+        "op12_conversations": op12_conversations,
+        "op13_fingerprints": op13_fingerprints,
     }
 
 
