@@ -161,7 +161,7 @@ class Block:
         b_names[self.link_b] += n_b
         names = np.empty(len(a_names) + len(b_names), np.int64)
         # Before a token of a stand the groups before it, of both sides; before one of b also its group's a's.
-        names[np.arange(len(a_names)) + np.repeat(np.append(0, self.link_b[:-1] + 1), a_sizes)] = a_names
+        names[np.arange(len(a_names)) + np.repeat(np.append(0, self.link_b + 1)[:-1], a_sizes)] = a_names
         names[np.arange(len(b_names)) + np.repeat(self.link_a + 1, b_sizes)] = b_names
         written_out = sides.names[names].tolist()
         ends = np.cumsum(self.a_per_text + self.b_per_text).tolist()
