@@ -307,8 +307,8 @@ def alignment_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     # A window holds the pairs of one id of b: at most the other vocabulary.
     highest = F.max("count").over(Window.partitionBy(F.col("pair") % n_b))
     counted = asked.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("best", F.col("count") == highest)
-    told = asked.join(counted, "pair").select("block", "place", "count", "best")
+    told = asked.join(counted, "pair").select(F.col("block").alias("of"), "place", "count", "best")
     result = T.StructType(
         [*doc.fields[:4], *[T.StructField(name, T.LongType()) for name in ("n_links", "n_best", "count_sum")], doc.fields[4]]
     )
-    return blocks.select("block", "docs", "cells").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_scored(_arrow(result)), result)
+    return blocks.select("block", "docs", "cells").groupBy("block").cogroup(told.groupBy("of")).applyInArrow(_scored(_arrow(result)), result)
