@@ -10,8 +10,11 @@ them, and so do lines beside the article of a page that has one.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -87,6 +90,8 @@ class _Lines(HTMLParser):
         self.text_forms: set[int] = set()
         self.article_owners: set[int] = set()
         self._open: list[tuple[str, bool, bool, bool]] = []
+        # Where each element name is in the list of open ones.
+        self._places: dict[str, list[int]] = {}
         self._owners: list[int] = []
         self._n_owners = 0
         self._text: list[str] = []
@@ -146,6 +151,7 @@ class _Lines(HTMLParser):
             self._owners.append(self._n_owners)
             if tag == "form":
                 self.forms.add(self._n_owners)
+        self._places.setdefault(tag, []).append(len(self._open))
         self._open.append((tag, dropped, main, owner))
         self._dropping += dropped
         self._in_main += main
@@ -155,25 +161,25 @@ class _Lines(HTMLParser):
             self._end_line()
 
     def _close(self) -> None:
-        _, dropped, main, owner = self._open.pop()
+        tag, dropped, main, owner = self._open.pop()
+        self._places[tag].pop()
         self._dropping -= dropped
         self._in_main -= main
         if owner:
             self._owners.pop()
 
     def _close_in_scope(self, closed: frozenset[str], scope: frozenset[str]) -> None:
-        left = None
-        for i in range(len(self._open) - 1, -1, -1):
-            name = self._open[i][0]
-            if name in scope:
-                break
-            if name in closed:
-                left = i
-        while left is not None and len(self._open) > left:
+        barrier = max((self._places[name][-1] for name in scope if self._places.get(name)), default=-1)
+        left = len(self._open)
+        for name in closed:
+            places = self._places.get(name)
+            if places and places[-1] > barrier:
+                left = min(left, places[bisect(places, barrier)])
+        while len(self._open) > left:
             self._close()
 
     def _close_down_to(self, tag: str) -> None:
-        if not any(element[0] == tag for element in self._open):
+        if not self._places.get(tag):
             return
         while self._open[-1][0] != tag:
             self._close()
@@ -192,11 +198,29 @@ class _Lines(HTMLParser):
         return self.parse_bogus_comment(i)
 
 
+def _ended_markup(html: str) -> tuple[str, str]:
+    """What the parser reads, and the text behind it that is no markup.
+
+    A tag or comment that never ends would be looked through again from each of its characters. Nothing
+    behind the last ``>`` is a whole tag, so that is text. A comment that is open at the end of the page
+    holds all the rest.
+    """
+    opened = html.rfind("<!--")
+    ended = max(html.rfind("-->"), html.rfind("--!>"))
+    if opened > ended:
+        opened = html.find("<!--", max(ended, 0))
+        html = html[:opened]
+    last = html.rfind(">") + 1
+    return html[:last], html[last:]
+
+
 def page_lines(html: str | None) -> list[tuple[str, bool]]:
     """(line, is_main) for each block with text, in page order; is_main inside an article or main element."""
     parser = _Lines()
-    parser.feed(html or "")
+    tagged, rest = _ended_markup(html or "")
+    parser.feed(tagged)
     parser.close()
+    parser.handle_data(unescape(rest))
     parser._end_line()
 
     def outside(kept: set[int]) -> list[tuple[str, bool]]:
@@ -273,17 +297,34 @@ def _relevant(is_main: Sequence[bool]) -> list[int]:
 # Lines that are shared with another page are its frame, unless they make up this share of the
 # characters: then the page is a near copy. An article holds less frame than a page without one.
 _COPY_OF_ARTICLE, _COPY_OF_PAGE = 0.6, 0.8
+# Articles share a short line by chance, or quote a common text such as a licence. One at an article's
+# edge is its site's frame if it stands so, and is shared, on this many different pages of one host, and
+# of no other.
+LEAST_PAGES = 3
 
 
 def shared_lines(
     lines: Sequence, sizes: Sequence[int], is_main: Sequence[bool], other: Sequence, other_sizes: Sequence[int], other_is_main: Sequence[bool]
 ) -> list[int] | None:
-    """The places of a page's lines that the other page has too; None if one of the two is a near copy of the other or of a part of it."""
+    """The places of a page's lines that the other page has too; None if one of the two is a near copy of the other or of a part of it.
+
+    Of an article's lines only those at its edges count: before its first and behind its last line of its own.
+    """
     at, other_at = _relevant(is_main), _relevant(other_is_main)
     shared = [at[i] for i in common_subsequence([lines[i] for i in at], other)]
     least = min(sum(sizes[i] for i in at), sum(other_sizes[i] for i in other_at))
     limit = _COPY_OF_ARTICLE if any(is_main) and any(other_is_main) else _COPY_OF_PAGE
-    return None if shared and sum(sizes[i] for i in shared) >= limit * least else shared
+    if shared and sum(sizes[i] for i in shared) >= limit * least:
+        return None
+    return at_edges(at, shared) if any(is_main) else shared
+
+
+def at_edges(places: Sequence[int], shared: Sequence[int]) -> list[int]:
+    """Those of ``shared`` that nothing else of ``places`` stands before, or behind."""
+    found, gone = set(), frozenset(shared)
+    for order in (places, reversed(places)):
+        found.update(takewhile(gone.__contains__, order))
+    return sorted(found)
 
 
 def kept_text(lines: Sequence[str], is_main: Sequence[bool], shared: Sequence[int] | None) -> str:
@@ -446,13 +487,32 @@ def _mates(placed: DataFrame) -> DataFrame:
 
 
 def _deletions(parsed: DataFrame, pages_per_part: int) -> DataFrame:
-    """(host, content, shared): the places of the lines that a page shares with its mate, for pages that share any."""
+    """(host, content, shared): the places of the lines to delete, for pages that have any.
+
+    These are the lines that a page shares with its mate; in an article those at its edges that other pages
+    of the host have there too, and pages of no other host.
+    """
     contents = written(_contents(parsed))
     n_parts = max(1, -(-contents.count() // pages_per_part))
     placed = written(_placed(contents, n_parts).join(contents.drop("path"), ["host", "content"]))
     compared = _compared(_mates(placed), placed).where("shared IS NOT NULL")
     best = compared.groupBy("place").agg(F.max_by("shared", "rank").alias("shared")).where("size(shared) > 0")
-    return placed.select("place", "host", "content").join(best, "place").drop("place")
+    found = placed.select("place", "host", "content", "hashes", F.exists("is_main", lambda main: main).alias("has_article")).join(best, "place")
+    lines = found.select("place", "host", "content", "has_article", F.posexplode("hashes").alias("at", "line"), "shared")
+    lines = written(lines.where(F.array_contains("shared", F.col("at"))).drop("shared"))
+    # Each row is of another content of the host; a line that begins and ends an article counts once.
+    pages = F.count_distinct("content").alias("n_pages")
+    frame = (
+        lines.where("has_article")
+        .groupBy("line", "host")
+        .agg(pages)
+        .groupBy("line")
+        .agg(F.count("*").alias("n_hosts"), F.min("host").alias("host"), F.min("n_pages").alias("n_pages"))
+        .where((F.col("n_hosts") == 1) & (F.col("n_pages") >= LEAST_PAGES))
+    )
+    certain = lines.where("has_article").join(frame.select("host", "line"), ["host", "line"]).select("host", "content", "at")
+    deleted = certain.union(lines.where("NOT has_article").select("host", "content", "at"))
+    return deleted.groupBy("host", "content").agg(F.array_agg("at").alias("shared"))
 
 
 def extract_text(pages: DataFrame, pages_per_part: int = 2000) -> DataFrame:
@@ -464,10 +524,10 @@ def extract_text(pages: DataFrame, pages_per_part: int = 2000) -> DataFrame:
     is compared with none, and so is a url without a host, or null. Repeated rows give equal texts,
     and columns besides the three are ignored.
 
-    Pages are compared by hashes of their lines; html is parsed once for these and once for the text,
-    and lines are shuffled only to meet the places of the shared ones.
+    Pages are compared by hashes of their lines; lines are written once, and shuffled only to meet the
+    places of the shared ones.
     """
-    parsed = _parsed(pages)
+    parsed = written(_parsed(pages))
     deletions = written(_deletions(parsed, pages_per_part))
     columns = ["page_id", "url", "lines", "is_main", "shared"]
     schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])

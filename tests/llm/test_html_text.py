@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -99,7 +100,7 @@ def test_one_host_with_many_pages_and_a_long_page(spark):
 
 
 def test_whole_table_equals_articles_cut_out(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     for r in pages.join(extract_text(pages).drop("url"), "page_id").collect():
         inner = re.search("<article>(.*)</article>", r["html"], re.S)[1]
         plain = re.sub(r"</?(p|br|h1)>", " ", re.sub("</?b>", "", inner))
@@ -113,6 +114,36 @@ def test_shared_lines_inside_articles_are_deleted(spark):
     assert got == {i: f"Title {i} Story number {i} of many words." for i in range(1, 6)}
 
 
+def test_article_lines_shared_by_chance_stay(spark):
+    page = "<article><h1>Title {0}</h1><p>Story {0} is long.</p><p>{1}</p><p>Other words of {0} follow.</p><p>{2}</p></article>"
+    rows = []
+    for host in "abc":
+        for i in range(6):
+            # One line in the middle of all articles, one at the end of two, and a licence on all hosts.
+            last = "By chance." if i < 2 and host == "a" else "Free to copy by licence." if i % 2 else f"End of {i}."
+            rows.append((len(rows), f"http://{host}.example/p/{i}", page.format(f"{host}{i}", "Said again.", last), ""))
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, SCHEMA), 4).collect()}
+    assert got == {row[0]: text_of(row[2]) for row in rows}
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<div>" * 150_000 + "end", "</p></b>" * 120_000 + "end", "<a " * 300_000, "<p>x" + "<!-- " * 200_000 + "> end", "<p><table><tr><td>" + "<div>" * 150_000 + "end",
+     "<li>" * 200_000 + "end", "<p>" + "x &amp; " * 200_000, "<" * 500_000, "&" * 500_000, "<p class='" * 100_000],
+)
+def test_pages_of_a_megabyte_take_linear_time(html):
+    started = time.process_time()
+    lines = page_lines(html)
+    assert time.process_time() - started < 20
+    assert not html.endswith("end") or lines[-1][0].endswith("end") or "<!--" in html
+
+
+def test_markup_that_never_ends():
+    assert text_of("<p>a &lt; b</p>c < d &amp; e <b") == "a < b c < d & e <b"
+    assert text_of("<p>a</p><!-- open <p>b</p>") == "a"
+    assert text_of("<p>a</p><!-- done --><p>b</p><!-- open <p>c</p><!-- more") == "a b"
+
+
 def test_copies_and_near_copies_are_no_mates(spark):
     frame = "<div>Logo of the site</div><p>Printed on day {0}</p><p>{1} one is a long story.</p><p>{1} two goes on for long.</p><p>{1} three is at the end.</p><div>Made by us</div>"
     rows = [(i, "http://h.example/p/b", frame.format(1, "Bear"), "") for i in range(5)]
