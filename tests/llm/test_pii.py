@@ -213,3 +213,22 @@ def test_other_common_layouts(spark):
                 plain = value.replace(" ", "")
                 assert mod97(plain[4:] + plain[:4]) == 1
     assert sorted(r["text"] for r in restore(new.drop("pii_kinds"), KEY).collect()) == sorted(t for *_, t in rows)
+
+
+def test_texts_of_a_million_parts_are_scanned(spark):
+    long = {
+        1: "x a@" + "b." * 1_000_000 + "example",
+        2: "+1" + " 2" * 500_000,
+        3: "GB82" + " WEST" * 300_000,
+        4: "1." * 1_000_000,
+        5: "12-" * 700_000,
+        6: " " * 5_000_000,
+        7: "a" * 5_000_000,
+        8: "token= " * 300_000,
+        9: "é" * 2_000_000,
+    }
+    docs = spark.createDataFrame(list(long.items()), "doc_id long, text string").repartition(9)
+    got = {row["doc_id"]: row for row in pseudonymise(docs, KEY).collect()}
+    # An address keeps its host.
+    assert got[1]["pii_kinds"] == ["email"] and got[1]["text"] != long[1] and got[1]["text"].endswith("@" + "b." * 1_000_000 + "example")
+    assert all(got[i]["text"] == long[i] for i in (4, 5, 6, 7, 8, 9))
