@@ -1,10 +1,12 @@
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from marginfold.llm import byte_bpe
 from marginfold.llm.byte_bpe import decode_ids, encode, encode_texts, encoding, round_trip, safe_pieces
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,3 +55,18 @@ def test_decoding_part_of_a_character(spark, encoder):
     ids = encoder.encode_ordinary("🙂")
     frame = spark.createDataFrame([(1, ids[:1])], "doc_id long, ids array<int>")
     assert bytes(decode_ids(frame, PATH, public_tokenizers.PATTERN).first()["decoded"]) == encoder.decode_bytes(ids[:1])
+
+
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\xa0", "　", "\x1c", "\x85", "a", "'s", "1", ".,", "É"]), max_size=30))
+@settings(max_examples=500, deadline=None)
+def test_long_runs_are_split_as_the_pattern_does(parts):
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(byte_bpe, "_LONG_RUN", re.compile(byte_bpe._LONG_RUN.pattern.replace("4096", "3")))
+        assert encode(test_pieces_change_no_ids.encoder, text, 4).tolist() == test_pieces_change_no_ids.encoder.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "\xa0", " \n", "a", "1", "!", "é"])
+def test_five_million_characters_in_a_row(encoder, unit):
+    text = "x" + unit * (5_000_000 // len(unit)) + "y"
+    assert encoder.decode_bytes(encode(encoder, text).tolist()) == text.encode()
