@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 UNDETERMINED = "und"
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 SAMPLE_DOCUMENTS = 1024
-MOST_LANGUAGES = 256
+LEAST_DOCUMENTS = 4
 EXCERPT_CHARS = 120
 AMBIGUOUS_BELOW = 0.02
 _ROUNDS = 150
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 # ASCII characters other than letters count as one space; bytes of other characters stay.
 _SPACED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -62,8 +62,10 @@ def codewords(n_languages: int, seed: int = 17) -> np.ndarray:
     for _ in range(32):
         code = rng.choice([-1.0, 1.0], (n_languages, n_bits))
         code = code[:, np.abs(code.sum(axis=0)) < n_languages]
-        least = min((code[i] != code[j]).sum() for i, j in itertools.combinations(range(n_languages), 2))
-        draws.append((least, code))
+        # Of two codewords the product counts bits that agree less those that differ.
+        agree = code @ code.T
+        np.fill_diagonal(agree, -np.inf)
+        draws.append(((code.shape[1] - agree.max()) / 2, code))
     return max(draws, key=lambda draw: draw[0])[1]
 
 
@@ -141,16 +143,17 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame) -> LanguageModel:
     """Fit the code bits on a bounded sample of the rows of ``docs`` that are not held out.
 
-    The vectors of at most ``SAMPLE_DOCUMENTS`` documents in all (at least 8 of each language) reach
-    the driver; languages beyond the ``MOST_LANGUAGES`` most frequent are not learned. Rows without
-    lang, doc_id or a letter are no examples.
+    Every lang value is learned. The vectors of about ``SAMPLE_DOCUMENTS`` documents in all, but up to
+    ``LEAST_DOCUMENTS`` of each language, reach the driver. Rows without lang, doc_id or a letter are no
+    examples, and none of them is chosen.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    by_count = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not by_count:
+    known = docs.where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
+    )
+    n_languages = known.select("lang").distinct().count()
+    if not n_languages:
         return LanguageModel([], np.ones((0, 1)), np.zeros((FEATURES, 1)), np.zeros(1))
-    names = [row["lang"] for row in by_count]
-    chosen = _sample(known.where(F.col("lang").isin(names)), max(8, SAMPLE_DOCUMENTS // len(names)))
+    chosen = _sample(known, max(LEAST_DOCUMENTS, SAMPLE_DOCUMENTS // n_languages))
     rows = (
         known.select("doc_id", "lang", "text")
         .join(chosen, (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("label")), "left_semi")
