@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 PASSAGE_BYTES = 512
 HASHED = 256
 TRAIN_DOCUMENTS = 2048
-TRAIN_PASSAGES = 48
+TRAIN_PASSAGES = 65_536
 _HIDDEN, _ATTENTION = 32, 16
 _EPOCHS, _BATCH, _RATE, _DECAY = 30, 128, 0.01, 1e-4
 _CLASSES = ("upper", "lower", "digit", "space", "mark", "symbol", "line", "high")
@@ -174,21 +174,27 @@ def held_out(doc_id: Column) -> Column:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bags = []
-        for value in batch.column("text"):
-            bag = passages(value.as_py())
-            if len(bag) > TRAIN_PASSAGES:
-                bag = bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype(int)]
-            bags.append(bag.tobytes())
+        bags = [passages(value.as_py()).tobytes() for value in batch.column("text")]
         yield pa.record_batch([batch.column("quality"), pa.array(bags, pa.binary())], names=["quality", "bag"])
 
 
+def fitting_documents(sizes: list[tuple], most: int = TRAIN_PASSAGES) -> list:
+    """Ids of (mix, doc_id, passages) in the order of mix, as long as their passages are ``most`` in all; larger ones are passed over."""
+    chosen, total = [], 0
+    for _, doc_id, n in sorted(sizes):
+        if total + n <= most:
+            chosen.append(doc_id)
+            total += n
+    return chosen
+
+
 def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Fit on a bounded sample of the labelled documents that are not held out.
 
-    At most ``TRAIN_DOCUMENTS`` documents, as many of either label, with up to ``TRAIN_PASSAGES`` evenly
-    spaced passages each, reach the driver. Of several labels of a document the least counts; only 0
-    and 1 are labels.
+    At most ``TRAIN_DOCUMENTS`` documents, as many of either label, with all their passages reach the driver.
+    Where these are more than ``TRAIN_PASSAGES`` passages, fewer documents are taken: in the order of a hash
+    of their id, alike for both labels, those that still fit. Of several labels of a document the least
+    counts; only 0 and 1 are labels.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -202,9 +208,13 @@ def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
         .agg(F.min("doc_id").alias("doc_id"))
         .select(F.col("doc_id").alias("chosen_id"), "quality")
     )
+    # At most TRAIN_DOCUMENTS rows.
+    size = F.max(F.ceil(F.octet_length("text") / PASSAGE_BYTES)).alias("n")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
+    sizes = found.groupBy("doc_id").agg(size).select("doc_id", "n", F.xxhash64("doc_id").alias("mix")).collect()
+    fitting = fitting_documents([(row["mix"], row["doc_id"], row["n"] or 0) for row in sizes])
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
+        found.where(F.col("doc_id").isin(fitting))
         .dropDuplicates(["doc_id"])
         .select("text", "quality")
         .mapInArrow(_bags, "quality int, bag binary")

@@ -1,10 +1,12 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marginfold.llm import quality_mil
+from marginfold.llm.queries import op9_quality_mil
 from marginfold.llm.quality_mil import FEATURES, PASSAGE_BYTES, QualityModel, fit, held_out, passages, score_quality, train
 
 
@@ -92,3 +94,48 @@ def test_nulls_repeats_and_no_labels(spark):
     assert train(docs, labels.limit(0)).prior == 0.5
     assert score_quality(docs.limit(0), train(docs.limit(0), labels)).count() == 0
     assert quality_mil.THRESHOLD == 0.7
+
+
+def plain_score(model, text):
+    """Gated attention over the passages of a text, one after the other."""
+    w, encoded = model.weights, []
+    for row in passages(text):
+        encoded.append(np.tanh(((row - model.mean) / model.spread) @ w["encode"] + w["encode_bias"]))
+    if not encoded:
+        return model.prior
+    weigh = [np.exp(float((np.tanh(h @ w["attend"]) / (1 + np.exp(-(h @ w["gate"])))) @ w["weigh"])) for h in encoded]
+    z = sum(a / sum(weigh) * h for a, h in zip(weigh, encoded))
+    return 1 / (1 + np.exp(-(float(z @ w["score"]) + float(w["score_bias"]))))
+
+
+def test_the_query_equals_plain_attention(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = train(docs, labels)
+    texts = {row["doc_id"]: row["text"] for row in docs.select("doc_id", "text").collect()}
+    found = op9_quality_mil(spark, folder).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert row["score"] == pytest.approx(plain_score(model, texts[row["doc_id"]]), abs=1e-4)
+        assert row["predicted"] == (row["score"] >= 0.7) and row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 4 == 2)
+
+
+def test_all_passages_of_a_long_document_are_learned_from(spark):
+    # The passage that earns the label is one of 200, at any place.
+    rng = random.Random(9)
+    good, bad = "A sentence of good prose, as it should be. " * 12, "buy now!!! $$$ >>> CLICK 0123456789 " * 16
+    texts = []
+    for i in range(80):
+        parts = [bad[:PASSAGE_BYTES]] * 200
+        if i % 2:
+            parts[rng.randrange(200)] = good[:PASSAGE_BYTES]
+        texts.append("".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    assert {len(passages(text)) for text in texts} == {200}
+    scored = score_quality(docs, train(docs, labels)).join(labels, "doc_id")
+    assert scored.agg(F.avg(((F.col("score") >= 0.5) == (F.col("quality") == 1)).cast("double"))).first()[0] > 0.9
+
+
+def test_fewer_documents_where_passages_are_too_many():
+    assert quality_mil.fitting_documents([(3, "c", 4), (1, "a", 5), (2, "b", 9), (4, "d", 1)], 10) == ["a", "c", "d"]
