@@ -251,17 +251,17 @@ def cac_by_channel(fact: DataFrame, funnel: DataFrame, orders: DataFrame | None
 
     CAC in the funnel is per *acquisition* channel while orders count by *order* channel.
     """
-    rows = orders or order_rows(fact)
-    sums = rows.groupBy(F.col("order_channel").alias("channel")).agg(_orders(), *add_up())
-    # Only keys meet per customer, to be counted.
+    # One fold to channel and customer gives the channel's sums, orders and people.
     people = (
-        rows.groupBy(F.col("order_channel").alias("channel"), "customer_id")
-        .agg(F.bool_or("is_first").alias("is_new"))
-        .groupBy("channel")
-        .agg(F.count("customer_id").alias("total_customers"), F.count_if("is_new").alias("new_customers"))
+        (orders or order_rows(fact))
+        .groupBy(F.col("order_channel").alias("channel"), "customer_id")
+        .agg(_orders(), F.bool_or("is_first").alias("is_new"), *add_up())
     )
-    channels = sums.withColumnRenamed("orders", "total_orders").join(
-        people.withColumnRenamed("channel", "_channel"), F.col("channel").eqNullSafe(F.col("_channel"))
+    channels = people.groupBy("channel").agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_id").alias("total_customers"),
+        F.count_if("is_new").alias("new_customers"),
+        *add_up(),
     )
     marketing = funnel.select(
         "channel",

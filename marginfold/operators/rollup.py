@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marginfold.functions.money import per_unit, total_cents
+from marginfold.functions.money import cents, per_unit, total_cents
 from marginfold.schemas import PERCENT
 
 # The money columns of the fact that reports add up.
@@ -69,33 +69,49 @@ def order_rows(fact: DataFrame) -> DataFrame:
     return per_order(fact, *ORDER_DIMS)
 
 
+# What the headline takes of each line, NULL or false where a line does not count.
+_LINE_SUMS = {m: cents(m) for m in (*MEASURES, "net_margin_pct")}
+_LINE_FLAGS = {
+    "lines": "true",
+    "net_margin_lines": "net_margin_pct IS NOT NULL",
+    "leak_lines": "is_profit_leak",
+    "losing_lines": "net_profit < 0",
+    "returned_lines": "return_flag",
+}
+
+
 def headline(fact: DataFrame) -> DataFrame:
     """One row: the sums and counts of all lines, and orders, customers, first_orders, returned_orders.
 
-    Lines are summed where they are read; only order and customer keys are shuffled, to be counted.
+    The fact is evaluated once, written or not. Each line is taken twice: for the sums, which meet where
+    the lines are, and for its order and customer, which are shuffled to be counted with all sums empty.
     """
-    lines = fact.agg(
-        *[total_cents(m).alias(m) for m in MEASURES],
-        total_cents("net_margin_pct").alias("net_margin_sum"),
-        F.count("net_margin_pct").alias("net_margin_lines"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if("is_profit_leak").alias("leak_lines"),
-        F.count_if(F.col("net_profit") < 0).alias("losing_lines"),
-        F.count_if("return_flag").alias("returned_lines"),
+    taken = fact.select(
+        "order_id",
+        "customer_id",
+        F.expr("is_first_order").alias("is_first"),
+        F.expr("return_flag").alias("is_returned"),
+        *[F.expr(amount).alias(name) for name, amount in _LINE_SUMS.items()],
+        *[F.expr(flag).alias(name) for name, flag in _LINE_FLAGS.items()],
+        F.explode(F.array(F.lit(False), F.lit(True))).alias("as_key"),
+    )
+    as_sum = ~F.col("as_key")
+    keys = [F.when(F.col("as_key"), F.col(name)).alias(name) for name in ("order_id", "customer_id")]
+    met = taken.groupBy("as_key", *keys).agg(
+        *[F.sum(F.when(as_sum, F.col(name))).alias(name) for name in _LINE_SUMS],
+        *[F.count_if(as_sum & F.col(name)).alias(name) for name in _LINE_FLAGS],
+        F.bool_or(F.when(F.col("as_key"), F.col("is_first"))).alias("is_first"),
+        F.bool_or(F.when(F.col("as_key"), F.col("is_returned"))).alias("is_returned"),
     )
-    keys = (
-        fact.groupBy("order_id", "customer_id")
-        .agg(F.bool_or("is_first_order").alias("is_first"), F.bool_or("return_flag").alias("is_returned"))
-        .agg(
-            F.count("order_id").alias("orders"),
-            F.count_distinct("customer_id").alias("customers"),
-            F.count_if("is_first").alias("first_orders"),
-            F.count_if("is_returned").alias("returned_orders"),
-        )
+    counted = met.agg(
+        *[F.sum(name).alias(name) for name in _LINE_SUMS],
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _LINE_FLAGS],
+        F.count("order_id").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_if("is_first").alias("first_orders"),
+        F.count_if("is_returned").alias("returned_orders"),
     )
-    # Two single rows side by side: each column comes from one of them.
-    both = lines.unionByName(keys, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return counted.withColumnRenamed("net_margin_pct", "net_margin_sum")
 
 
 def add_up() -> list[Column]:
