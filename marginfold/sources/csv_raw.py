@@ -3,36 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from marginfold.params import DEFAULT_PARAMS
 from marginfold.schemas import RAW_COLUMNS, raw_schema
-from marginfold.sources.layers import path_exists, table_path
+from marginfold.sources.layers import path_exists, replace_table, table_path
+
+
+# A line whose quoted fields all end on it. Possessive, as a group repeated by backtracking would recurse.
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+_WHOLE_RECORDS = f"^{_FIELD}(?:,{_FIELD})*+$"
+
+
+def split_by_lines(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files below ``path``: those whose records all end with their lines, and those where one may not.
+
+    A quoted field with a line break leaves a line that ends inside quotes, so a file without such a line
+    can be read in splits, line by line. The text is read for this once, in splits itself.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").rlike(_WHOLE_RECORDS).alias("whole"))
+    files = lines.groupBy("file").agg(F.bool_and("whole").alias("whole")).orderBy("file").collect()
+    return [row["file"] for row in files if row["whole"]], [row["file"] for row in files if not row["whole"]]
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A source file as text columns, matched to the table by header name.
+    """A source file, or a folder of files, as text columns, matched to the table by header name.
 
     Empty fields become NULL; absent columns become NULL; a column the table lacks is an error. Quoted
-    fields may hold line breaks, so a file is read as a whole: large sources come as folders of files.
+    fields may hold line breaks: files that have any are read as a whole each, all others in splits.
     """
-    # A declared schema would match by position, so the names come from the header.
-    found = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("nullValue", "")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    unknown = sorted(set(found.columns) - set(RAW_COLUMNS[table]))
-    if unknown:
-        raise ValueError(f"{path}: columns not in raw.{table}: {', '.join(unknown)}")
-    return found.select(
-        *[F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS[table]]
-    )
+    by_line, as_whole = split_by_lines(spark, path)
+
+    def read(files: list[str] | str, multi_line: bool) -> DataFrame:
+        # A declared schema would match by position, so the names come from the header.
+        found = (
+            spark.read.option("header", True)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("nullValue", "")
+            .option("mode", "FAILFAST")
+            .csv(files)
+        )
+        unknown = sorted(set(found.columns) - set(RAW_COLUMNS[table]))
+        if unknown:
+            raise ValueError(f"{path}: columns not in raw.{table}: {', '.join(unknown)}")
+        return found.select(
+            *[F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS[table]]
+        )
+
+    frames = [read(files, multi_line) for files, multi_line in ((by_line, False), (as_whole, True)) if files]
+    return reduce(DataFrame.union, frames) if frames else read(path, True)
 
 
 def _load(spark: SparkSession, path: str, table: str, target: str) -> tuple[str, int, str | None]:
@@ -46,7 +69,7 @@ def _load(spark: SparkSession, path: str, table: str, target: str) -> tuple[str,
         return "ERROR", 0, str(exc)
     try:
         loaded = Observation()
-        frame.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+        replace_table(frame.observe(loaded, F.count(F.lit(1)).alias("rows")), target)
         return "OK", loaded.get["rows"], None
     except Exception as exc:
         return "ERROR", 0, str(exc)
@@ -70,6 +93,6 @@ def load_raw(
         path = table_path(target, "raw", table)
         status, rows, error = _load(spark, f"{folder}/{filename}", table, path)
         if status != "OK":
-            spark.createDataFrame([], raw_schema(table)).write.mode("overwrite").parquet(path)
+            replace_table(spark.createDataFrame([], raw_schema(table)), path)
         results.append((table, filename, status, rows, error))
     return spark.createDataFrame(results, "table_name string, file string, status string, row_count bigint, error string")

@@ -1,4 +1,7 @@
-"""Parquet layers: raw, staging and analytics tables under one root folder."""
+"""Parquet layers: raw, staging and analytics tables under one root folder.
+
+A table is a folder of versions and a small file that names the current one; ``read_table`` follows it.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from marginfold.operators.views import REPORT_ORDER, in_report_order
+from marginfold.sources.scratch import discard
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -20,8 +24,45 @@ def table_path(root: str, layer: str, table: str) -> str:
     return f"{root}/{layer}/{table}"
 
 
+_POINTER = "_current"
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    """The name of the folder that a table's pointer names; None for a plain folder of files."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}")
+    store = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(pointer):
+        return None
+    content = store.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")
+    finally:
+        content.close()
+
+
+def _point(spark: SparkSession, path: str, version: str) -> None:
+    """Let the table's pointer name a version; the new pointer replaces the old one by one rename."""
+    files = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    new, pointer = files.Path(f"{path}/{_POINTER}.{version}"), files.Path(f"{path}/{_POINTER}")
+    store = new.getFileSystem(conf)
+    content = store.create(new, True)
+    content.writeBytes(version)
+    content.close()
+    overwrite = spark.sparkContext._gateway.new_array(files.Options.Rename, 1)
+    overwrite[0] = files.Options.Rename.OVERWRITE
+    qualified = [p.makeQualified(store.getUri(), store.getWorkingDirectory()) for p in (new, pointer)]
+    files.FileContext.getFileContext(qualified[0].toUri(), conf).rename(*qualified, overwrite)
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where the files of a table's current version are."""
+    version = _version(spark, path)
+    return path if version is None else f"{path}/{version}"
+
+
 def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, table))
+    return spark.read.parquet(current_path(spark, table_path(root, layer, table)))
 
 
 class Layer(Mapping[str, DataFrame]):
@@ -46,16 +87,27 @@ class Layer(Mapping[str, DataFrame]):
 
 
 def replace_table(frame: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write a table beside ``path`` and put it there only when it is complete."""
+    """Write a new version of a table beside the old one; the last step switches the table's pointer to it.
+
+    Whatever fails before leaves the old version in place and nothing of the new one. The version
+    before the new one stays for those who have it open, until the next write; older ones go. A table
+    has one writer at a time.
+    """
     spark = frame.sparkSession
-    new = f"{path}.{uuid.uuid4().hex}"
+    version = f"v-{uuid.uuid4().hex}"
+    before = _version(spark, path)
     writer = frame.write if partition_by is None else frame.write.partitionBy(partition_by)
-    writer.parquet(new)
+    try:
+        writer.parquet(f"{path}/{version}")
+        _point(spark, path, version)
+    except BaseException:
+        discard(spark, f"{path}/{version}")
+        raise
     make = spark._jvm.org.apache.hadoop.fs.Path
     store = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(make(path), True)
-    if not store.rename(make(new), make(path)):
-        raise OSError(f"{new} could not be moved to {path}")
+    for entry in store.listStatus(make(path)):
+        if entry.getPath().getName() not in (version, before, _POINTER):
+            store.delete(entry.getPath(), True)
 
 
 def write_table(frame: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> DataFrame:

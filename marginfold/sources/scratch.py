@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_bases: dict[str, str] = {}
+_own_folders: dict[tuple[str, str], str] = {}
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -35,8 +36,16 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder path below the shared folder."""
-    return f"{shared_base(spark).rstrip('/')}/marginfold-{uuid.uuid4().hex}"
+    """A new folder path below the shared folder, in the application's own folder, which goes when it ends."""
+    application = (spark.sparkContext.applicationId, shared_base(spark))
+    if application not in _own_folders:
+        own = f"{application[1].rstrip('/')}/marginfold-{uuid.uuid4().hex}"
+        target = spark._jvm.org.apache.hadoop.fs.Path(own)
+        store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(target)
+        store.deleteOnExit(target)
+        _own_folders[application] = own
+    return f"{_own_folders[application]}/{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, path: str | None = None) -> DataFrame:

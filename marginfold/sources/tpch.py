@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from marginfold.functions.ranking import row_number_by
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import MONEY, RAW_COLUMNS
-from marginfold.sources.layers import table_path
+from marginfold.sources.layers import replace_table, table_path
 
 # Order priority to order channel.
 CHANNEL_OF_PRIORITY = {
@@ -219,4 +219,4 @@ class StarTables:
 def write_raw_layer(spark: SparkSession, folder: str, root: str, params: EconomicsParams = DEFAULT_PARAMS) -> None:
     """Write the canonical raw tables below ``root``, as CSV ingestion would."""
     for name, frame in StarTables(spark, folder, params).raw().items():
-        frame.write.mode("overwrite").parquet(table_path(root, "raw", name))
+        replace_table(frame, table_path(root, "raw", name))
