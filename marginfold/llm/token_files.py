@@ -15,19 +15,21 @@ So a reader finds from the end of the file which frames hold a document and deco
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as fs
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from marginfold.llm.worker import kept
@@ -39,10 +41,13 @@ LEVEL = 3
 _INDEX_MAGIC, _TABLE_MAGIC, _SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _CHECKSUMS = 1 << 7
 _CACHE_PIECES = 600_000
-_PIECE_BATCH = 4096
 # Punctuation of one class of the pre-splitter that is part of no contraction and no special token.
 MARKS = '.,!?;:()"%&$#*'
-DOCUMENTS_PER_FILE = 4000
+FILE_TOKENS = 1 << 24
+DOCUMENTS_PER_FILE = 1 << 20
+_LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+_ID = attrgetter("id")
+_END = array("I", [END_OF_DOCUMENT]).tobytes()
 MOST_READERS = 10_000
 
 
@@ -139,6 +144,17 @@ class TokenFile:
                 place += 1
 
 
+class _Known(dict):
+    """Ids of pieces, learned when first asked for."""
+
+    def __init__(self, learn) -> None:
+        self._learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self._learn(piece)
+        return ids
+
+
 class Encoder:
     """The tokenizers library on whole texts, a word at a time.
 
@@ -149,46 +165,30 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._ids)
         self._letters = byte_letters()
+        self._space = self._letters[ord(" ")]
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, with or without a space before them: one match of the pre-splitter."""
-        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self._letters))
-        return struct.pack(f"<{len(tokens)}I", *[token.id for token in tokens])
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        known, others = self.known, []
-        for piece in pieces:
-            word = piece.rstrip(MARKS)
-            if word.lstrip(" ").isalpha() and word[1:2] != " ":
-                # Marks behind a word are a match of their own.
-                marks = piece[len(word) :]
-                ids = known.get(word) or self._word(word)
-                if marks:
-                    if marks not in known:
-                        known[marks] = self._whole([marks])[0]
-                    known[word] = ids
-                    ids += known[marks]
-                known[piece] = ids
-            else:
-                others.append(piece)
-        for start in range(0, len(others), _PIECE_BATCH):
-            part = others[start : start + _PIECE_BATCH]
-            known.update(zip(part, self._whole(part)))
-
-    def _whole(self, pieces: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
+        letters = word.replace(" ", chr(self._space)) if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+        return array("I", map(_ID, self.tokenizer.model.tokenize(letters))).tobytes()
+
+    def _ids(self, piece: str) -> bytes:
+        if (piece[1:] if piece[:1] == " " else piece).isalpha():
+            return self._word(piece)
+        word = piece.rstrip(MARKS)
+        if len(word) < len(piece) and (word[1:] if word[:1] == " " else word).isalpha():
+            # Marks behind a word are a match of their own.
+            return self.known[word] + self.known[piece[len(word) :]]
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text with the end-of-document id behind them."""
         if len(self.known) > _CACHE_PIECES:
             self.known.clear()
-        cut = [pieces_of(text) for text in texts]
-        self._learn(set(chain.from_iterable(cut)).difference(self.known))
-        end = struct.pack("<I", END_OF_DOCUMENT)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)) + end, "<u4") for pieces in cut]
+        ids = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(ids, pieces_of(text))) + _END, np.uint32) for text in texts]
 
 
 def byte_letters() -> dict[int, int]:
@@ -202,13 +202,7 @@ def _cut_at_spaces(text: str) -> list[str]:
     words = text.split(" ")
     if all(words) and list(map(str.strip, words)) == words:
         return [words[0], *map(" ".__add__, words[1:])]
-    pieces = [words[0]]
-    for before, word in zip(words, words[1:]):
-        if before and word and not before[-1].isspace() and not word[0].isspace():
-            pieces.append(" " + word)
-        else:
-            pieces[-1] += " " + word
-    return pieces
+    return _LONE_SPACE.split(text)
 
 
 def pieces_of(text: str) -> list[str]:
@@ -235,59 +229,97 @@ def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
-def _writer(tokenizer_path: str, folder: str):
-    """Encodes and writes the documents of one partition, which come in order; yields one manifest row."""
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its store: one without is in Spark's default store, not on each executor's disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
 
-    def documents(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, np.ndarray]]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                yield from zip(part.column("doc_id").to_pylist(), encoder.encode(texts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = next((batch for batch in batches if batch.num_rows), None)
-        if first is None:
-            return
-        bucket = first.column("bucket")[0].as_py()
-        store, base = _filesystem(folder)
-        # A task that runs twice writes two files; only the manifest row of the one that counts is kept.
-        name = f"tokens-{bucket:06d}-{uuid.uuid4().hex}.zst"
-        store.create_dir(base, recursive=True)
+def _rolled(documents: Iterator[tuple], most_documents: int, most_tokens: int) -> Iterator[Iterator[tuple]]:
+    """The documents in runs, one for each file; a run ends with the document that reaches a limit."""
+    ahead = next(documents, None)
+
+    def run() -> Iterator[tuple]:
+        nonlocal ahead
+        n_documents = n_tokens = 0
+        while ahead is not None and n_documents < most_documents and n_tokens < most_tokens:
+            n_documents += 1
+            n_tokens += len(ahead[1])
+            yield ahead
+            ahead = next(documents, None)
+
+    while ahead is not None:
+        yield run()
 
-        def rest() -> Iterator[pa.RecordBatch]:
-            yield first
-            yield from batches
 
+def _writer(tokenizer_path: str, folder: str, most_documents: int, most_tokens: int):
+    """Encodes and writes the documents of one partition, which come in order; yields a manifest row for each file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _filesystem(folder)
         encoder = kept(f"encoder of {tokenizer_path}", lambda: Encoder(tokenizer_path))
-        with store.open_output_stream(f"{base}/{name}", compression=None) as sink:
-            n_docs, n_tokens = write_file(sink, documents(rest(), encoder))
-        columns = [pa.array([bucket], pa.int32()), pa.array([name]), pa.array([n_docs]), pa.array([n_tokens])]
-        yield pa.record_batch(columns, names=["bucket", "file", "n_docs", "n_tokens"])
+        bucket = None
+
+        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+            nonlocal bucket
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    bucket = part.column("bucket")[0].as_py()
+                    texts = [text or "" for text in part.column("text").to_pylist()]
+                    yield from zip(part.column("doc_id").to_pylist(), encoder.encode(texts))
+
+        for number, contents in enumerate(_rolled(documents(), most_documents, most_tokens)):
+            # A task that runs twice writes its files twice; only manifest rows of the one that counts are kept.
+            name = f"tokens-{bucket:06d}-{number:06d}-{uuid.uuid4().hex}.zst"
+            store.create_dir(base, recursive=True)
+            ids: list[int] = []
+
+            def noted() -> Iterator[tuple]:
+                for doc_id, tokens in contents:
+                    if doc_id is not None and len(ids) < 2:
+                        ids.append(doc_id)
+                    elif doc_id is not None:
+                        ids[1] = doc_id
+                    yield doc_id, tokens
+
+            with store.open_output_stream(f"{base}/{name}", compression=None) as sink:
+                n_docs, n_tokens = write_file(sink, noted())
+            row = {"bucket": bucket, "number": number, "file": name, "n_docs": n_docs, "n_tokens": n_tokens}
+            yield pa.RecordBatch.from_pylist([row | {"first_id": min(ids, default=None), "last_id": max(ids, default=None)}], _MANIFEST_FIELDS)
 
     return run
 
 
-_MANIFEST = "bucket int, file string, n_docs bigint, n_tokens bigint"
+_MANIFEST = "bucket int, number int, file string, n_docs bigint, n_tokens bigint, first_id bigint, last_id bigint"
+_MANIFEST_FIELDS = pa.schema(
+    [("bucket", pa.int32()), ("number", pa.int32()), ("file", pa.string()), *((name, pa.int64()) for name in ("n_docs", "n_tokens", "first_id", "last_id"))]
+)
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, documents_per_file: int = DOCUMENTS_PER_FILE) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, tokenizer_path: str, folder: str, documents_per_file: int = DOCUMENTS_PER_FILE, file_tokens: int = FILE_TOKENS
+) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write files in ascending doc_id order; returns their manifest.
 
-    Manifest rows (bucket, file, n_docs, n_tokens), a table written to the folder, name the files in
-    order. Documents are range-partitioned by doc_id, nulls first, about ``documents_per_file`` to a
-    file; rows that repeat an id are ordered by a hash of their text. A null text is empty, and a table
-    without rows makes no file. ``folder`` must be one that all executors share.
+    Manifest rows (bucket, number, file, n_docs, n_tokens, first_id, last_id), a table written to the folder,
+    name the files; bucket and number give their order. Documents are range-partitioned by doc_id, nulls
+    first, into the session's number of shuffle partitions; each writes as many files as its documents
+    fill. Rows that repeat an id are ordered by a hash of their text, and equal rows may be split. A null
+    text is empty, and a table without rows makes no file. ``folder`` must be one that all executors share.
     """
-    n_files = max(1, -(-docs.count() // documents_per_file))
-    order = ["doc_id", "mix"]
+    order = ["doc_id", "mix", "any"]
     dealt = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mix"))
-        .repartitionByRange(n_files, *order)
+        docs.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mix"), F.monotonically_increasing_id().alias("any")
+        )
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text", F.spark_partition_id().alias("bucket"))
     )
-    return written(dealt.mapInArrow(_writer(tokenizer_path, folder), _MANIFEST), f"{folder}/manifest")
+    writer = _writer(tokenizer_path, _qualified(docs.sparkSession, folder), documents_per_file, file_tokens)
+    return written(dealt.mapInArrow(writer, _MANIFEST), f"{folder}/manifest")
 
 
 def _reader(folder: str):
@@ -314,20 +346,39 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
 
     ``start`` counts the ids of all documents before, over all files.
     """
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("bucket", "number").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint"))
     n_files = max(1, manifest.count())
     return (
         placed.select("file", "start")
         .repartition(min(n_files, MOST_READERS))
-        .mapInArrow(_reader(folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+        .mapInArrow(_reader(_qualified(manifest.sparkSession, folder)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
     )
 
 
-def read_documents(folder: str, file: str, doc_ids: Iterable[int]) -> dict[int, np.ndarray]:
-    """Ids of some documents of one file; only the frames that hold them are decompressed."""
-    store, base = _filesystem(folder)
-    with store.open_input_file(f"{base}/{file}") as source:
-        tokens = TokenFile(source)
-        wanted = set(doc_ids)
-        return {doc_id: tokens.document(place) for place, doc_id in enumerate(tokens.doc_ids) if doc_id in wanted}
+def _chosen(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _filesystem(folder)
+        for batch in batches:
+            for name, doc_ids in zip(batch.column("file").to_pylist(), batch.column("wanted").to_pylist()):
+                with store.open_input_file(f"{base}/{name}") as source:
+                    tokens, wanted = TokenFile(source), set(doc_ids)
+                    rows = [
+                        {"doc_id": doc_id, "ids": tokens.document(place).tolist()}
+                        for place, doc_id in enumerate(tokens.doc_ids)
+                        if doc_id in wanted
+                    ]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))]))
+
+    return run
+
+
+def read_documents(manifest: DataFrame, folder: str, doc_ids: Iterable[int]) -> DataFrame:
+    """(doc_id, ids) of every document with one of some ids; one row for each row that was written.
+
+    The manifest tells which files can hold them, and of these only the frames that do are decompressed.
+    """
+    given = F.array(*[F.lit(int(doc_id)).cast("bigint") for doc_id in doc_ids]).cast("array<bigint>")
+    wanted = F.filter(given, lambda doc_id: doc_id.between(F.col("first_id"), F.col("last_id")))
+    files = manifest.select("file", wanted.alias("wanted")).where("size(wanted) > 0")
+    return files.mapInArrow(_chosen(_qualified(manifest.sparkSession, folder)), "doc_id bigint, ids array<bigint>")

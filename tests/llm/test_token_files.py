@@ -1,5 +1,6 @@
 import random
 import struct
+import time
 import zlib
 from io import BytesIO
 
@@ -88,7 +89,28 @@ def test_documents_read_back(spark):
         start += len(ids)
     got = [tuple(r) for r in read_tokens(manifest, folder).collect()]
     assert sorted(got, key=lambda r: r[1]) == expected
-    name = manifest.orderBy("bucket").collect()[-1]["file"]
-    assert read_documents(folder, name, [9])[9].tolist() == [0]
+    assert [row["ids"] for row in read_documents(manifest, folder, [9]).collect()] == [[0]]
+    some = read_documents(manifest, folder, [3, 5, 8]).collect()
+    by_id = [(doc_id, [*LIBRARY.encode(texts[doc_id], add_special_tokens=False).ids, 0]) for doc_id in (3, 3, 5)]
+    assert sorted((row["doc_id"], row["ids"]) for row in some) == by_id
+    assert read_documents(manifest, folder, []).count() == 0
     empty = write_tokens(docs.limit(0), PATH, scratch_folder(spark))
     assert read_tokens(empty, folder).count() == 0
+
+
+def test_files_roll_over_and_equal_rows_split(spark):
+    docs = spark.createDataFrame([(1, "same text")] * 300 + [(i, "word " * i) for i in range(2, 40)], "doc_id long, text string")
+    folder = scratch_folder(spark)
+    manifest = write_tokens(docs.repartition(3), PATH, folder, file_tokens=100)
+    assert manifest.groupBy("bucket").count().where("count > 2").count() > 0
+    found = read_tokens(manifest, folder).orderBy("start").collect()
+    assert [row["doc_id"] for row in found] == [1] * 300 + list(range(2, 40))
+    assert [row["start"] for row in found] == np.cumsum([0, *[row["n_tokens"] for row in found[:-1]]]).tolist()
+    assert read_documents(manifest, folder, [1]).count() == 300
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "x" + "\n" * 1_000_000 + "y", "x " + " \t" * 700_000 + "y z", "a" * 2_000_000, "\u3000" * 500_000 + "b"])
+def test_very_long_texts(text):
+    started = time.process_time()
+    assert ENCODER.encode([text])[0].tolist() == [*LIBRARY.encode(text, add_special_tokens=False).ids, 0]
+    assert time.process_time() - started < 60
