@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from marginfold.llm.components import connected_components
-from marginfold.sources.scratch import written
+from marginfold.sources.scratch import discard, scratch_folder, written
 
 _BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -492,9 +492,12 @@ def _deletions(parsed: DataFrame, pages_per_part: int) -> DataFrame:
     These are the lines that a page shares with its mate; in an article those at its edges that other pages
     of the host have there too, and pages of no other host.
     """
-    contents = written(_contents(parsed))
+    spark = parsed.sparkSession
+    path = scratch_folder(spark)
+    contents = written(_contents(parsed), path)
     n_parts = max(1, -(-contents.count() // pages_per_part))
     placed = written(_placed(contents, n_parts).join(contents.drop("path"), ["host", "content"]))
+    discard(spark, path)
     compared = _compared(_mates(placed), placed).where("shared IS NOT NULL")
     best = compared.groupBy("place").agg(F.max_by("shared", "rank").alias("shared")).where("size(shared) > 0")
     found = placed.select("place", "host", "content", "hashes", F.exists("is_main", lambda main: main).alias("has_article")).join(best, "place")
