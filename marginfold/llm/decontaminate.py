@@ -4,6 +4,11 @@ The index holds a posting (term, document, position) for every occurrence of the
 benchmark, counted over all documents. Lists of a passage's two rarest terms, each shifted by the
 term's offset in the passage, are intersected; a posting of a rarest term also has the words around
 it, from which phrases are verified exactly, so that texts are never shuffled.
+
+Words meet the benchmark's terms in a filter of fixed size (1 MB) before they are joined with them.
+Without it, each word of the corpus would enter a shuffle as soon as the terms are too many to
+broadcast; with it, only words that occur in the benchmark do, and about one in
+``_FILTER_BITS / terms`` of the others. The join decides, so results don't depend on the filter.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from marginfold.sources.scratch import written
 
 WINDOW = 10
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FILTER_BITS = 1 << 23
+_FILTER_PAGE = 512
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,11 +45,57 @@ def _items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def term_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(term, count) over all documents, for the terms of the items."""
+def _filter_of(terms: DataFrame) -> Column:
+    """The fixed-size filter of a table's ``term`` column: an array of bit words, as a scalar subquery."""
+    pages = _FILTER_BITS // 64 // _FILTER_PAGE
+    bits = (
+        terms.select(_filter_bit(F.col("term")).alias("bit"))
+        .groupBy((F.col("bit") / F.lit(64)).cast("int").alias("slot"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    )
+    entry = F.struct((F.col("slot") % _FILTER_PAGE).alias("key"), F.col("bits").alias("value"))
+    paged = bits.groupBy((F.col("slot") / F.lit(_FILTER_PAGE)).cast("int").alias("page")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("slots")
+    )
+    dense = F.transform(
+        F.sequence(F.lit(0), F.lit(_FILTER_PAGE - 1)),
+        lambda i: F.coalesce(F.try_element_at("slots", i), F.lit(0).cast("bigint")),
+    )
+    whole = paged.select("page", dense.alias("dense")).agg(
+        F.map_from_entries(F.collect_list(F.struct("page", "dense"))).alias("pages")
+    )
+    blank = F.array_repeat(F.lit(0).cast("bigint"), _FILTER_PAGE)
+    return whole.select(
+        F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(pages - 1)), lambda i: F.coalesce(F.try_element_at("pages", i), blank)
+            )
+        )
+    ).scalar()
+
+
+def _filter_bit(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(_FILTER_BITS))
+
+
+def _passes(word: Column, term_filter: Column) -> Column:
+    """False only if the word is none of the filter's terms."""
+    bit = _filter_bit(word)
+    bits = F.get(term_filter, F.shiftright(bit, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", bits, (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def split_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc, words, n_words) of every document, written to the shared folder; ``doc`` is a hash of id and text."""
+    worded = docs.select("doc_id", _key("doc_id", "text").alias("doc"), _words(F.col("text")).alias("words"))
+    return written(worded.withColumn("n_words", F.size("words").cast("bigint")))
+
+
+def term_counts(worded: DataFrame, items: DataFrame) -> DataFrame:
+    """(term, count) over all documents, for the terms of the items; words are counted before they shuffle."""
     terms = written(items.select(F.explode("words").alias("term")).distinct())
-    occurring = docs.select(F.explode(_words(F.col("text"))).alias("term"))
-    return occurring.join(terms, "term").groupBy("term").count()
+    occurring = worded.select(F.explode("words").alias("term")).where(_passes(F.col("term"), _filter_of(terms)))
+    return occurring.groupBy("term").count().join(terms, "term")
 
 
 def _rarest(items: DataFrame, counts: DataFrame) -> DataFrame:
@@ -77,22 +130,21 @@ def _rarest(items: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """One row per document and one per posting of ``terms`` (term, is_first), written to the shared folder.
+def build_index(worded: DataFrame, terms: DataFrame) -> DataFrame:
+    """One row per posting of ``terms`` (term, is_first) in split documents, written to the shared folder.
 
-    Columns: doc_id, doc (a hash of id and text), n_words, position, term, and around: the words up to
-    nine before and after, for terms that are the rarest of a window. A document's row is the one of
-    position 0, with a term only if there is a posting.
+    Columns: doc_id, doc, position, term, and around: the words up to nine before and after, for terms
+    that are the rarest of a window.
     """
-    worded = docs.select("doc_id", _key("doc_id", "text").alias("doc"), _words(F.col("text")).alias("words"))
-    placed = worded.select("doc_id", "doc", "words", F.posexplode_outer("words").alias("position", "word"))
-    found = placed.join(terms, F.col("word") == F.col("term"), "left")
+    placed = worded.select("doc_id", "doc", "words", F.posexplode("words").alias("position", "term"))
     start = F.greatest(F.col("position") - (WINDOW - 1), F.lit(0))
-    around = F.when(F.col("is_first"), F.slice("words", start + 1, F.col("position") - start + WINDOW))
-    rows = found.where("term IS NOT NULL OR coalesce(position, 0) = 0").select(
-        "doc_id", "doc", F.size("words").alias("n_words"), F.coalesce("position", F.lit(0)).alias("position"), "term", around.alias("around")
+    around = F.slice("words", start + 1, F.col("position") - start + WINDOW)
+    firsts = _filter_of(terms.where("is_first"))
+    met = placed.where(_passes(F.col("term"), _filter_of(terms))).select(
+        "doc_id", "doc", "position", "term", F.when(_passes(F.col("term"), firsts), around).alias("around")
     )
-    return written(rows)
+    found = met.join(terms, "term")
+    return written(found.withColumn("around", F.when(F.col("is_first"), F.col("around"))).drop("is_first"))
 
 
 def _candidates(index: DataFrame, rarest: DataFrame, items: DataFrame) -> DataFrame:
@@ -106,7 +158,7 @@ def _candidates(index: DataFrame, rarest: DataFrame, items: DataFrame) -> DataFr
     first_lists = index.where("around IS NOT NULL").join(firsts, "term").select(
         "doc_id", "doc", "item", "position", "around", "first_at", (F.col("position") - F.col("first_at")).alias("start")
     )
-    second_lists = index.where("term IS NOT NULL").join(seconds, "term").select(
+    second_lists = index.join(seconds, "term").select(
         F.col("doc").alias("doc2"), F.col("item").alias("item2"), (F.col("position") - F.col("second_at")).alias("start2")
     )
     met = first_lists.join(
@@ -129,16 +181,16 @@ def _run(step: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(WINDOW - 1)), F.lit(0), grow)
 
 
-def _indexed(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _indexed(worded: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     items = written(_items(benchmark))
-    rarest = written(_rarest(items, written(term_counts(docs, items))))
+    rarest = written(_rarest(items, written(term_counts(worded, items))))
     terms = (
         rarest.select(F.col("first").alias("term"), F.lit(True).alias("is_first"))
         .union(rarest.select("second", F.lit(False)))
         .groupBy("term")
         .agg(F.max("is_first").alias("is_first"))
     )
-    return items, rarest, build_index(docs, written(terms))
+    return items, rarest, build_index(worded, written(terms))
 
 
 def _exact(items: DataFrame, rarest: DataFrame, index: DataFrame) -> DataFrame:
@@ -157,7 +209,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Matches of one item may overlap; positions count words from 0.
     """
-    return _exact(*_indexed(docs, benchmark)).drop("doc").distinct()
+    return _exact(*_indexed(split_words(docs), benchmark)).drop("doc").distinct()
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, least_terms: int = 8) -> DataFrame:
@@ -166,7 +218,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, least_terms: int =
     ``position`` is that of the window's rarest term; at least ``least_terms`` of the window's different
     terms (all of a shorter window) are among the words up to nine before and after it, in any order.
     """
-    items, rarest, index = _indexed(docs, benchmark)
+    items, rarest, index = _indexed(split_words(docs), benchmark)
     windows = rarest.join(items.select("item", "item_id", "words", "length"), "item").select(
         "item_id",
         F.col("first").alias("term"),
@@ -191,7 +243,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     empty texts have no words; items without words match nothing; an item with a null id marks words
     but is not counted. Rows that repeat id and text get equal results; other columns are ignored.
     """
-    items, rarest, index = _indexed(docs, benchmark)
+    worded = split_words(docs)
+    items, rarest, index = _indexed(worded, benchmark)
     hits = (
         _exact(items, rarest, index)
         .groupBy(F.col("doc").alias("hit_doc"), F.coalesce("doc_id", F.lit(-1)).alias("hit_id"))
@@ -205,8 +258,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.array_sort(F.transform("ids", lambda i: i.cast("string"))).alias("ids"),
         )
     )
-    rows = index.where("position = 0").select("doc_id", "doc", "n_words")
-    joined = rows.join(
+    joined = worded.select("doc_id", "doc", "n_words").join(
         hits, (F.col("doc") == F.col("hit_doc")) & (F.coalesce("doc_id", F.lit(-1)) == F.col("hit_id")), "left"
     )
     ids = F.coalesce("ids", F.array().cast("array<string>"))
@@ -214,7 +266,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return joined.select(
         "doc_id",
         "doc",
-        F.col("n_words").cast("bigint").alias("n_words"),
+        "n_words",
         n_hit.alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),

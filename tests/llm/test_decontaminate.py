@@ -3,8 +3,18 @@ import random
 import re
 
 import pytest
-
-from marginfold.llm.decontaminate import clean_documents, contamination, phrase_matches, proximity_matches
+from pyspark.sql import functions as F
+
+from marginfold.llm.decontaminate import (
+    _filter_of,
+    _passes,
+    build_index,
+    clean_documents,
+    contamination,
+    phrase_matches,
+    proximity_matches,
+    split_words,
+)
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -73,6 +83,38 @@ def test_edge_cases(spark):
     assert contamination(*frames(spark, [], items)).count() == 0
 
 
+def test_more_terms_than_a_broadcast_holds(spark):
+    docs, items = _cases()
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        frame, benchmark = frames(spark, docs, items)
+        assert rows(contamination(frame, benchmark)) == brute(docs, items)
+        # What goes into the join with the terms: postings, and no word that is not a term.
+        worded = split_words(frame)
+        terms = spark.createDataFrame([("w0", True), ("w1", False), ("nowhere", True)], "term string, is_first boolean")
+        index = build_index(worded, terms)
+        want = sorted((d, p, w) for d, t in docs for p, w in enumerate(words(t)) if w in ("w0", "w1"))
+        got = index.collect()
+        assert sorted((r["doc_id"], r["position"], r["term"]) for r in got) == want
+        texts = {d: words(t) for d, t in docs}
+        for r in got:
+            at = r["position"]
+            assert r["around"] == (texts[r["doc_id"]][max(0, at - 9) : at + 10] if r["term"] == "w0" else None)
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_filter_passes_every_term_and_few_others(spark, n):
+    terms = spark.range(n).select(F.concat(F.lit("t"), "id").alias("term"))
+    tried = spark.range(20_000).select("id", F.concat(F.lit("t"), "id").alias("word"))
+    passing = {r["id"] for r in tried.where(_passes(F.col("word"), _filter_of(terms))).collect()}
+    assert passing >= set(range(n)) and len(passing) <= n + 50
+
+
 def test_clean_documents_stay(spark):
     docs, items = _cases()
     frame, benchmark = frames(spark, docs + [(None, None)], items)
