@@ -10,10 +10,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marginfold.functions.counts import Known, TableCounts, null_counts, row_count
 from marginfold.functions.money import cents, money, percent, total_cents
 from marginfold.functions.rules import pass_fail, rule_rows, stack_rows, with_status
 from marginfold.operators.rollup import LEAKED, headline, mean_net_margin
 from marginfold.operators.staging import completed_orders
+from marginfold.operators.views import table_counts
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import MONEY, TOTAL
 
@@ -218,12 +220,7 @@ def business_sanity(fact: DataFrame) -> DataFrame:
     )
 
 
-def _count_rows(tables: Mapping[str, DataFrame], name: str, count: str) -> DataFrame:
-    counts = [t.agg(F.count(F.lit(1)).alias(count)).select(F.lit(label).alias(name), count) for label, t in tables.items()]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def report_completeness(reports: Mapping[str, DataFrame]) -> DataFrame:
+def report_completeness(reports: Mapping[str, DataFrame], known: Known | None = None) -> DataFrame:
     """Row count per report; the loss report may be empty, the waterfall has exactly one row."""
     rows = F.col("row_count")
     report = F.col("report_table")
@@ -232,15 +229,18 @@ def report_completeness(reports: Mapping[str, DataFrame]) -> DataFrame:
         .when(report == "rpt_profit_waterfall", pass_fail(rows == 1, "FAIL — Expected 1 row"))
         .otherwise(pass_fail(rows >= 1, "FAIL — Empty Report"))
     )
-    return _count_rows(reports, "report_table", "row_count").withColumn("status", status)
+    return table_counts(reports, known, "report_table").withColumn("status", status)
 
 
-def check_min_rows(tables: Mapping[str, DataFrame], floors: Mapping[str, int] = DEFAULT_PARAMS.row_floors) -> DataFrame:
-    """Row counts of raw tables against their floors."""
+def check_min_rows(
+    tables: Mapping[str, DataFrame],
+    floors: Mapping[str, int] = DEFAULT_PARAMS.row_floors,
+    known: Known | None = None,
+) -> DataFrame:
+    """Row counts of raw tables against their floors; tables whose counts are known are not read."""
+    known = known or {}
     checks = [
-        tables[name]
-        .agg(F.count(F.lit(1)).alias("actual_rows"))
-        .select(
+        row_count(tables[name], known.get(name), "actual_rows").select(
             F.lit(f"raw.{name}").alias("table_name"),
             "actual_rows",
             F.lit(floor).cast("bigint").alias("expected_min"),
@@ -260,9 +260,11 @@ REQUIRED_COLUMNS = {
 }
 
 
-def check_not_null(name: str, table: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """NULL count of each column, in one pass."""
-    counted = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+def check_not_null(
+    name: str, table: DataFrame, columns: Sequence[str], known: TableCounts | None = None
+) -> DataFrame:
+    """NULL count of each column, in one pass, or in none where the counts are known."""
+    counted = null_counts(table, known, columns)
     stacked = stack_rows(
         counted, [{"column_check": F.lit(f"{name}.{c}"), "null_count": F.col(c)} for c in columns]
     )
@@ -270,11 +272,14 @@ def check_not_null(name: str, table: DataFrame, columns: Sequence[str]) -> DataF
 
 
 def check_required_columns(
-    raw: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS
+    raw: Mapping[str, DataFrame],
+    required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
+    known: Known | None = None,
 ) -> DataFrame:
+    known = known or {}
     return reduce(
         DataFrame.unionByName,
-        [check_not_null(f"raw.{name}", raw[name], columns) for name, columns in required.items()],
+        [check_not_null(f"raw.{name}", raw[name], columns, known.get(name)) for name, columns in required.items()],
     )
 
 
@@ -397,6 +402,7 @@ def reconciliation_summary(
     fact: DataFrame,
     reports: Mapping[str, DataFrame],
     params: EconomicsParams = DEFAULT_PARAMS,
+    known: Known | None = None,
 ) -> DataFrame:
     """Six headline checks and the overall verdict.
 
@@ -432,7 +438,7 @@ def reconciliation_summary(
         ],
     )
     populated = (
-        _count_rows({name: reports[name] for name in _HEADLINE_REPORTS}, "report_table", "row_count")
+        table_counts({name: reports[name] for name in _HEADLINE_REPORTS}, known)
         .agg(F.min("row_count").alias("least"))
         .select(
             F.lit(6).alias("check_no"),

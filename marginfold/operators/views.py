@@ -7,16 +7,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marginfold.functions.counts import Known, row_count
 from marginfold.functions.rules import stack_rows
 
 
-def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count per table."""
+def table_counts(
+    tables: Mapping[str, DataFrame], known: Known | None = None, name: str = "table_name", out: str = "row_count"
+) -> DataFrame:
+    """Row count per table; tables whose counts are known are not read."""
+    known = known or {}
     return reduce(
         DataFrame.unionByName,
         [
-            t.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-            for name, t in tables.items()
+            row_count(t, known.get(label), out).select(F.lit(label).alias(name), out)
+            for label, t in tables.items()
         ],
     )
 

@@ -11,7 +11,7 @@ from marginfold.operators.rollup import order_rows
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
-from marginfold.sources.layers import read_table, write_table
+from marginfold.sources.layers import read_table, stored_counts, write_table
 from marginfold.sources.scratch import discard, scratch_folder, written
 
 
@@ -104,9 +104,11 @@ def run_all(
     built = build_analytics(stage, root, params)
     register_views(stage)
     named = {f"staging.{n}": t for n, t in stage.items()} | {f"analytics.{n}": t for n, t in built.items()}
+    known = {"staging": stored_counts(spark, root, "staging", stage), "analytics": stored_counts(spark, root, "analytics", built)}
+    labelled = {f"{layer}.{n}": counts for layer, tables in known.items() for n, counts in tables.items()}
     return BuildResult(
         ingest=ingest,
-        counts=views.table_counts(named),
+        counts=views.table_counts(named, labelled),
         channel_cac=views.channel_cac_report(stage["stg_channel_summary"]),
         waterfall=built["rpt_profit_waterfall"],
         categories=views.category_summary(built["rpt_category_profitability"]),
@@ -118,5 +120,6 @@ def run_all(
             built["fact_order_items"],
             built,
             params,
+            known["analytics"],
         ),
     )

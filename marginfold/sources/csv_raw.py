@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marginfold.params import DEFAULT_PARAMS
 from marginfold.schemas import RAW_COLUMNS, raw_schema
@@ -68,9 +68,7 @@ def _load(spark: SparkSession, path: str, table: str, target: str) -> tuple[str,
     except Exception as exc:  # one bad file must not stop the others
         return "ERROR", 0, str(exc)
     try:
-        loaded = Observation()
-        replace_table(frame.observe(loaded, F.count(F.lit(1)).alias("rows")), target)
-        return "OK", loaded.get["rows"], None
+        return "OK", replace_table(frame, target).rows, None
     except Exception as exc:
         return "ERROR", 0, str(exc)
 

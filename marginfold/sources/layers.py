@@ -1,15 +1,18 @@
 """Parquet layers: raw, staging and analytics tables under one root folder.
 
 A table is a folder of versions and a small file that names the current one; ``read_table`` follows it.
+Row and NULL counts are taken while a version is written and kept in it, so that counting reads no table.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from marginfold.functions.counts import TableCounts
 from marginfold.operators.views import REPORT_ORDER, in_report_order
 from marginfold.sources.scratch import discard
 
@@ -25,30 +28,41 @@ def table_path(root: str, layer: str, table: str) -> str:
 
 
 _POINTER = "_current"
+_COUNTS = "_counts.json"
 
 
-def _version(spark: SparkSession, path: str) -> str | None:
-    """The name of the folder that a table's pointer names; None for a plain folder of files."""
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}")
-    store = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(pointer):
+def _text_of(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
         return None
-    content = store.open(pointer)
+    content = store.open(target)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")
     finally:
         content.close()
 
 
+def _put_text(spark: SparkSession, path: str, text: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    content = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    content.write(bytearray(text.encode()))
+    content.close()
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    """The name of the folder that a table's pointer names; None for a plain folder of files."""
+    return _text_of(spark, f"{path}/{_POINTER}")
+
+
 def _point(spark: SparkSession, path: str, version: str) -> None:
     """Let the table's pointer name a version; the new pointer replaces the old one by one rename."""
     files = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
     new, pointer = files.Path(f"{path}/{_POINTER}.{version}"), files.Path(f"{path}/{_POINTER}")
     store = new.getFileSystem(conf)
-    content = store.create(new, True)
-    content.writeBytes(version)
-    content.close()
+    _put_text(spark, f"{path}/{_POINTER}.{version}", version)
     overwrite = spark.sparkContext._gateway.new_array(files.Options.Rename, 1)
     overwrite[0] = files.Options.Rename.OVERWRITE
     qualified = [p.makeQualified(store.getUri(), store.getWorkingDirectory()) for p in (new, pointer)]
@@ -65,6 +79,18 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(current_path(spark, table_path(root, layer, table)))
 
 
+def table_counts_at(spark: SparkSession, path: str) -> TableCounts | None:
+    """The counts kept with a table's current version; None where none were taken."""
+    kept = _text_of(spark, f"{current_path(spark, path)}/{_COUNTS}")
+    return None if kept is None else TableCounts(**json.loads(kept))
+
+
+def stored_counts(spark: SparkSession, root: str, layer: str, names: Iterable[str]) -> dict[str, TableCounts]:
+    """The kept counts of a layer's tables, by table; a table without counts is not among them."""
+    found = {name: table_counts_at(spark, table_path(root, layer, name)) for name in names}
+    return {name: counts for name, counts in found.items() if counts is not None}
+
+
 class Layer(Mapping[str, DataFrame]):
     """The tables of a written layer, opened when they are first asked for."""
 
@@ -86,19 +112,34 @@ class Layer(Mapping[str, DataFrame]):
         return len(self._names)
 
 
-def replace_table(frame: DataFrame, path: str, partition_by: str | None = None) -> None:
+def _counting(frame: DataFrame, taken: Observation) -> DataFrame:
+    """The frame, whose rows and values are counted where an action makes them, by position of the column."""
+    values = [F.count(frame[f"`{name}`"]).alias(f"c{i}") for i, name in enumerate(frame.columns)]
+    return frame.observe(taken, F.count(F.lit(1)).alias("rows"), *values)
+
+
+def _taken(frame: DataFrame, taken: Observation) -> TableCounts:
+    found = taken.get
+    return TableCounts(found["rows"], {name: found["rows"] - found[f"c{i}"] for i, name in enumerate(frame.columns)})
+
+
+def replace_table(frame: DataFrame, path: str, partition_by: str | None = None) -> TableCounts:
     """Write a new version of a table beside the old one; the last step switches the table's pointer to it.
 
-    Whatever fails before leaves the old version in place and nothing of the new one. The version
+    Rows and NULLs are counted by the tasks that write them; the counts are kept in the version and
+    returned. Whatever fails before leaves the old version in place and nothing of the new one. The version
     before the new one stays for those who have it open, until the next write; older ones go. A table
     has one writer at a time.
     """
     spark = frame.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     before = _version(spark, path)
-    writer = frame.write if partition_by is None else frame.write.partitionBy(partition_by)
+    taken = Observation()
+    writer = _counting(frame, taken).write
     try:
-        writer.parquet(f"{path}/{version}")
+        (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(f"{path}/{version}")
+        counts = _taken(frame, taken)
+        _put_text(spark, f"{path}/{version}/{_COUNTS}", json.dumps({"rows": counts.rows, "nulls": counts.nulls}))
         _point(spark, path, version)
     except BaseException:
         discard(spark, f"{path}/{version}")
@@ -108,6 +149,7 @@ def replace_table(frame: DataFrame, path: str, partition_by: str | None = None)
     for entry in store.listStatus(make(path)):
         if entry.getPath().getName() not in (version, before, _POINTER):
             store.delete(entry.getPath(), True)
+    return counts
 
 
 def write_table(frame: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
@@ -118,7 +160,7 @@ def write_table(frame: DataFrame, root: str, layer: str, table: str, partition_b
     """
     path = table_path(root, layer, table)
     replace_table(frame if partition_by is None else frame.hint("rebalance", partition_by), path, partition_by)
-    return read_table(frame.sparkSession, root, layer, table).select(*frame.columns)
+    return read_table(frame.sparkSession, root, layer, table).select(*[f"`{name}`" for name in frame.columns])
 
 
 def ordered_report(spark: SparkSession, root: str, name: str) -> DataFrame:

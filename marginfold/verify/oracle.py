@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from marginfold.verify.queries import BUILT, LOADED
+from marginfold.verify.queries import BUILT, KEPT, LOADED
 
 
 def _div(num: str, den: str) -> str:
@@ -743,4 +743,5 @@ def _with_ctes(sql: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     same_rows = {query: _OUT[other] for query, (_, other) in {**LOADED, **BUILT}.items()}
+    same_rows |= {query: _OUT[other] for query, other in KEPT.items()}
     return {name: _with_ctes(sql) for name, sql in {**_OUT, **same_rows}.items()}

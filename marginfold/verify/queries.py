@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,7 +14,7 @@ from marginfold.plans.build import BuildResult, run_all
 from marginfold.plans.mart import Mart
 from marginfold.schemas import ORDER_MONEY, RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
-from marginfold.sources.layers import Layer, read_table
+from marginfold.sources.layers import Layer, read_table, stored_counts
 from marginfold.sources.scratch import scratch_folder, written
 from marginfold.sources.tpch import write_raw_layer
 
@@ -196,6 +196,16 @@ def _run_all(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_built(spark, folder)[0].counts)
 
 
+def _on_kept_counts(build: Callable, layer: str, names: Iterable[str]) -> Query:
+    """A check over tables that the build wrote, from the counts kept with them."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        root = _built(spark, folder)[1]
+        return comparable(build(Layer(spark, root, layer, list(names)), stored_counts(spark, root, layer, names)))
+
+    return run
+
+
 def _built_table(name: str) -> Query:
     return lambda spark, folder: comparable(read_table(spark, _built(spark, folder)[1], "analytics", name))
 
@@ -242,6 +252,17 @@ BUILT = {
 }
 
 
+# The reports whose completeness is checked.
+_REPORTS = [name for name in views.REPORT_ORDER if name.startswith("rpt_")]
+
+# Checks from kept counts, by the query that gives the same rows.
+KEPT = {
+    "b33_kept_completeness": "b33_report_completeness",
+    "b34_kept_min_rows": "b34_check_min_rows",
+    "b35_kept_not_null": "b35_check_not_null",
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "b01_stage_orders": _table("stg_orders"),
@@ -279,8 +300,17 @@ def queries() -> dict[str, Query]:
         "b31_check_cascade": _on_mart(lambda m: checks.check_cascade(m.fact_order_items)),
         "b32_sanity_summary": _on_mart(lambda m: checks.sanity_summary(m.fact_order_items)),
         "b33_report_completeness": _on_stored_mart(lambda m: checks.report_completeness(m.reports)),
+        "b33_kept_completeness": _on_kept_counts(
+            lambda tables, known: checks.report_completeness(tables, known), "analytics", _REPORTS
+        ),
         "b34_check_min_rows": _on_mart(lambda m: checks.check_min_rows(m.raw)),
+        "b34_kept_min_rows": _on_kept_counts(
+            lambda tables, known: checks.check_min_rows(tables, known=known), "raw", RAW_COLUMNS
+        ),
         "b35_check_not_null": _on_mart(lambda m: checks.check_required_columns(m.raw)),
+        "b35_kept_not_null": _on_kept_counts(
+            lambda tables, known: checks.check_required_columns(tables, known=known), "raw", RAW_COLUMNS
+        ),
         "b36_check_staging_filter": _on_mart(lambda m: checks.check_staging_filter(m.stg_orders)),
         "b37_check_cogs": _on_mart(lambda m: checks.check_cogs(m.stg_order_items, m.stg_order_payments)),
         "b38_check_fact_integrity": _on_mart(lambda m: checks.check_fact_integrity(m.fact_order_items)),

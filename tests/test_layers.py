@@ -7,10 +7,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from marginfold.functions.counts import TableCounts
+from marginfold.operators import checks, views
 from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources import layers
 from marginfold.sources.csv_raw import read_csv, split_by_lines
-from marginfold.sources.layers import current_path, read_table, replace_table, table_path, write_table
+from marginfold.sources.layers import Layer, current_path, read_table, replace_table, stored_counts, table_path, write_table
 
 
 def _values(spark, root):
@@ -63,6 +65,41 @@ def test_an_open_reader_goes_on_over_one_replacement(spark, tmp_path):
     assert len(_versions(path)) == 2 and _values(spark, root) == [0]
 
 
+def test_counts_are_kept_with_the_version(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a.b"), (F.col("id") % 4).alias("month"))
+    write_table(rows, root, "x", "t", partition_by="month")
+    write_table(rows.limit(0), root, "x", "none")
+    got = stored_counts(spark, root, "x", ["t", "none", "absent"])
+    assert got == {
+        "t": TableCounts(1000, {"id": 0, "a.b": 334, "month": 0}),
+        "none": TableCounts(0, {"id": 0, "a.b": 0, "month": 0}),
+    }
+    # A later version has counts of its own; a table written by others has none.
+    write_table(rows.where("id < 10"), root, "x", "t")
+    rows.write.parquet(table_path(root, "x", "plain"))
+    assert stored_counts(spark, root, "x", ["t", "plain"]) == {"t": TableCounts(10, {"id": 0, "a.b": 4, "month": 0})}
+    assert read_table(spark, root, "x", "t").count() == 10
+
+
+def test_checks_from_kept_counts_read_no_table(spark, tmp_path):
+    root = str(tmp_path)
+    names = ["rpt_loss_making_orders", "rpt_profit_waterfall", "rpt_cac_by_channel"]
+    for n, name in enumerate(names):
+        write_table(spark.range(n).select(F.nullif("id", F.lit(0)).alias("id")), root, "x", name)
+    tables, known = Layer(spark, root, "x", names), stored_counts(spark, root, "x", names)
+    for from_kept, read in (
+        (views.table_counts(tables, known), views.table_counts(tables)),
+        (checks.report_completeness(tables, known), checks.report_completeness(tables)),
+        (checks.check_min_rows(tables, dict.fromkeys(names, 1), known), checks.check_min_rows(tables, dict.fromkeys(names, 1))),
+        (checks.check_required_columns(tables, dict.fromkeys(names, ["id"]), known), checks.check_required_columns(tables, dict.fromkeys(names, ["id"]))),
+    ):
+        assert sorted(map(tuple, from_kept.collect())) == sorted(map(tuple, read.collect()))
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (from_kept, read)]
+        assert "FileScan" not in plans[0] and "FileScan" in plans[1]
+    assert "FileScan" in checks.check_min_rows(tables, {names[0]: 1}, {})._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_plain_folder_is_read_and_replaced(spark, tmp_path):
     path = table_path(str(tmp_path), "x", "t")
     spark.range(4).write.parquet(path)
