@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marginfold.operators import checks, dims, fact, reports, staging, views
 from marginfold.operators.rollup import order_rows
 from marginfold.params import DEFAULT_PARAMS, EconomicsParams
+from marginfold.plans.together import together
 from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
 from marginfold.sources.layers import read_table, stored_counts, write_table
@@ -36,23 +38,16 @@ def build_staging(spark: SparkSession, root: str, params: EconomicsParams = DEFA
         return write_table(frame, root, "staging", name)
 
     orders = keep("stg_orders", staging.stage_orders(raw["orders"], params))
-    tables = {
-        "stg_orders": orders,
-        "stg_order_items": keep(
-            "stg_order_items", staging.stage_order_items(raw["order_items"], orders, raw["products"])
-        ),
-        "stg_order_payments": keep(
-            "stg_order_payments", staging.stage_payments(raw["order_payments"], orders, params)
-        ),
-        "stg_products": keep("stg_products", staging.stage_products(raw["products"])),
-        "stg_customers": keep("stg_customers", staging.stage_customers(raw["customers"])),
-        "stg_marketing_leads": keep(
-            "stg_marketing_leads", staging.stage_leads(raw["marketing_qualified_leads"])
-        ),
-        "stg_closed_deals": keep(
-            "stg_closed_deals", staging.stage_deals(raw["closed_deals"], raw["marketing_qualified_leads"])
-        ),
+    frames = {
+        "stg_order_items": staging.stage_order_items(raw["order_items"], orders, raw["products"]),
+        "stg_order_payments": staging.stage_payments(raw["order_payments"], orders, params),
+        "stg_products": staging.stage_products(raw["products"]),
+        "stg_customers": staging.stage_customers(raw["customers"]),
+        "stg_marketing_leads": staging.stage_leads(raw["marketing_qualified_leads"]),
+        "stg_closed_deals": staging.stage_deals(raw["closed_deals"], raw["marketing_qualified_leads"]),
     }
+    kept = together(spark, {name: partial(keep, name, frame) for name, frame in frames.items()})
+    tables = {"stg_orders": orders, **kept}
     funnel = staging.channel_funnel(
         tables["stg_marketing_leads"], tables["stg_closed_deals"], tables["stg_customers"], orders
     )
@@ -84,7 +79,7 @@ def build_analytics(
         "rpt_cac_by_channel": reports.cac_by_channel(stored, stage["stg_channel_summary"], orders),
         "rpt_profit_waterfall": reports.profit_waterfall(stored),
     }
-    built = {name: write_table(frame, root, "analytics", name) for name, frame in tables.items()}
+    built = together(spark, {name: partial(write_table, frame, root, "analytics", name) for name, frame in tables.items()})
     discard(spark, scratch)
     return {"fact_order_items": stored, **built}
 

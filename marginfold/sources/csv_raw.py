@@ -68,7 +68,7 @@ def _load(spark: SparkSession, path: str, table: str, target: str) -> tuple[str,
     except Exception as exc:  # one bad file must not stop the others
         return "ERROR", 0, str(exc)
     try:
-        return "OK", replace_table(frame, target).rows, None
+        return "OK", replace_table(frame, target, nulls_of=frame.columns).rows, None
     except Exception as exc:
         return "ERROR", 0, str(exc)
 
@@ -91,6 +91,6 @@ def load_raw(
         path = table_path(target, "raw", table)
         status, rows, error = _load(spark, f"{folder}/{filename}", table, path)
         if status != "OK":
-            replace_table(spark.createDataFrame([], raw_schema(table)), path)
+            replace_table(spark.createDataFrame([], raw_schema(table)), path, nulls_of=RAW_COLUMNS[table])
         results.append((table, filename, status, rows, error))
     return spark.createDataFrame(results, "table_name string, file string, status string, row_count bigint, error string")

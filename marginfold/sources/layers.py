@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -112,22 +112,24 @@ class Layer(Mapping[str, DataFrame]):
         return len(self._names)
 
 
-def _counting(frame: DataFrame, taken: Observation) -> DataFrame:
-    """The frame, whose rows and values are counted where an action makes them, by position of the column."""
-    values = [F.count(frame[f"`{name}`"]).alias(f"c{i}") for i, name in enumerate(frame.columns)]
+def _counting(frame: DataFrame, taken: Observation, columns: Sequence[str]) -> DataFrame:
+    """The frame, whose rows and the columns' values are counted where an action makes them."""
+    values = [F.count(frame[f"`{name}`"]).alias(f"c{i}") for i, name in enumerate(columns)]
     return frame.observe(taken, F.count(F.lit(1)).alias("rows"), *values)
 
 
-def _taken(frame: DataFrame, taken: Observation) -> TableCounts:
+def _taken(taken: Observation, columns: Sequence[str]) -> TableCounts:
     found = taken.get
-    return TableCounts(found["rows"], {name: found["rows"] - found[f"c{i}"] for i, name in enumerate(frame.columns)})
+    return TableCounts(found["rows"], {name: found["rows"] - found[f"c{i}"] for i, name in enumerate(columns)})
 
 
-def replace_table(frame: DataFrame, path: str, partition_by: str | None = None) -> TableCounts:
+def replace_table(
+    frame: DataFrame, path: str, partition_by: str | None = None, nulls_of: Sequence[str] = ()
+) -> TableCounts:
     """Write a new version of a table beside the old one; the last step switches the table's pointer to it.
 
-    Rows and NULLs are counted by the tasks that write them; the counts are kept in the version and
-    returned. Whatever fails before leaves the old version in place and nothing of the new one. The version
+    Rows, and the NULLs of the columns ``nulls_of``, are counted by the tasks that write them; the counts
+    are kept in the version and returned. Whatever fails before leaves the old version in place and nothing of the new one. The version
     before the new one stays for those who have it open, until the next write; older ones go. A table
     has one writer at a time.
     """
@@ -135,10 +137,10 @@ def replace_table(frame: DataFrame, path: str, partition_by: str | None = None)
     version = f"v-{uuid.uuid4().hex}"
     before = _version(spark, path)
     taken = Observation()
-    writer = _counting(frame, taken).write
+    writer = _counting(frame, taken, nulls_of).write
     try:
         (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(f"{path}/{version}")
-        counts = _taken(frame, taken)
+        counts = _taken(taken, nulls_of)
         _put_text(spark, f"{path}/{version}/{_COUNTS}", json.dumps({"rows": counts.rows, "nulls": counts.nulls}))
         _point(spark, path, version)
     except BaseException:

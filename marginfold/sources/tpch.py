@@ -219,4 +219,4 @@ class StarTables:
 def write_raw_layer(spark: SparkSession, folder: str, root: str, params: EconomicsParams = DEFAULT_PARAMS) -> None:
     """Write the canonical raw tables below ``root``, as CSV ingestion would."""
     for name, frame in StarTables(spark, folder, params).raw().items():
-        replace_table(frame, table_path(root, "raw", name))
+        replace_table(frame, table_path(root, "raw", name), nulls_of=frame.columns)

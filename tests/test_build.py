@@ -1,9 +1,12 @@
 """CSV ingestion and the whole build, over small files written here."""
 
+import threading
+
 import pytest
 
 from marginfold.params import EconomicsParams
 from marginfold.plans.build import run_all
+from marginfold.plans.together import together
 from marginfold.sources.csv_raw import load_raw, read_csv
 from marginfold.sources.layers import Layer, ordered_report, read_table
 
@@ -108,6 +111,25 @@ def test_bad_value_stops_the_build(spark, folder, tmp_path):
         run_all(spark, str(other), str(tmp_path / "out"))
 
 
+def test_independent_steps_run_at_once_and_a_failure_is_raised(spark):
+    met = threading.Barrier(2, timeout=60)
+
+    def step(n):
+        met.wait()
+        return spark.range(n).count()
+
+    assert list(together(spark, {"b": lambda: step(5), "a": lambda: step(7)}).items()) == [("b", 5), ("a", 7)]
+    assert together(spark, {}) == {}
+    ran = []
+
+    def broken():
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        together(spark, {"x": broken, "y": lambda: ran.append("y")}, at_once=1)
+    assert not ran
+
+
 def test_settings(tmp_path):
     path = tmp_path / "settings.json"
     path.write_text(
