@@ -1,0 +1,80 @@
+"""Whether keys repeat, from 64-bit hashes: the keys themselves are shuffled only where a hash repeats."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Bits of the filter of repeated hashes: 8 KB, whatever the size of the table.
+_FILTER_BITS = 1 << 16
+_SLOTS = _FILTER_BITS // 64
+
+
+def _hash(columns: Sequence[Column]) -> Column:
+    return F.xxhash64(*columns)
+
+
+def _filter_of(hashes: DataFrame) -> Column:
+    """A set of ``_hash`` values by one bit each, as a scalar subquery: an array of bit words."""
+    words = (
+        hashes.select(F.pmod("_hash", F.lit(_FILTER_BITS)).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).cast("int").alias("slot"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    )
+    by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "bits")))
+    slots = F.sequence(F.lit(0), F.lit(_SLOTS - 1))
+    array = words.agg(by_slot.alias("by_slot")).select(
+        F.transform(slots, lambda slot: F.coalesce(F.try_element_at("by_slot", slot), F.lit(0).cast("bigint")))
+    )
+    return array.scalar()
+
+
+def _passes(hashed: Column, bits: Column) -> Column:
+    """False only if the hash is none of the filter's."""
+    bit = F.pmod(hashed, F.lit(_FILTER_BITS))
+    word = F.get(bits, F.shiftright(bit, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", word, (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def key_counts(table: DataFrame, keys: Sequence[str], flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row: ``rows``, ``null_keys`` (rows with a NULL in the key), ``duplicate_keys`` (keys on more
+    than one row), ``duplicate_rows`` (rows beyond the first of their key), and the rows of each flag.
+
+    Rows are counted by the hash of their key, combined before they are shuffled. Hashes that repeat go
+    into a filter of fixed size; rows that pass it are grouped by the key itself, which decides. Different
+    keys of one hash are thus told apart, and a table without repeated hashes shuffles no key. Many
+    repeated keys fill the filter, and then all keys are shuffled. The table is read twice: hand in a
+    written one.
+    """
+    flags = flags or {}
+    columns = [F.col(f"`{name}`") for name in keys]
+    whole = reduce(lambda a, b: a & b, [column.isNotNull() for column in columns])
+    hashed = F.when(whole, _hash(columns)).alias("_hash")
+    by_hash = table.groupBy(hashed).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(flag).alias(name) for name, flag in flags.items()]
+    )
+    repeated = by_hash.where(F.col("_hash").isNotNull() & (F.col("_rows") > 1)).select("_hash")
+    doubtful = table.select(hashed, *[column.alias(f"_k{i}") for i, column in enumerate(columns)]).where(
+        F.col("_hash").isNotNull() & _passes(F.col("_hash"), _filter_of(repeated))
+    )
+    by_key = doubtful.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("_n"))
+    found = by_key.where(F.col("_n") > 1).agg(
+        F.struct(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("rows"))
+    )
+    return (
+        by_hash.agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("_hash").isNull(), F.col("_rows"))), F.lit(0)).alias("null_keys"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags],
+        )
+        .withColumn("_found", found.scalar())
+        .select(
+            "rows",
+            "null_keys",
+            F.col("_found.keys").alias("duplicate_keys"),
+            F.col("_found.rows").alias("duplicate_rows"),
+            *flags,
+        )
+    )

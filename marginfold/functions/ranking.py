@@ -1,21 +1,33 @@
 """Row numbers within a key that stay distributed when one key is huge."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marginfold.sources.scratch import written
 
 
-def row_number_by(rows: DataFrame, key: Column, order_by: list[Column], out: str) -> DataFrame:
+def row_number_by(
+    rows: DataFrame, key: Column, order_by: list[Column], out: str, reads: Sequence[str] | None = None
+) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY key ORDER BY order_by)``; ``key`` must not be NULL.
 
-    A window sorts each key in one task. Here the rows are range-partitioned by key and order first,
-    which spreads every key over as many parts as its rows fill, whatever they have in common; rows are
-    numbered within key and part, and the rows of the key's earlier parts are added. Where a part
-    ends depends on a sample, so the parts are written to the shared folder and read for both.
+    A window sorts each key in one task. Here the columns that number the rows are range-partitioned by
+    key and order first, which spreads every key over as many parts as its rows fill, whatever they have
+    in common; they are numbered within key and part, and the rows of the key's earlier parts are added.
+    Where a part ends depends on a sample, so the parts are written to the shared folder and read for both.
+
+    ``reads`` names the columns that ``key`` and ``order_by`` are made of, by default all. Only these are
+    range-partitioned and written; whole rows are shuffled once, when they meet their numbers by those
+    columns' values. Rows that are equal in them are tied, and take the tie's numbers in any order.
+    ``rows`` is evaluated twice and must be the same both times.
     """
-    keyed = rows.withColumn("_key", key)
+    at = F.struct(*[F.col(f"`{name}`") for name in reads or rows.columns])
+    narrow = rows if reads is None else rows.select(*[F.col(f"`{name}`") for name in reads])
     parts = written(
-        keyed.repartitionByRange(F.asc("_key"), *order_by).withColumn("_part", F.spark_partition_id())
+        narrow.withColumns({"_key": key, "_at": at})
+        .repartitionByRange(F.asc("_key"), *order_by)
+        .withColumn("_part", F.spark_partition_id())
     )
     by_part = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
@@ -24,9 +36,16 @@ def row_number_by(rows: DataFrame, key: Column, order_by: list[Column], out: str
         .select("_key", "_part", F.coalesce(F.sum("_rows").over(by_part), F.lit(0)).alias("_before"))
     )
     within = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*order_by))
-    return (
+    numbers = (
         parts.withColumn("_within", within.cast("bigint"))
         .join(earlier, ["_key", "_part"])
-        .withColumn(out, F.col("_within") + F.col("_before"))
-        .select(*rows.columns, out)
+        .groupBy("_at")
+        .agg(F.min(F.col("_within") + F.col("_before")).alias("_first"))
+    )
+    among_tied = F.row_number().over(Window.partitionBy("_at").orderBy("_first"))
+    return (
+        rows.withColumn("_at", at)
+        .join(numbers, "_at")
+        .withColumn(out, F.col("_first") + among_tied - 1)
+        .select(*[F.col(f"`{name}`") for name in rows.columns], out)
     )

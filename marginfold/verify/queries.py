@@ -313,7 +313,7 @@ def queries() -> dict[str, Query]:
         ),
         "b36_check_staging_filter": _on_mart(lambda m: checks.check_staging_filter(m.stg_orders)),
         "b37_check_cogs": _on_mart(lambda m: checks.check_cogs(m.stg_order_items, m.stg_order_payments)),
-        "b38_check_fact_integrity": _on_mart(lambda m: checks.check_fact_integrity(m.fact_order_items)),
+        "b38_check_fact_integrity": _on_stored_mart(lambda m: checks.check_fact_integrity(m.fact_order_items)),
         "b39_business_sanity": _on_mart(lambda m: checks.business_sanity(m.fact_order_items)),
         "b40_reconciliation_summary": _on_stored_mart(_summary),
         "b40_overall_verdict": _on_stored_mart(lambda m: checks.overall_verdict(_summary(m))),

@@ -1,0 +1,57 @@
+import pytest
+from pyspark.sql import functions as F
+
+from marginfold.functions import keys
+from marginfold.functions.keys import key_counts
+
+# How many hashes there are: all different keys meet, a few meet, none meet.
+HASHES = [1, 3, None]
+
+
+@pytest.fixture(params=HASHES)
+def few_hashes(request, monkeypatch):
+    if request.param:
+        monkeypatch.setattr(keys, "_hash", lambda columns: F.pmod(F.xxhash64(*columns), F.lit(request.param)))
+
+
+def test_counts_equal_grouping_by_the_key(spark, few_hashes):
+    # One key holds a third of all rows; some rows lack a part of the key.
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 > 0, F.col("id") % 900).alias("odd"),
+        F.when(F.col("id") % 50 > 0, F.lit("x")).alias("rows"),
+        "id",
+    )
+    got = key_counts(rows, ["odd", "rows"], {"even": F.col("id") % 2 == 0}).collect()
+    by_key = {}
+    for r in rows.collect():
+        by_key.setdefault((r["odd"], r["rows"]), []).append(r["id"])
+    whole = {k: len(v) for k, v in by_key.items() if None not in k}
+    assert [r.asDict() for r in got] == [
+        {
+            "rows": 3000,
+            "null_keys": 3000 - sum(whole.values()),
+            "duplicate_keys": sum(n > 1 for n in whole.values()),
+            "duplicate_rows": sum(n - 1 for n in whole.values()),
+            "even": 1500,
+        }
+    ]
+
+
+def test_different_keys_of_one_hash_are_no_duplicates(spark, few_hashes):
+    assert tuple(key_counts(spark.range(500), ["id"]).first()) == (500, 0, 0, 0)
+
+
+def test_an_empty_table_has_a_row_of_zeros(spark):
+    assert [tuple(r) for r in key_counts(spark.range(0), ["id"], {"bad": F.col("id") < 0}).collect()] == [(0, 0, 0, 0, 0)]
+
+
+def test_keys_without_repeats_are_not_shuffled(spark):
+    rows = spark.range(0, 2000, 1, 8).select(F.concat(F.lit("a long key of a line "), "id").alias("k"))
+    frame = key_counts(rows, ["k"])
+    assert tuple(frame.first()) == (2000, 0, 0, 0)
+    doubtful = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in doubtful and doubtful.count("scalar-subquery") >= 2
+    # What is left of the keys behind the filter of repeated hashes.
+    hashed = rows.select("k", keys._hash([F.col("k")]).alias("_hash"))
+    none = hashed.groupBy("_hash").count().where("count > 1").select("_hash")
+    assert hashed.where(keys._passes(F.col("_hash"), keys._filter_of(none))).count() == 0
