@@ -18,7 +18,14 @@ def _div(num: str, den: str) -> str:
     return f"(CASE WHEN {d} = 0 THEN NULL ELSE sign({n}) * sign({d}) * ((2 * abs({n}) + abs({d})) // (2 * abs({d}))) END)"
 
 
-def _num(value: str, scale: int = 100) -> str:
+def _num(value: str, scale: int = 100, places: int | None = None) -> str:
+    """The exact decimal of a whole number of ``1 / scale``, as text with all places of its type."""
+    kept = len(str(scale)) - 1
+    unit = f"CAST('{1 / scale:.{kept}f}' AS DECIMAL({kept + 1}, {kept}))"
+    return f"CAST(CAST(CAST({value} AS DECIMAL(20, 0)) * {unit} AS DECIMAL(38, {places or kept})) AS VARCHAR)"
+
+
+def _double(value: str, scale: int = 100) -> str:
     return f"CAST({value} AS DOUBLE) / {scale}"
 
 
@@ -27,7 +34,7 @@ def _day(value: str) -> str:
 
 
 def _time(value: str) -> str:
-    return f"strftime({value}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def _big(value: str) -> str:
@@ -284,14 +291,14 @@ _OUT["b01_stage_orders"] = f"""
 SELECT CAST(ok AS VARCHAR) AS order_id, CAST(ck AS VARCHAR) AS customer_id, status AS order_status,
   {_time("bought")} AS order_purchase_at, {_time("approved")} AS order_approved_at, {_time("shipped")} AS shipped_at,
   {_time("delivered")} AS delivered_at, {_time("estimated")} AS estimated_delivery_at, {_day("day")} AS order_date,
-  {_day("month")} AS order_month, {_num("discount")} AS discount_amount, channel AS order_channel,
+  {_day("month")} AS order_month, {_num("discount", 100, 8)} AS discount_amount, channel AS order_channel,
   returned AS return_flag, delay AS delivery_delay_days, late AS is_late_delivery,
   {_num(_div("lag_us", "36000000"))} AS approval_lag_hours, {_big("seq")} AS customer_order_seq
 FROM so"""
 
 _OUT["b02_stage_order_items"] = f"""
 SELECT CAST(ok AS VARCHAR) AS order_id, {_big("line")} AS order_item_id, CAST(pk AS VARCHAR) AS product_id,
-  CAST(sk AS VARCHAR) AS seller_id, category, {_num("ratio")} AS cost_ratio, {_num("price")} AS selling_price,
+  CAST(sk AS VARCHAR) AS seller_id, category, {_num("ratio", 100, 10)} AS cost_ratio, {_num("price")} AS selling_price,
   {_num("cogs")} AS unit_cogs, {_num("freight")} AS logistics_cost, {_num("gross")} AS gross_profit,
   {_num("gross_pct")} AS gross_margin_pct
 FROM si"""
@@ -308,7 +315,7 @@ _OUT["b04_stage_products"] = f"""
 SELECT CAST(pk AS VARCHAR) AS product_id, category, {_big("size * 100")} AS weight_g, {_big("size + 10")} AS length_cm,
   {_big("size % 20 + 5")} AS height_cm, {_big("size % 15 + 8")} AS width_cm, {_big("size % 6")} AS photos_qty,
   {_big("lo")} AS list_price_min, {_big("hi")} AS list_price_max, {_num(_div("(lo + hi) * 100", "2"))} AS avg_list_price,
-  {_num("ratio")} AS cost_ratio, {_num(_div(f"{_VOLUME} * 1000", "5000"), 1000)} AS volumetric_weight_kg
+  {_num("ratio", 100, 10)} AS cost_ratio, {_num(_div(f"{_VOLUME} * 1000", "5000"), 1000)} AS volumetric_weight_kg
 FROM prod"""
 
 _OUT["b05_stage_customers"] = """
@@ -332,7 +339,7 @@ _FUNNEL = f"""channel, {_big("leads")} AS total_leads, {_big("deals")} AS total_
   {_big("customers")} AS new_customers, {_num("conversion")} AS lead_conversion_rate_pct"""
 
 _OUT["b08_channel_funnel"] = f"""
-SELECT {_FUNNEL}, CAST(NULL AS DOUBLE) AS estimated_monthly_spend, CAST(NULL AS DOUBLE) AS estimated_cac FROM funnel"""
+SELECT {_FUNNEL}, CAST(NULL AS VARCHAR) AS estimated_monthly_spend, CAST(NULL AS VARCHAR) AS estimated_cac FROM funnel"""
 
 _OUT["b09_attach_spend"] = f"""
 SELECT {_FUNNEL}, {_num("spend")} AS estimated_monthly_spend, {_num("cac")} AS estimated_cac FROM summary"""
@@ -361,7 +368,7 @@ _DIMS = f"""{_KEYS}, CAST(ck AS VARCHAR) AS customer_id, CAST(pk AS VARCHAR) AS
   {_num("log")} AS logistics_cost, {_num("ret")} AS return_cost"""
 
 _OUT["b13_fact_base"] = f"""
-SELECT {_DIMS}, {_num("order_fee")} AS order_payment_fee, {_num("order_disc")} AS order_discount,
+SELECT {_DIMS}, {_num("order_fee")} AS order_payment_fee, {_num("order_disc", 100, 8)} AS order_discount,
   {_num("total")} AS order_total_revenue, {_big("n")} AS item_count, {_num("cac")} AS channel_cac
 FROM base"""
 
@@ -386,7 +393,7 @@ SELECT CAST(ok AS VARCHAR) || '-' || CAST(line AS VARCHAR) AS order_item_key, {_
 FROM fact"""
 
 _OUT["b18_dim_products"] = f"""
-SELECT CAST(pk AS VARCHAR) AS product_id, category, {_num("ratio")} AS cost_ratio, {_big("lo")} AS list_price_min,
+SELECT CAST(pk AS VARCHAR) AS product_id, category, {_num("ratio", 100, 10)} AS cost_ratio, {_big("lo")} AS list_price_min,
   {_big("hi")} AS list_price_max, {_num(_div("(lo + hi) * 100", "2"))} AS avg_list_price,
   {_big("size * 100")} AS weight_g, {_num(_div(f"{_VOLUME} * 1000", "5000"), 1000)} AS volumetric_weight_kg
 FROM prod"""
@@ -427,7 +434,7 @@ _DISC_GAPS = (
 def _gaps(source: str, name: str, passed: str, failed: str) -> str:
     bad = "count(*) FILTER (WHERE gap > 5)"
     return f"""
-SELECT {_big("count(*)")} AS orders_checked, {_big(bad)} AS {name}, {_num("max(gap)")} AS max_rounding_error,
+SELECT {_big("count(*)")} AS orders_checked, {_big(bad)} AS {name}, {_num("max(gap)", 100, 4)} AS max_rounding_error,
   {_status(f"{bad} = 0", failed, passed)} AS status
 FROM {source}"""
 
@@ -670,8 +677,8 @@ _BUCKETS = {
     "Net Profit": "net",
 }
 _OUT["b48_leak_breakdown"] = "\nUNION ALL\n".join(
-    f"SELECT {_big(str(i))} AS position, '{label}' AS label, {_num(c)} AS value, abs({_num(c)}) AS magnitude, "
-    f"CASE WHEN rev <> 0 THEN ({_num(c)}) / ({_num('rev')}) * 100 ELSE 0.0 END AS pct_of_revenue FROM wf"
+    f"SELECT {_big(str(i))} AS position, '{label}' AS label, {_double(c)} AS value, abs({_double(c)}) AS magnitude, "
+    f"CASE WHEN rev <> 0 THEN ({_double(c)}) / ({_double('rev')}) * 100 ELSE 0.0 END AS pct_of_revenue FROM wf"
     for i, (label, c) in enumerate(_BUCKETS.items(), start=1)
 )
 
@@ -696,7 +703,7 @@ _STEPS = [
 ]
 _OUT["b50_waterfall_steps"] = "\nUNION ALL\n".join(
     f"SELECT {_big(str(i))} AS step, '{label}' AS label, '{kind}' AS measure, "
-    f"{f'{sign} ({_num(c)})' if sign else 'CAST(NULL AS DOUBLE)'} AS value, {_num(c)} AS amount FROM wf"
+    f"{f'{sign} ({_double(c)})' if sign else 'CAST(NULL AS DOUBLE)'} AS value, {_double(c)} AS amount FROM wf"
     for i, (label, c, kind, sign) in enumerate(_STEPS, start=1)
 )
 

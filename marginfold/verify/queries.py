@@ -22,18 +22,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(frame: DataFrame) -> DataFrame:
-    """Result types every engine prints alike: exact decimals end as doubles, dates as text."""
+    """Result types every engine prints alike: decimals as text with all their places, times to the microsecond."""
 
     def plain(field: T.StructField):
         column = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
+            return column.cast("string").alias(field.name)
         if isinstance(field.dataType, (T.IntegerType, T.LongType)):
             return column.cast("bigint").alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.date_format(column, "yyyy-MM-dd").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(field.name)
+            return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name)
         return column
 
     return frame.select(*[plain(f) for f in frame.schema])
