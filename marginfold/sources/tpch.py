@@ -212,11 +212,14 @@ class StarTables:
             )
         )
 
-    def raw(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name)() for name in RAW_COLUMNS}
+    def write(self, name: str, root: str) -> None:
+        """Write one raw table below ``root``, as CSV ingestion would."""
+        frame = getattr(self, name)()
+        replace_table(frame, table_path(root, "raw", name), nulls_of=frame.columns)
 
 
 def write_raw_layer(spark: SparkSession, folder: str, root: str, params: EconomicsParams = DEFAULT_PARAMS) -> None:
-    """Write the canonical raw tables below ``root``, as CSV ingestion would."""
-    for name, frame in StarTables(spark, folder, params).raw().items():
-        replace_table(frame, table_path(root, "raw", name), nulls_of=frame.columns)
+    """Write all canonical raw tables below ``root``."""
+    tables = StarTables(spark, folder, params)
+    for name in RAW_COLUMNS:
+        tables.write(name, root)

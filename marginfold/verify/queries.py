@@ -16,7 +16,7 @@ from marginfold.schemas import ORDER_MONEY, RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
 from marginfold.sources.layers import Layer, read_table, stored_counts
 from marginfold.sources.scratch import scratch_folder, written
-from marginfold.sources.tpch import write_raw_layer
+from marginfold.sources.tpch import StarTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,24 +43,43 @@ _made: dict[tuple, object] = {}
 _making = threading.RLock()
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what a folder holds: another state means other tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries))
+
+
 def _once(spark: SparkSession, folder: str, what: str, make: Callable[[], object]):
-    """What several queries over a folder share, made on first use in a Spark application."""
+    """What several queries over a folder share, made on first use in a Spark application.
+
+    It is made anew when a file of the folder was added, removed or changed.
+    """
     key = (spark.sparkContext.applicationId, folder, what)
+    state = _state(spark, folder)
     with _making:
-        if key not in _made:
-            _made[key] = make()
-        return _made[key]
+        if key not in _made or _made[key][0] != state:
+            _made[key] = (state, make())
+        return _made[key][1]
 
 
-def raw_layer(spark: SparkSession, folder: str) -> Layer:
-    """The canonical raw tables of ``folder``, written once."""
+class _RawOnDemand(Layer):
+    """The canonical raw tables of a folder, each written when it is first asked for."""
 
-    def write() -> Layer:
-        root = scratch_folder(spark)
-        write_raw_layer(spark, folder, root)
-        return Layer(spark, root, "raw", list(RAW_COLUMNS))
+    def __init__(self, spark: SparkSession, folder: str):
+        self._root = scratch_folder(spark)
+        self._tables = StarTables(spark, folder)
+        super().__init__(spark, self._root, "raw", list(RAW_COLUMNS))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        with _making:
+            if name in RAW_COLUMNS and name not in self._open:
+                self._tables.write(name, self._root)
+            return super().__getitem__(name)
 
-    return _once(spark, folder, "raw", write)
+
+def raw_layer(spark: SparkSession, folder: str) -> Layer:
+    return _once(spark, folder, "raw", lambda: _RawOnDemand(spark, folder))
 
 
 def mart(spark: SparkSession, folder: str) -> Mart:
