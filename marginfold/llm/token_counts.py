@@ -8,16 +8,19 @@ suffix that begins some token. That suffix, with the last tokens and relative co
 a state; reading a byte leads to the next state and changes the count by an amount that depends on the
 state and the byte alone. States and transitions are made when first met.
 
-A long text is cut into chunks anywhere. A chunk's state map, from the open piece that it is entered with to
-the one that it leaves and the count between, is kept as what comes before the first and after the last
-place where pieces certainly end. Maps compose associatively, so chunks are joined by a prefix scan.
+A text is cut into chunks anywhere, a short one being one chunk. A chunk's map leads from the state in which
+it is entered to the state in which it leaves and the count between. Between the first and the last
+place where pieces certainly end the count does not depend on the state; before and after, the map keeps
+the text, and for letters the state and count that the transducer reaches from its start. From another state
+the same letters are read only until both readings are in one state, mostly some bytes; what follows is
+the same. So maps compose without reading a chunk again, and chunks are joined by a prefix scan.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import regex
@@ -35,6 +38,17 @@ _MOST_PAIRS = 300_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# A state of the transducer, and the tokens counted up to it.
+Exit = tuple[dict, int]
+# Letters that are encoded at once where two readings go side by side.
+_LOCKSTEP_CHARS = 64
+
+
+def _is_letters(text: str) -> bool:
+    """Whether a text is one match of letters, with or without a space before them."""
+    return text.isalpha() or text[:1] == " " and text[1:].isalpha()
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Byte-level BPE: tokens by their bytes, and the token that each mergeable pair makes, by rank."""
@@ -130,6 +144,33 @@ class Transducer:
         self._n_transitions += 1
         return step
 
+    def read(self, entered: Exit, text: str) -> Exit:
+        """The state behind a text and the count up to there, from those before the text."""
+        state, total = entered
+        for byte in text.encode():
+            step = state.get(byte) or self._compile(state, byte)
+            state = step[0]
+            total += step[1]
+        return state, total
+
+    def follow(self, entered: Exit, text: str, own: Exit) -> Exit:
+        """As ``read``, where the text is known to lead from the start to ``own``.
+
+        Both readings go on until they are in one state. A state fixes all that follows, so the rest of
+        the text adds what it adds to the reading from the start.
+        """
+        (state, total), (alike, apart) = entered, (self.start, 0)
+        for begin in range(0, len(text), _LOCKSTEP_CHARS):
+            for byte in text[begin : begin + _LOCKSTEP_CHARS].encode():
+                step = state.get(byte) or self._compile(state, byte)
+                other = alike.get(byte) or self._compile(alike, byte)
+                state, alike = step[0], other[0]
+                total += step[1]
+                apart += other[1]
+                if state[-1] == alike[-1]:
+                    return own[0], total + own[1] - apart
+        return state, total
+
     def count(self, piece: bytes) -> int:
         """The number of tokens of a piece of the pre-splitter."""
         if self._n_transitions > _MOST_TRANSITIONS:
@@ -148,11 +189,14 @@ class ChunkMap:
 
     ``head`` goes to the open piece. With ``tail`` None the chunk has no certain end of a piece and
     leaves the piece open; else it ends there, ``inner`` tokens follow, and ``tail`` is left open.
+    Where head or tail is one match of letters, its exit is the state that it leads to from the start.
     """
 
     head: str
     inner: int = 0
     tail: str | None = None
+    head_exit: Exit | None = field(default=None, compare=False)
+    tail_exit: Exit | None = field(default=None, compare=False)
 
 
 class Counter:
@@ -166,10 +210,10 @@ class Counter:
 
     def _piece(self, piece: str) -> int:
         """The tokens of a text between certain ends of pieces."""
-        if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha():
+        if _is_letters(piece):
             return self.transducer.count(piece.encode())
         word = piece.rstrip(MARKS)
-        if word and word != piece and (word.isalpha() or word[:1] == " " and word[1:].isalpha()):
+        if word and word != piece and _is_letters(word):
             # Marks behind a word are a match of their own.
             return sum(self._pieces([part]) for part in (word, piece[len(word) :]))
         if self.special and self.special.search(piece):
@@ -186,24 +230,49 @@ class Counter:
                 known[piece] = self._piece(piece)
             return sum(map(self.known.__getitem__, pieces))
 
+    def _exit(self, text: str) -> Exit | None:
+        return self.transducer.read((self.transducer.start, 0), text) if _is_letters(text) else None
+
+    def _joined_exit(self, left: str, left_exit: Exit | None, right: str, right_exit: Exit | None) -> Exit | None:
+        """The exit of two texts in a row, where they are one match of letters."""
+        if not left or not right:
+            return right_exit if right else left_exit
+        if left_exit and right_exit and right.isalpha():
+            return self.transducer.follow(left_exit, right, right_exit)
+        # A space at a chunk's end and letters behind it.
+        return self._exit(left + right) if left == " " else None
+
+    def _open_count(self, text: str, read: Exit | None) -> int:
+        """The tokens of an open piece that ends."""
+        return read[1] if read else self._pieces(pieces_of(text))
+
+    def _seam_count(self, left: str, left_exit: Exit | None, right: str, right_exit: Exit | None) -> int:
+        """The tokens of a left open piece and the head that ends it."""
+        joined = self._joined_exit(left, left_exit, right, right_exit)
+        if joined or not left_exit or not right[:1].isalpha():
+            return self._open_count(left + right, joined)
+        # The match of letters ends at the first other character; what follows is matched afresh.
+        letters = next((at for at, char in enumerate(right) if not char.isalpha()), len(right))
+        return self.transducer.read(left_exit, right[:letters])[1] + self._pieces(pieces_of(right[letters:]))
+
     def chunk_map(self, chunk: str) -> ChunkMap:
         pieces = pieces_of(chunk)
         # Whether the chunk's own ends are ends of pieces depends on its neighbours.
         if len(pieces) < 3:
-            return ChunkMap(chunk)
-        return ChunkMap(pieces[0], self._pieces(pieces[1:-1]), pieces[-1])
+            return ChunkMap(chunk, head_exit=self._exit(chunk))
+        head, tail = pieces[0], pieces[-1]
+        return ChunkMap(head, self._pieces(pieces[1:-1]), tail, self._exit(head), self._exit(tail))
 
     def compose(self, left: ChunkMap, right: ChunkMap) -> ChunkMap:
         """The map of two chunks in a row."""
         if left.tail is None:
-            return self._joined(left.head, right)
+            head_exit = self._joined_exit(left.head, left.head_exit, right.head, right.head_exit)
+            return ChunkMap(left.head + right.head, right.inner, right.tail, head_exit, right.tail_exit)
+        seam = (left.tail, left.tail_exit, right.head, right.head_exit)
         if right.tail is None:
-            return ChunkMap(left.head, left.inner, left.tail + right.head)
-        return ChunkMap(left.head, left.inner + self._pieces(pieces_of(left.tail + right.head)) + right.inner, right.tail)
-
-    @staticmethod
-    def _joined(open_piece: str, right: ChunkMap) -> ChunkMap:
-        return ChunkMap(open_piece + right.head, right.inner, right.tail)
+            return ChunkMap(left.head, left.inner, left.tail + right.head, left.head_exit, self._joined_exit(*seam))
+        inner = left.inner + self._seam_count(*seam) + right.inner
+        return ChunkMap(left.head, inner, right.tail, left.head_exit, right.tail_exit)
 
     def scan(self, maps: list[ChunkMap]) -> ChunkMap:
         """All maps composed, neighbours first: the last element of their prefix scan."""
@@ -214,12 +283,10 @@ class Counter:
     def count(self, text: str, chunk_chars: int = CHUNK_CHARS) -> int:
         if len(self.known) > _MOST_PIECES:
             self.known.clear()
-        if len(text) <= chunk_chars:
-            return self._pieces(pieces_of(text))
         whole = self.scan([self.chunk_map(text[i : i + chunk_chars]) for i in range(0, len(text), chunk_chars)])
         if whole.tail is None:
-            return self._pieces(pieces_of(whole.head))
-        return self._pieces(pieces_of(whole.head)) + whole.inner + self._pieces(pieces_of(whole.tail))
+            return self._open_count(whole.head, whole.head_exit)
+        return self._open_count(whole.head, whole.head_exit) + whole.inner + self._open_count(whole.tail, whole.tail_exit)
 
 
 def _count_batches(path: str):

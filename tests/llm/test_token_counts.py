@@ -76,3 +76,35 @@ def test_counts_of_a_whole_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     texts = dict(docs.select("doc_id", "text").collect())
     assert {r["doc_id"]: r["n_tokens"] for r in count_tokens(docs, PATH).collect()} == {i: expected(t) for i, t in texts.items()}
+
+
+@given(st.lists(st.text(alphabet="thesionraé", min_size=1, max_size=25), min_size=1, max_size=8), st.sampled_from(["", " ", "'", "."]))
+@settings(max_examples=500, deadline=None)
+def test_state_maps_of_a_run_of_letters_compose_to_the_whole(parts, before):
+    run = "".join(parts)
+    whole = COUNTER.scan([COUNTER.chunk_map(part) for part in [before, *parts] if part])
+    if before in ("", " "):
+        # The exit is the state of the whole run, and has its count.
+        state, total = whole.head_exit
+        start = (COUNTER.transducer.start, 0)
+        assert (state[-1], total) == (COUNTER.transducer.read(start, before + run)[0][-1], expected(before + run))
+    assert COUNTER.count(before + run + ".'s x", 3) == expected(before + run + ".'s x")
+
+
+def test_a_composition_reads_letters_only_until_the_states_meet(monkeypatch):
+    rng = random.Random(3)
+    chunks = ["".join(rng.choices("thesionra", k=5000)) for _ in range(9)]
+    maps = [COUNTER.chunk_map(chunk) for chunk in chunks]
+    read = []
+    transducer = COUNTER.transducer
+    follow = transducer.follow
+    monkeypatch.setattr(transducer, "follow", lambda entered, text, own: read.append(text) or follow(entered, text[:256], own))
+    # Readings that did not meet within 256 letters would end in another state than the chunk's own.
+    whole = COUNTER.scan(maps)
+    assert read and whole.head_exit[1] == expected("".join(chunks))
+
+
+def test_a_run_over_many_chunks_equals_the_library():
+    rng = random.Random(4)
+    text = " " + "".join(rng.choices("thesionraé", k=300_000)) + "'s end"
+    assert COUNTER.count(text) == COUNTER.count(text, 1000) == expected(text)
