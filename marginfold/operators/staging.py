@@ -68,7 +68,6 @@ def stage_orders(orders: DataFrame, params: EconomicsParams = DEFAULT_PARAMS) ->
         key=F.coalesce(F.concat(F.lit("="), "customer_id"), F.lit("")),
         order_by=[F.asc_nulls_last("order_purchase_at"), F.asc("order_id")],
         out="customer_order_seq",
-        reads=["customer_id", "order_purchase_at", "order_id"],
     )
 
 

@@ -93,13 +93,13 @@ class StarTables:
     @cached_property
     def _lines(self) -> DataFrame:
         """Line items numbered within their order; ``l_linenumber`` alone repeats."""
-        ordering = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
         return row_number_by(
             self._read("lineitem"),
             key=F.col("l_orderkey"),
-            order_by=[F.asc(c) for c in ordering],
+            order_by=[
+                F.asc(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+            ],
             out="line_id",
-            reads=["l_orderkey", *ordering],
         )
 
     def orders(self) -> DataFrame:

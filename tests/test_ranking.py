@@ -40,26 +40,3 @@ def test_one_key_with_one_time_fills_several_tasks(spark, monkeypatch):
     # The window's groups are (key, part).
     sizes = [r["count"] for r in seen[0].groupBy("_key", "_part").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1000
-
-
-def test_whole_rows_are_shuffled_once_and_tied_rows_keep_all_numbers(spark):
-    rows = spark.range(600).select(
-        F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("k"),
-        F.when(F.col("id") % 7 > 0, F.col("id") % 20).alias("v"),
-        F.concat(F.lit("wide "), "id").alias("wide"),
-    )
-    key = F.coalesce(F.col("k").cast("string"), F.lit(""))
-    got = row_number_by(rows, key, [F.asc_nulls_last("v")], "n", reads=["k", "v"])
-    want = rows.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_last("v"))).cast("bigint"))
-    assert got.columns == want.columns
-    # Which of tied rows has which of their numbers is open.
-    assert got.drop("wide").exceptAll(want.drop("wide")).count() == 0
-    assert got.select("wide").distinct().count() == 600
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = row_number_by(rows, key, [F.asc("v")], "n", reads=["k", "v"])._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    wide = [line for line in plan.splitlines() if "Exchange" in line and "_at" in line and "ENSURE" in line]
-    assert "SortMergeJoin" in plan
-    assert sum("hashpartitioning(_at" in line for line in wide) == 2
