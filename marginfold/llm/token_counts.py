@@ -111,6 +111,10 @@ class Transducer:
         self._states = {start: self.start}
         self._n_transitions = 0
 
+    def _bound(self) -> None:
+        if self._n_transitions > _MOST_TRANSITIONS:
+            self._clear()
+
     def _follows(self, before: int | None, token: int) -> bool:
         """Whether the token, alone or behind the one before it, is what its bytes are encoded as."""
         pair = (-1 if before is None else before, token)
@@ -153,6 +157,12 @@ class Transducer:
             total += step[1]
         return state, total
 
+    def exit(self, text: str) -> Exit:
+        """Where a text leads from the start: a state of its own, apart from the table of transitions."""
+        self._bound()
+        state, total = self.read((self.start, 0), text)
+        return {-1: state[-1]}, total
+
     def follow(self, entered: Exit, text: str, own: Exit) -> Exit:
         """As ``read``, where the text is known to lead from the start to ``own``.
 
@@ -173,8 +183,7 @@ class Transducer:
 
     def count(self, piece: bytes) -> int:
         """The number of tokens of a piece of the pre-splitter."""
-        if self._n_transitions > _MOST_TRANSITIONS:
-            self._clear()
+        self._bound()
         state, total = self.start, 0
         for byte in piece:
             step = state.get(byte) or self._compile(state, byte)
@@ -231,7 +240,7 @@ class Counter:
             return sum(map(self.known.__getitem__, pieces))
 
     def _exit(self, text: str) -> Exit | None:
-        return self.transducer.read((self.transducer.start, 0), text) if _is_letters(text) else None
+        return self.transducer.exit(text) if _is_letters(text) else None
 
     def _joined_exit(self, left: str, left_exit: Exit | None, right: str, right_exit: Exit | None) -> Exit | None:
         """The exit of two texts in a row, where they are one match of letters."""
