@@ -163,3 +163,26 @@ def test_discounts_are_spread_unrounded(spark):
         order_payments=[payment("O1")],
     )
     assert [r.discount_allocated for r in lines(m).values()] == [D("0.00"), D("0.00")]
+
+
+def two_orders(spark):
+    return build(
+        spark,
+        orders=[order("O1", order_discount_amount="7"), order("O2", at="2025-05-01 10:00:00")],
+        order_items=[item("O1", 1, price="50"), item("O1", 2, price="30"), item("O2")],
+        order_payments=[payment("O1"), payment("O2")],
+    )
+
+
+def test_totals_of_all_lines_are_folded_without_collecting_sets(spark):
+    m = two_orders(spark)
+    plan = fact._order_spans(m._prices, m.params)._jdf.queryExecution().sparkPlan().toString()
+    sums = [line for line in plan.splitlines() if "sum(" in line and "Aggregate" in line]
+    assert sums and not any("ObjectHash" in line or "SortAggregate" in line for line in sums)
+
+
+def test_lines_from_a_moved_base_are_the_fact(spark):
+    m = two_orders(spark)
+    moved = fact.lines_of(m.fact_base.hint("rebalance", "order_month"))
+    assert moved.columns == m.fact_order_items.columns
+    assert moved.exceptAll(m.fact_order_items).count() == 0 and moved.count() == 3
