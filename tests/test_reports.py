@@ -196,3 +196,14 @@ def test_quick_stats(spark):
     fact = fact_of(spark, {"return_flag": True}, {"order_id": "O2", "is_first_order": False, "is_profit_leak": None})
     got = views.quick_stats(fact).first()
     assert tuple(got) == (1, 50.0, 1, 50.0, 0)
+
+
+def test_category_sums_are_shuffled_once_per_category(spark):
+    """Lines go to the shuffle as keys; amounts meet where the lines are."""
+    fact = fact_of(spark, *[{"order_id": f"O{i}", "customer_id": f"C{i % 7}", "category": f"K{i % 3}"} for i in range(60)])
+    fact = fact.unionByName(fact_of(spark, {"order_id": "O1", "category": None, "customer_id": None}))
+    report = reports.category_profitability(fact)
+    got = {r.category: (r.total_orders, r.total_customers, r.total_line_items, r.total_revenue) for r in report.collect()}
+    assert got == {f"K{k}": (20, 7, 20, D(2000)) for k in range(3)} | {None: (1, 0, 1, D(100))}
+    folds = [line for line in report._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [as_key" in line]
+    assert folds
