@@ -4,10 +4,12 @@ from decimal import Decimal as D
 import pytest
 
 from frames import customer, item, order, payment, product, raw_tables
+from marginfold.functions.money import share_of
 from marginfold.operators import fact
 from marginfold.params import EconomicsParams
 from marginfold.plans.mart import Mart
 from marginfold.schemas import FACT_SCHEMA
+from marginfold.verify.queries import comparable
 
 
 def build(spark, params=EconomicsParams(), **rows):
@@ -186,3 +188,26 @@ def test_lines_from_a_moved_base_are_the_fact(spark):
     moved = fact.lines_of(m.fact_base.hint("rebalance", "order_month"))
     assert moved.columns == m.fact_order_items.columns
     assert moved.exceptAll(m.fact_order_items).count() == 0 and moved.count() == 3
+
+
+def test_the_step_with_all_arithmetic_is_compiled(spark, capsys):
+    """The JVM compiles methods of at most 8,000 bytes of bytecode; result types are part of the step."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    query = comparable(two_orders(spark).fact_order_items)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        query.select("*").explain("codegen")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_shares_with_half_of_the_whole_at_hand(spark):
+    rows = spark.sql("SELECT * FROM VALUES (7L, 1L, 3L), (-7L, 1L, 2L), (5L, -3L, 10L), (5L, 1L, CAST(NULL AS BIGINT)) AS t(cost, part, whole)")
+    rows = rows.selectExpr("*", "abs(whole) div 2 AS half")
+    for units in (1, 1_000_000):
+        both = rows.selectExpr(f"{share_of('cost', 'part', 'whole', units)} AS a", f"{share_of('cost', 'part', 'whole', units, half='half')} AS b")
+        assert all(r.a == r.b for r in both.collect())
