@@ -168,3 +168,10 @@ def test_scratch_goes_with_the_application(tmp_path):
     while left() and time.monotonic() < until:
         time.sleep(0.2)
     assert not left()
+
+
+def test_layers_are_written_with_zstandard(spark, tmp_path):
+    write_table(spark.range(3), str(tmp_path), "x", "t")
+    path = table_path(str(tmp_path), "x", "t")
+    files = [name for name in os.listdir(f"{path}/{_versions(path)[0]}") if name.startswith("part-")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)

@@ -3,6 +3,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from marginfold.sources.layers import path_exists, table_path
+from marginfold.sources.tpch import StarTables
 from marginfold.verify import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +78,23 @@ def test_csv_copies_are_compressed_and_need_no_raw_tables(spark, monkeypatch, tm
     got = queries.queries()["b41_loaded_order_items"](spark, folder)
     want = queries.queries()["b02_stage_order_items"](spark, folder)
     assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 60
+
+
+def test_lines_and_payments_are_numbered_once(spark, tmp_path):
+    star_tables(spark, str(tmp_path))
+    tables = StarTables(spark, str(tmp_path))
+    lines, payments = tables.order_items(), tables.order_payments()
+    for frame in (lines, payments):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan
+    numbers = [(r[0], r[1]) for r in lines.select("order_id", "order_item_id").collect()]
+    assert len(set(numbers)) == 60 and {n for _, n in numbers} == {1, 2}
+    assert sorted(numbers) == sorted((r[0], r[1]) for r in payments.select("order_id", "payment_sequential").collect())
+
+
+def test_the_key_check_reads_the_fact_without_writing_it(spark, monkeypatch, tmp_path):
+    star_tables(spark, str(tmp_path))
+    monkeypatch.setattr(queries, "_made", {})
+    monkeypatch.setattr(queries, "_StoredMart", None)
+    rows = {r["table_name"]: r for r in queries.queries()["q1_check_key"](spark, str(tmp_path)).collect()}
+    assert rows["fact_order_items"]["row_count"] == 60 and rows["fact_order_items"]["status"] == "PASS"

@@ -67,3 +67,11 @@ def test_only_huge_keys_are_spread(spark, monkeypatch):
     want = _numbered(rows.filter("k IS NOT NULL"))
     assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 8000
     assert 3000 <= seen[0].count() < 3100 and seen[0].filter("k = -1").count() == 3000
+
+
+def test_a_key_that_is_a_column_is_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "LEAST_ROWS", 10_000)
+    rows = spark.range(300).select((F.col("id") % 7).alias("k"), "id")
+    got = row_number_by(rows, F.col("k"), [F.asc("id")], "n")
+    assert sorted(r["n"] for r in got.filter("k = 0").collect()) == list(range(1, 44))
+    assert "_key" not in got._jdf.queryExecution().executedPlan().toString()
