@@ -211,3 +211,25 @@ def test_shares_with_half_of_the_whole_at_hand(spark):
     for units in (1, 1_000_000):
         both = rows.selectExpr(f"{share_of('cost', 'part', 'whole', units)} AS a", f"{share_of('cost', 'part', 'whole', units, half='half')} AS b")
         assert all(r.a == r.b for r in both.collect())
+
+
+def test_orders_are_not_shuffled_by_their_channel(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = build(spark, orders=[order("1")], order_items=[item("1")], order_payments=[payment("1")])
+        plan = m.fact_order_items._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\(order_channel", plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_repeated_channel_repeats_its_lines_and_none_costs_nothing(spark):
+    m = build(
+        spark,
+        orders=[order("1", channel="email"), order("2", customer="C1", channel=None), order("3", channel="other")],
+        order_items=[item("1"), item("2"), item("3")],
+        order_payments=[payment("1"), payment("2"), payment("3")],
+    )
+    cac = spark.createDataFrame([("email", D("2.00")), ("email", D("3.00")), (None, D("9.00"))], "channel string, cac_per_new_customer decimal(20,2)")
+    base = fact.fact_base(m._lines, m.stg_orders, m.stg_customers, m._payments, cac, m.params)
+    assert sorted((r.order_id, r.channel_cac) for r in base.collect()) == [("1", 200), ("1", 300), ("2", 0), ("3", 0)]
