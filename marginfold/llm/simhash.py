@@ -121,14 +121,19 @@ def links(prints: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:
     full = index.groupBy("key").count().where(F.col("count") > full_bucket).select("key")
     full = written(full)
     if full.isEmpty():
-        return index.alias("a").join(index.alias("b"), F.expr("a.key = b.key AND " + _LINK)).select(
-            F.col("a.print").alias("a"), F.col("b.print").alias("b")
-        )
+        return _linked_by_key(index)
     usual = index.join(full, "key", "left_anti")
-    pairs = usual.alias("a").join(usual.alias("b"), F.expr("a.key = b.key AND " + _LINK)).select(
-        F.col("a.print").alias("a"), F.col("b.print").alias("b")
-    )
-    return pairs.union(_links_in_full_buckets(index.join(full, "key", "left_semi")))
+    return _linked_by_key(usual).union(_links_in_full_buckets(index.join(full, "key", "left_semi")))
+
+
+def _linked_by_key(index: DataFrame) -> DataFrame:
+    """(a, b): links among index rows that share a key.
+
+    Both sides are sorted and merged: the planner does not see that a print has 64 rows here, and would
+    broadcast an index of a hundred times its threshold.
+    """
+    pairs = index.alias("a").join(index.alias("b").hint("merge"), F.expr("a.key = b.key AND " + _LINK))
+    return pairs.select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:

@@ -69,6 +69,14 @@ def test_links_keep_components_whole(spark, full_bucket):
     assert {frozenset(g) for g in groups.values() if len(g) > 1} == {frozenset(g) for g in got.values()}
 
 
+@pytest.mark.parametrize("full_bucket", [1, 1000])
+def test_exploded_index_is_not_broadcast(spark, full_bucket):
+    prints = spark.range(8).selectExpr("shiftleft(1L, cast(id as int)) AS print")
+    plan = links(prints, full_bucket)._jdf.queryExecution().sparkPlan().toString()
+    joined = [line for line in plan.splitlines() if "Join" in line and " Inner" in line]
+    assert len(joined) == 1 and "SortMergeJoin" in joined[0]
+
+
 def test_components_of_paths_stars_and_loops(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 50)]
