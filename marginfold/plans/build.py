@@ -13,7 +13,7 @@ from marginfold.params import DEFAULT_PARAMS, EconomicsParams
 from marginfold.plans.together import together
 from marginfold.schemas import RAW_COLUMNS
 from marginfold.sources.csv_raw import load_raw
-from marginfold.sources.layers import read_table, stored_counts, write_table
+from marginfold.sources.layers import COMPRESSION, read_table, stored_counts, write_table
 from marginfold.sources.scratch import discard, scratch_folder, written
 
 
@@ -67,12 +67,15 @@ def build_analytics(
         fact.channel_cac(stage["stg_channel_summary"]),
         params,
     )
-    # The base is narrower than the lines made from it, so it is what moves to its month.
-    lines = fact.lines_of(base.hint("rebalance", "order_month"))
+    # Written first, so that the joins' shuffles are gone when the base moves: together they were the most
+    # that a build holds on disk. The base is narrower than the lines made from it, so it is what moves to its month.
+    spark = base.sparkSession
+    joined = scratch_folder(spark)
+    lines = fact.lines_of(written(base, joined, COMPRESSION).hint("rebalance", "order_month"))
     stored = write_table(lines, root, "analytics", "fact_order_items", partition_by="order_month", rebalanced=True)
-    spark = stored.sparkSession
+    discard(spark, joined)
     scratch = scratch_folder(spark)
-    orders = written(order_rows(stored), scratch)
+    orders = written(order_rows(stored), scratch, COMPRESSION)
     tables = {
         "summary_by_month": reports.summary_by_month(stored, orders),
         "rpt_category_profitability": reports.category_profitability(stored),

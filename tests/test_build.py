@@ -5,10 +5,13 @@ import threading
 import pytest
 
 from marginfold.params import EconomicsParams
+from marginfold.plans import build
 from marginfold.plans.build import run_all
 from marginfold.plans.together import together
+from marginfold.sources import layers
 from marginfold.sources.csv_raw import load_raw, read_csv
 from marginfold.sources.layers import Layer, ordered_report, read_table
+from marginfold.sources.scratch import discard
 
 FILES = {
     # Columns out of order, an absent column, a quoted comma and doubled quotes.
@@ -143,3 +146,19 @@ def test_settings(tmp_path):
         "0.2",
     ]
     assert params.completed_statuses == ("delivered",) and params.reverse_logistics_multiplier == 1
+
+
+def test_the_joined_base_is_written_before_it_moves(spark, folder, tmp_path, monkeypatch):
+    plans, discarded = {}, []
+
+    def write_table(frame, root, layer, table, *args, **kwargs):
+        plans[table] = frame._jdf.queryExecution().executedPlan().toString()
+        return layers.write_table(frame, root, layer, table, *args, **kwargs)
+
+    monkeypatch.setattr(build, "write_table", write_table)
+    monkeypatch.setattr(build, "discard", lambda spark, path: (discarded.append(path), discard(spark, path)))
+    run_all(spark, folder, str(tmp_path))
+    moved = plans["fact_order_items"]
+    assert moved.count("Exchange") == 1 and "Join" not in moved
+    assert len(discarded) == 2 and not any(layers.path_exists(spark, path) for path in discarded)
+    assert read_table(spark, str(tmp_path), "analytics", "fact_order_items").count() == 3
