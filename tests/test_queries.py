@@ -92,6 +92,15 @@ def test_lines_and_payments_are_numbered_once(spark, tmp_path):
     assert sorted(numbers) == sorted((r[0], r[1]) for r in payments.select("order_id", "payment_sequential").collect())
 
 
+def test_numbered_lines_go_when_the_csv_copies_are_made(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "_made", {})
+    folder = star_tables(spark, tmp_path)
+    queries._csv_copy(spark, folder)
+    tables = queries.raw_layer(spark, folder)._tables
+    assert "_lines" not in vars(tables) and not path_exists(spark, tables._lines_path)
+    assert tables.order_items().count() == 60
+
+
 def test_the_key_check_reads_the_fact_without_writing_it(spark, monkeypatch, tmp_path):
     star_tables(spark, str(tmp_path))
     monkeypatch.setattr(queries, "_made", {})
