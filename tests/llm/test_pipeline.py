@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from marginfold.llm import pii
+from marginfold.llm import pii, simhash
 from marginfold.llm.byte_bpe import encoding
 from marginfold.sources.scratch import written
 from test_decontaminate import brute as brute_hits
@@ -80,3 +80,17 @@ def test_run_and_empty_table(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_merges_the_exploded_index(spark, tmp_path, monkeypatch):
+    plans = []
+
+    def kept(frame, *args):
+        plans.append(frame._jdf.queryExecution().sparkPlan().toString())
+        return written(frame, *args)
+
+    monkeypatch.setattr(simhash, "written", kept)
+    spark.range(20).selectExpr("id AS doc_id", "concat('a b c d ', id) AS text").write.parquet(f"{tmp_path}/docs")
+    corpus_pipeline.near_duplicate_stage(spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+    joined = [line for plan in plans for line in plan.splitlines() if "Join" in line and "bit_count" in line]
+    assert joined and all("SortMergeJoin" in line for line in joined)
